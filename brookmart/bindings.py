@@ -24,7 +24,8 @@ def stream_reader(spark: SparkSession, sf_dir: str, **options) -> Reader:
     def read(name: str) -> DataFrame:
         path = f"{sf_dir}/{name}.parquet"
         schema = spark.read.parquet(path).schema
-        return spark.readStream.schema(schema).options(**options).parquet(path)
+        # the stream source takes folders and patterns, and a table here may be a single file
+        return spark.readStream.schema(schema).options(**options).parquet(f"{path[:-1]}[t]")
 
     return read
 
@@ -100,7 +101,13 @@ def log_lines(read: Reader) -> DataFrame:
     err = F.when(F.col("ch") == "error", F.create_map(F.lit("code"), text(number % 10)))
     record = F.struct(common.alias("common"), page.alias("page"), start.alias("start"), err.alias("err"),
                       displays.alias("displays"), actions.alias("actions"), "ts")
-    return v.select(F.to_json(record).alias("value"))
+    return v.select("event_id", F.to_json(record).alias("value"))
+
+
+def cut_log_lines(read: Reader) -> DataFrame:
+    """The log lines, every 13th cut short."""
+    cut = F.when(F.col("event_id") % 13 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    return log_lines(read).select(cut.alias("value"))
 
 
 def damaged_lines(read: Reader) -> DataFrame:
@@ -203,6 +210,24 @@ def order_details(read: Reader) -> DataFrame:
         text(F.lit(None)).alias("coupon_id"), detail_millis().alias("ts"))
 
 
+def near_order_db(read: Reader, orders: DataFrame) -> DataFrame:
+    """The feed of ``order_detail_db`` with every detail, activity and coupon within ten minutes of its order.
+
+    ``orders`` is the static orders table that gives the times.
+    """
+    line, at = detail_row(), F.col("t") + (F.col("l_partkey") % 600) * 1000
+    times = orders.select("o_orderkey", millis("o_orderdate").alias("t"))
+    lines = read("lineitem").join(times, F.col("l_orderkey") == F.col("o_orderkey"))
+    activity = row(order_detail_id=detail_id(), activity_id=F.col("l_suppkey") % 5, activity_rule_id=F.col("l_suppkey") % 3)
+    coupon = row(order_detail_id=detail_id(), coupon_id=F.col("l_partkey") % 9)
+    details = lines.select(envelope("order_detail", "c", at, after=line).alias("e")).select("e.*")
+    activities = lines.where(F.col("l_discount") >= 0.05).select(
+        envelope("order_detail_activity", "c", at + 1000, after=activity).alias("e")).select("e.*")
+    coupons = lines.where(F.col("l_tax") >= 0.04).select(
+        envelope("order_detail_coupon", "c", at + 2000, after=coupon).alias("e")).select("e.*")
+    return order_changes(read).unionByName(details).unionByName(activities).unionByName(coupons)
+
+
 def payment_changes(read: Reader) -> DataFrame:
     """Payments of orders in status P: from not paid to paid, five minutes after the order date.
 
@@ -216,9 +241,13 @@ def payment_changes(read: Reader) -> DataFrame:
             .select(envelope("payment_info", "u", t, before, after).alias("e")).select("e.*"))
 
 
-def paid_details(read: Reader) -> DataFrame:
-    """Order details timed within an hour around their order's date, as a payment would meet them."""
-    orders = read("orders").select("o_orderkey", millis("o_orderdate").alias("t"))
+def paid_details(read: Reader, orders: DataFrame | None = None) -> DataFrame:
+    """Order details timed within an hour around their order's date, as a payment would meet them.
+
+    ``orders`` may be given as a static table when ``read`` streams.
+    """
+    orders = read("orders") if orders is None else orders
+    orders = orders.select("o_orderkey", millis("o_orderdate").alias("t"))
     line = detail_row()
     wanted = ("id", "order_id", "sku_id", "sku_name", "sku_num", "split_activity_amount", "split_coupon_amount",
               "split_total_amount")

@@ -27,18 +27,20 @@ def _narrow_hex(digits: Column) -> Column:
 
 
 def _shift_18(plain: Column) -> Column:
-    """Divide a plain decimal text by 10^18 by moving the point; no trailing zeros."""
-    negative = plain.startswith("-")
-    body = F.regexp_replace(plain, r"^[+-]", "")
-    whole = F.substring_index(body, ".", 1)
-    fraction = F.when(body.contains("."), F.substring_index(body, ".", -1)).otherwise("")
-    width = F.greatest(F.length(whole), F.lit(19))
-    digits = F.lpad(whole, width, F.lit("0"))
-    head = F.substring(digits, F.lit(1), width - 18)
-    tail = F.rtrim(F.concat(F.right(digits, F.lit(18)), fraction), F.lit("0"))
-    head = F.coalesce(F.nullif(F.ltrim(head, F.lit("0")), F.lit("")), F.lit("0"))
-    text = F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail))
-    return F.when(negative, F.concat(F.lit("-"), text)).otherwise(text)
+    """Divide a plain decimal text by 10^18 by moving the point; no trailing zeros.
+
+    Each step reads its input once, which keeps the generated code linear.
+    """
+    steps = [
+        (r"^\+?(-?)(\d+)\.?(\d*)$", "$1" + "0" * 18 + "$2|$3"),
+        (r"(\d{18})\|", ".$1"),
+        (r"\.?0*$", ""),
+        (r"^(-?)0+(?=\d)", "$1"),
+    ]
+    for pattern, replacement in steps:
+        plain = F.regexp_replace(plain, pattern, replacement)
+    # nothing left before the point
+    return F.regexp_replace(plain, r"^(-?)(?=\.|$)", "$10")
 
 
 def hex_to_decimal_text(value: Column, to_ether: bool = False, wide: bool = False) -> Column:

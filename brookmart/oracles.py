@@ -47,21 +47,24 @@ checked AS (SELECT *, CASE WHEN json_valid(v) THEN CASE WHEN json_type(v) = 'OBJ
             FROM damaged)
 SELECT event_id, event_type, CASE WHEN valid = 1 THEN CAST(v->>'$.k' AS INTEGER) END AS k, valid FROM checked"""
 
-REPAIRED = f"""{PV},
+def repaired(kept: str = "true") -> str:
+    return f"""{PV.replace(" FROM ev)", f" FROM ev WHERE {kept})")},
 fv AS (SELECT mid, CASE WHEN arg_min(is_new, us) = '1' THEN strftime(make_timestamp(min(us)), '%Y-%m-%d')
         ELSE strftime(make_timestamp(min(us)) - INTERVAL 1 DAY, '%Y-%m-%d') END AS first_date FROM pv GROUP BY mid),
 fixed AS (SELECT pv.* EXCLUDE (is_new), CASE WHEN is_new = '1' AND first_date <> d THEN '0' ELSE is_new END AS is_new
           FROM pv JOIN fv USING (mid))"""
 
-ORACLES["isnew_repair"] = f"WITH {REPAIRED} SELECT event_id, mid, is_new FROM fixed"
 
-LOGS = f"""{REPAIRED},
+ORACLES["isnew_repair"] = f"WITH {repaired()} SELECT event_id, mid, is_new FROM fixed"
+
+
+def log_records(kept: str = "true") -> str:
+    return f"""{repaired(kept)},
 lg AS (SELECT *, event_id AS n, ch = 'error' AS is_err, ch = 'signup' AND event_id % 5 = 0 AS is_start,
    CASE event_id % 3 WHEN 0 THEN -1 WHEN 1 THEN 0 ELSE event_id % 4 + 1 END AS n_disp,
    CASE WHEN event_id % 2 = 1 THEN event_id % 2 + 1 ELSE -1 END AS n_act FROM fixed)"""
 
-ORACLES["log_split"] = f"""
-WITH {LOGS}
+FEED_ROWS = """
 SELECT 'err' AS feed, mid, is_new, ms AS ts, CAST(n % 10 AS VARCHAR) AS detail FROM lg WHERE is_err
 UNION ALL SELECT 'start', mid, is_new, ms, 'icon' FROM lg WHERE is_start
 UNION ALL SELECT 'page', mid, is_new, ms,
@@ -71,8 +74,10 @@ UNION ALL SELECT 'display', mid, is_new, ms, n || '_' || i
 UNION ALL SELECT 'action', mid, is_new, NULL, n || '_' || i
    FROM lg, LATERAL (SELECT unnest(generate_series(1, n_act)) AS i) WHERE NOT is_start AND n_act > 0"""
 
+ORACLES["log_split"] = f"WITH {log_records()} {FEED_ROWS}"
+
 ORACLES["log_explode"] = f"""
-WITH {LOGS}
+WITH {log_records()}
 SELECT page_id, CAST(sum(n_disp) AS BIGINT) AS displays, CAST(sum(n_disp) AS BIGINT) AS items
 FROM lg WHERE NOT is_start AND n_disp > 0 GROUP BY page_id"""
 
@@ -409,3 +414,66 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d %H:%M:%
 ORACLES["file_partition_day"] = """
 SELECT CASE WHEN event_id % 8 IN (0, 7) AND event_id % 11 <> 0 THEN strftime(ts, '%Y%m%d') ELSE 'error_bucket' END AS bucket,
        count(*) AS lines FROM events GROUP BY 1"""
+
+# --- streams: the same answers, without windows that are still open at the end
+
+def closed(body: str, table: str, columns: str, latest: str, delay: int = 0) -> str:
+    """Rows of ``table`` whose window ended by the watermark: the ``latest`` epoch less the delay (s)."""
+    end = sec(f"({latest}) - {delay * 1_000_000}")
+    return f"WITH {body} SELECT {columns} FROM {table} WHERE edt <= {end}"
+
+
+ORACLES["traffic_4key_10s_stream"] = closed(TRAFFIC, "tw", "*", "SELECT max(us) FROM pv", 1)
+ORACLES["home_detail_uv_3s_stream"] = closed(
+    f"""{HOME}, w AS (SELECT {window('us', 3)}, count(*) FILTER (page_id = 'home') AS home_uv_ct,
+        count(*) FILTER (page_id <> 'home') AS good_detail_uv_ct FROM f GROUP BY ALL)""", "w", "*",
+    "SELECT max(us) FROM pv WHERE page_id IN ('home', 'good_detail')", 3)
+ORACLES["user_back_3h_stream"] = closed(
+    f"{LOGIN}, w AS (SELECT {window('us', 10800)}, count(*) FILTER (gap >= 8) AS back_ct, count(*) AS uu_ct FROM g GROUP BY ALL)",
+    "w", "*", """SELECT max(us) FROM pv
+      WHERE coalesce(uid, '') <> '' AND (coalesce(last_page_id, '') = '' OR last_page_id = 'login')""")
+ORACLES["cart_uu_5s_stream"] = closed(
+    f"{CART}, w AS (SELECT {window('us', 5)}, count(*) AS cart_add_uu_ct FROM f GROUP BY ALL)", "w", "*",
+    "SELECT max(epoch_us(ts)) FROM events WHERE event_type = 'purchase'")
+ORACLES["keyword_10s_stream"] = closed(
+    f"{KEYWORD}, w AS (SELECT {window('us', 10)}, keyword, count(*) AS keyword_count FROM t GROUP BY ALL)", "w", "*",
+    "SELECT max(1704067200 + conv_id * 10 + turn % 10) * 1000000 FROM conversations")
+ORACLES["sku_order_10s_stream"] = closed(SKU, "sd", "*", "SELECT max(ms) * 1000 FROM li")
+ORACLES["province_order_10s_stream"] = closed(
+    PROVINCE, "pd", "stt, edt, cur_date, province_id, province_name, order_count, CAST(amount AS DOUBLE) AS order_amount",
+    "SELECT max(ms) * 1000 FROM li")
+
+for same in ("first_of_day", "isnew_repair", "refund_fact", "refund_pay_fact", "comment_dic_left", "cart_delta",
+             "pay_interval_join", "dim_upsert", "config_prune_fact", "file_partition_day"):
+    ORACLES[f"{same}_stream"] = ORACLES[same]
+
+ORACLES["cancel_fact_stream"] = ORACLES["cancel_fact"].replace("SELECT vid AS id", "SELECT did AS id")
+
+# Unmatched details come out once the watermark (the least of the four feeds) is an hour past them.
+ORACLES["order_detail_fact_stream"] = f"""
+WITH {LI},
+o AS (SELECT *, epoch_ms(o_orderdate) AS t FROM orders),
+act AS (SELECT did, CAST(l_suppkey % 5 AS VARCHAR) AS activity_id, CAST(l_suppkey % 3 AS VARCHAR) AS activity_rule_id
+        FROM li WHERE l_discount >= 0.05),
+cou AS (SELECT did, CAST(l_partkey % 9 AS VARCHAR) AS coupon_id FROM li WHERE l_tax >= 0.04),
+near AS (SELECT li.*, o_custkey, t + (l_partkey % 600) * 1000 AS et FROM li JOIN o ON l_orderkey = o_orderkey),
+mark AS (SELECT least((SELECT max(t) FROM o), (SELECT max(et) FROM near),
+   (SELECT max(et) + 1000 FROM near WHERE l_discount >= 0.05), (SELECT max(et) + 2000 FROM near WHERE l_tax >= 0.04)) - 3000 AS w)
+SELECT near.did AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
+       CAST(l_partkey AS VARCHAR) AS sku_id, 'sku ' || l_partkey AS sku_name, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
+       activity_id, activity_rule_id, coupon_id, {day('ms * 1000')} AS date_id, CAST(ms AS VARCHAR) AS create_time,
+       CAST(qty AS VARCHAR) AS sku_num, CAST(CAST(qty AS {M}) * price AS VARCHAR) AS split_original_amount,
+       CAST(act_amount AS VARCHAR) AS split_activity_amount, CAST(cou_amount AS VARCHAR) AS split_coupon_amount,
+       CAST(CAST(price - act_amount AS {M}) AS VARCHAR) AS split_total_amount, et AS ts
+FROM near LEFT JOIN act ON near.did = act.did LEFT JOIN cou ON near.did = cou.did, mark
+WHERE (activity_id IS NOT NULL AND coupon_id IS NOT NULL) OR et + 3600000 < w"""
+
+ORACLES["log_split_stream"] = f"""
+WITH {log_records('event_id % 13 <> 0')} {FEED_ROWS}
+UNION ALL SELECT 'dirty', NULL, NULL, NULL, '20' FROM events WHERE event_id % 13 = 0"""
+
+ORACLES["upsert_detail_stream"] = f"""
+WITH {LI}, {DETAIL}
+SELECT vid AS id, sku_id, sku_num, split_original_amount, split_total_amount, ms AS ts FROM det
+QUALIFY row_number() OVER (PARTITION BY vid ORDER BY ms DESC, sku_id DESC, split_original_amount DESC,
+   split_total_amount DESC, split_coupon_amount DESC, sku_num DESC) = 1"""

@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart import bindings as b
+from brookmart import schemas
 from brookmart.functions import dates, jsons, keys, numbers, text
 from brookmart.operators import cdc, joins, keywords, logs, visits, windows
 from brookmart.plans import dims, facts, metrics, reports
-from brookmart.session import prepare
-from brookmart.sources.files import day_bucket
+from brookmart.session import fresh_dir, prepare
+from brookmart.sources.files import day_bucket, stream_by_day
+from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
+from brookmart.streaming import jobs, pipelines, state
+from brookmart.streaming.runner import drain, to_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -27,6 +31,25 @@ def query(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return fn
 
 
+def stream_query(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Register ``fn(spark, stream, read)``: it streams whole tables to the end and reads the result back.
+
+    A session that kept the stock 200 shuffle partitions gets one state partition per core.
+    """
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        partitions = spark.conf.get("spark.sql.shuffle.partitions")
+        if partitions == "200":
+            spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+        try:
+            return fn(spark, b.stream_reader(spark, sf_dir), b.batch_reader(spark, sf_dir))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+    QUERIES[fn.__name__] = run
+    return fn
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, for comparison."""
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else f.name
@@ -53,9 +76,7 @@ def _feeds(read) -> dict[str, DataFrame]:
     return logs.split_feeds(fixed.drop("mid", "is_new", "et"))
 
 
-@query
-def log_split(spark, read):
-    feeds = _feeds(read)
+def _feed_rows(feeds: dict[str, DataFrame]) -> DataFrame:
     shared = ["common.mid", "common.is_new"]
 
     def keep(name, detail, ts=F.col("ts")):
@@ -70,6 +91,11 @@ def log_split(spark, read):
             .unionByName(keep("action", F.col("action")["action_id"], F.lit(None).cast("bigint"))))
 
 
+@query
+def log_split(spark, read):
+    return _feed_rows(_feeds(read))
+
+
 @query
 def log_explode(spark, read):
     feeds = logs.split_feeds(logs.parse_logs(b.log_lines(read)))
@@ -310,13 +336,17 @@ def rowkey(spark, read):
 @query
 def hex_decimal(spark, read):
     n = F.col("o_orderkey") * 1000003 + 1
-    wide = F.concat(F.lit("0x"), F.lower(F.hex(F.col("o_custkey") + 1)), F.lpad(F.lower(F.hex(n)), 15, "0"))
-    wei = (F.col("o_orderkey").cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)")).cast("string")
-    digits = F.when(F.col("o_orderstatus") == "P", None).otherwise(F.concat(F.lit("0x"), F.lower(F.hex(n))))
-    return read("orders").select(
-        "o_orderkey", numbers.hex_to_decimal_text(digits).alias("narrow"),
-        numbers.hex_to_decimal_text(wide).alias("wide"), numbers.hex_to_decimal_text(wide, wide=True).alias("any_width"),
-        numbers.hex_to_decimal_text(wei, to_ether=True).alias("ether"))
+    # columns of their own, so that Spark computes each once however often it is used
+    given = read("orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("0x"), F.lower(F.hex(n)))).alias("digits"),
+        F.concat(F.lit("0x"), F.lower(F.hex(F.col("o_custkey") + 1)), F.lpad(F.lower(F.hex(n)), 15, "0")).alias("many"),
+        (F.col("o_orderkey").cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)")).cast("string").alias("wei"))
+    return given.select(
+        "o_orderkey", numbers.hex_to_decimal_text(F.col("digits")).alias("narrow"),
+        numbers.hex_to_decimal_text(F.col("many")).alias("wide"),
+        numbers.hex_to_decimal_text(F.col("many"), wide=True).alias("any_width"),
+        numbers.hex_to_decimal_text(F.col("wei"), to_ether=True).alias("ether"))
 
 
 @query
@@ -327,8 +357,8 @@ def hex_words(spark, read):
     data = (F.when(F.col("l_linenumber") == 1, F.lit(""))
             .when(F.col("l_linenumber") == 2, F.concat(F.lit("0x"), word("l_orderkey")))
             .otherwise(F.concat(F.lit("0x"), word("l_orderkey"), word("l_partkey"))))
-    return read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                   F.array_join(numbers.hex_words(data), ",").alias("words"))
+    given = read("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", data.alias("data"))
+    return given.withColumn("words", F.array_join(numbers.hex_words(F.col("data")), ",")).drop("data")
 
 
 @query
@@ -385,10 +415,165 @@ def date_labels(spark, read):
         dates.text_millis_to_datetime(ms.cast("string")).alias("from_text"))
 
 
-@query
-def file_partition_day(spark, read):
+def _stamped_lines(read) -> DataFrame:
     lines = b.damaged_lines(read)
     stamp = F.when(F.col("event_id") % 2 == 0, F.col("ms")).otherwise(F.floor(F.col("ms") / 1000))
     field = F.when(F.col("event_id") % 11 == 0, F.lit('"later"')).otherwise(stamp.cast("string"))
-    stamped = lines.select(F.regexp_replace("value", r"^\{", F.concat(F.lit('{"at": '), field, F.lit(", "))).alias("value"))
-    return stamped.groupBy(day_bucket(F.col("value"), "at").alias("bucket")).agg(F.count(F.lit(1)).alias("lines"))
+    return lines.select(F.regexp_replace("value", r"^\{", F.concat(F.lit('{"at": '), field, F.lit(", "))).alias("value"))
+
+
+@query
+def file_partition_day(spark, read):
+    return _stamped_lines(read).groupBy(day_bucket(F.col("value"), "at").alias("bucket")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+# --- streams --------------------------------------------------------------------------------------
+
+@stream_query
+def traffic_4key_10s_stream(spark, stream, read):
+    return drain(jobs.traffic_window(b.page_views(stream)), "traffic")
+
+
+@stream_query
+def home_detail_uv_3s_stream(spark, stream, read):
+    return drain(jobs.home_detail_window(b.page_views(stream)), "home_detail")
+
+
+@stream_query
+def user_back_3h_stream(spark, stream, read):
+    return drain(jobs.login_window(b.page_views(stream)), "login")
+
+
+@stream_query
+def cart_uu_5s_stream(spark, stream, read):
+    return drain(jobs.cart_window(b.cart_adds(stream)), "cart")
+
+
+@stream_query
+def keyword_10s_stream(spark, stream, read):
+    return drain(jobs.keyword_window(b.search_pages(stream)), "keyword")
+
+
+@stream_query
+def first_of_day_stream(spark, stream, read):
+    firsts = drain(state.first_of_day(b.page_views(stream), ["mid"], "1 second"), "first_of_day")
+    return firsts.select("mid", F.date_format("et", dates.DATE).alias("visit_date"), F.unix_micros("et").alias("first_us"))
+
+
+@stream_query
+def isnew_repair_stream(spark, stream, read):
+    fixed = state.repair_is_new(b.page_views(stream).select("event_id", "mid", "is_new", "et"))
+    return drain(fixed, "isnew").select("event_id", "mid", "is_new")
+
+
+def _enriched(spark, sums: DataFrame, enrich, name: str) -> DataFrame:
+    path = fresh_dir(spark, name)
+    table = MetricTable(spark, f"{path}/data")
+    pipelines.enriched_metrics(sums, enrich, table, f"{path}/checkpoint", once=True).awaitTermination()
+    return plain(table.read())
+
+
+@stream_query
+def sku_order_10s_stream(spark, stream, read):
+    return _enriched(spark, jobs.sku_window(b.order_details(stream)),
+                     lambda sums: metrics.with_sku_dimensions(sums, b.sku_dimensions(read)), "sku")
+
+
+@stream_query
+def province_order_10s_stream(spark, stream, read):
+    return _enriched(spark, jobs.province_window(b.order_details(stream)),
+                     lambda sums: metrics.with_province_name(sums, b.provinces(read)), "province")
+
+
+@stream_query
+def order_detail_fact_stream(spark, stream, read):
+    return drain(facts.order_detail(b.near_order_db(stream, read("orders"))), "order_detail")
+
+
+@stream_query
+def cancel_fact_stream(spark, stream, read):
+    details = b.paid_details(stream, read("orders"))
+    return drain(facts.order_cancel(b.order_changes(stream), details), "cancel")
+
+
+@stream_query
+def pay_interval_join_stream(spark, stream, read):
+    details = b.paid_details(stream, read("orders"))
+    return drain(facts.payment_success(b.payment_changes(stream), details, b.dictionary(spark)), "pay")
+
+
+@stream_query
+def refund_fact_stream(spark, stream, read):
+    return drain(facts.order_refund(b.refund_db(stream), b.dictionary(spark), within="4000 days"), "refund")
+
+
+@stream_query
+def refund_pay_fact_stream(spark, stream, read):
+    return drain(facts.refund_payment_success(b.refund_db(stream), b.dictionary(spark), within="4000 days"), "refund_pay")
+
+
+@stream_query
+def comment_dic_left_stream(spark, stream, read):
+    return drain(facts.comment_info(b.comment_changes(stream), b.dictionary(spark)), "comment")
+
+
+@stream_query
+def cart_delta_stream(spark, stream, read):
+    return drain(facts.cart_add(b.cart_changes(stream)), "cart_delta")
+
+
+@stream_query
+def log_split_stream(spark, stream, read):
+    path = fresh_dir(spark, "log_split")
+    names = ("dirty", "err", "start", "page", "display", "action")
+    lines = b.cut_log_lines(stream)
+    pipelines.split_logs(lines, {n: pipelines.text_folder(f"{path}/{n}") for n in names},
+                         f"{path}/checkpoint", once=True).awaitTermination()
+    feeds = {n: spark.read.text(f"{path}/{n}") for n in names}
+    item = {"display": "display map<string,string>", "action": "action map<string,string>"}
+    parsed = {}
+    for n in names[1:]:
+        schema = f"{schemas.LOG.toDDL()}" + (f", {item[n]}" if n in item else "")
+        parsed[n] = feeds[n].select(F.from_json("value", schema).alias("j")).select("j.*")
+    dirty = feeds["dirty"].select(F.lit("dirty").alias("feed"), F.lit(None).cast("string").alias("mid"),
+                                  F.lit(None).cast("string").alias("is_new"), F.lit(None).cast("bigint").alias("ts"),
+                                  F.length("value").cast("string").alias("detail"))
+    return _feed_rows(parsed).unionByName(dirty)
+
+
+@stream_query
+def dim_upsert_stream(spark, stream, read):
+    path = fresh_dir(spark, "dims")
+    store = DimensionStore(spark, f"{path}/store")
+    store.apply_config(b.dimension_config(spark).withColumn("ts_ms", F.lit(0).cast("bigint")), 0)
+    pipelines.dimension_sync(b.dimension_changes(stream), store, "shop", f"{path}/checkpoint", once=True).awaitTermination()
+    return store.read("dim_user_info")
+
+
+@stream_query
+def config_prune_fact_stream(spark, stream, read):
+    path = fresh_dir(spark, "routed")
+    pipelines.route_facts(b.order_changes(stream), lambda: b.fact_config(spark), pipelines.routed_folders(f"{path}/data"),
+                          f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.text(f"{path}/data").select("sink_table", F.col("value").alias("payload"))
+
+
+@stream_query
+def file_partition_day_stream(spark, stream, read):
+    path = fresh_dir(spark, "by_day")
+    writer = stream_by_day(_stamped_lines(stream), f"{path}/data", f"{path}/checkpoint", "at")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    written = spark.read.schema("value string, day string").text(f"{path}/data")
+    return written.groupBy(F.col("day").alias("bucket")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@stream_query
+def upsert_detail_stream(spark, stream, read):
+    """The order-detail feed into a keyed table."""
+    path = fresh_dir(spark, "upsert")
+    table = UpsertTable(spark, f"{path}/table", schemas.ORDER_DETAIL, ["id"],
+                        ["ts", "sku_id", "split_original_amount", "split_total_amount", "split_coupon_amount", "sku_num"])
+    details = b.order_details(stream).withColumns({"date_id": F.lit(None).cast("string"),
+                                                   "create_time": F.lit(None).cast("string")})
+    to_batches(details, table.apply, f"{path}/checkpoint", once=True).awaitTermination()
+    return table.read().select("id", "sku_id", "sku_num", "split_original_amount", "split_total_amount", "ts")
