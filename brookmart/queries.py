@@ -431,7 +431,10 @@ def file_partition_day(spark, read):
 
 @stream_query
 def traffic_4key_10s_stream(spark, stream, read):
-    return drain(jobs.traffic_window(b.page_views(stream)), "traffic")
+    path = fresh_dir(spark, "traffic")
+    table = MetricTable(spark, f"{path}/data")
+    to_batches(jobs.traffic_window(b.page_views(stream)), table.apply, f"{path}/checkpoint", once=True).awaitTermination()
+    return table.read()
 
 
 @stream_query
@@ -466,23 +469,16 @@ def isnew_repair_stream(spark, stream, read):
     return drain(fixed, "isnew").select("event_id", "mid", "is_new")
 
 
-def _enriched(spark, sums: DataFrame, enrich, name: str) -> DataFrame:
-    path = fresh_dir(spark, name)
-    table = MetricTable(spark, f"{path}/data")
-    pipelines.enriched_metrics(sums, enrich, table, f"{path}/checkpoint", once=True).awaitTermination()
-    return plain(table.read())
-
-
 @stream_query
 def sku_order_10s_stream(spark, stream, read):
-    return _enriched(spark, jobs.sku_window(b.order_details(stream)),
-                     lambda sums: metrics.with_sku_dimensions(sums, b.sku_dimensions(read)), "sku")
+    sums = drain(jobs.sku_window(b.order_details(stream)), "sku")
+    return plain(metrics.with_sku_dimensions(sums, b.sku_dimensions(read)))
 
 
 @stream_query
 def province_order_10s_stream(spark, stream, read):
-    return _enriched(spark, jobs.province_window(b.order_details(stream)),
-                     lambda sums: metrics.with_province_name(sums, b.provinces(read)), "province")
+    sums = drain(jobs.province_window(b.order_details(stream)), "province")
+    return plain(metrics.with_province_name(sums, b.provinces(read)))
 
 
 @stream_query

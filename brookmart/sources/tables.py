@@ -6,10 +6,11 @@ anybody reads is ever rewritten. Reads resolve versions, ``compact`` folds the f
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,19 +73,31 @@ class UpsertTable:
 
 @dataclass
 class MetricTable:
-    """Window results by day; a batch owns the ``batch`` slice of every day it touches."""
+    """Window results in day folders below the folder of the batch that wrote them."""
 
     spark: SparkSession
     path: str
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("cur_date", "batch").parquet(self.path))
+        self._write(batch, lambda writer: writer.parquet(f"{self.path}/batch={batch_id}"))
 
     def apply_json(self, batch: DataFrame, batch_id: int, hidden: tuple[str, ...] = ()) -> None:
         """JSON-lines form without the ``hidden`` columns."""
-        (batch.drop(*hidden).withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("cur_date", "batch").json(self.path))
+        self._write(batch.drop(*hidden), lambda writer: writer.json(f"{self.path}/batch={batch_id}"))
+
+    def _write(self, batch: DataFrame, save: Callable[[DataFrameWriter], None]) -> None:
+        """Write about as many files as shuffle partitions, or one per day if there are more days.
+
+        A batch of one day is still written by all tasks: each day is spread over its share of them.
+        """
+        batch.persist()
+        try:
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            days = batch.select("cur_date").distinct().count()
+            spread = F.pmod(F.xxhash64(*batch.columns), F.lit(max(1, tasks // max(1, days))))
+            save(batch.repartition(tasks, "cur_date", spread).write.mode("overwrite").partitionBy("cur_date"))
+        finally:
+            batch.unpersist()
 
     def read(self) -> DataFrame:
         days = self.spark.read.parquet(self.path)

@@ -46,9 +46,8 @@ def route_facts(changes: DataFrame, config: Callable[[], DataFrame], sink: Sink,
 def routed_folders(path: str) -> Sink:
     """A sink for ``route_facts``: JSON lines in one folder per sink table, replay-safe."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.select("sink_table", F.to_json("payload").alias("value"), F.lit(batch_id).alias("batch"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sink_table", "batch").text(path))
+        (batch.select("sink_table", F.to_json("payload").alias("value"))
+         .write.mode("overwrite").partitionBy("sink_table").text(f"{path}/batch={batch_id}"))
 
     return write
 
@@ -66,9 +65,7 @@ def split_logs(lines: DataFrame, sinks: dict[str, Sink], checkpoint: str, once:
     keyed = parsed.select(
         "value", "good", F.col("j.common.mid").alias("mid"), F.col("j.common.is_new").alias("is_new"),
         F.timestamp_millis(F.col("j.ts")).alias("et"))
-    # lines without a visitor have no state to share; spreading them keeps one key from taking all
-    keyed = keyed.withColumn("visitor", F.coalesce("mid", F.concat(F.lit("\u0000"), F.md5(F.coalesce(text, F.lit(""))))))
-    fixed = state.repair_is_new(keyed, key="visitor", ttl_ms=ttl_ms)
+    fixed = state.repair_is_new(keyed, ttl_ms=ttl_ms)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()

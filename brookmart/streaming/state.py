@@ -107,6 +107,10 @@ def login_days(df: DataFrame, delay: str, key: str = "uid", ts: str = "et", back
         timeMode="EventTime", eventTimeColumnName=ts)
 
 
+_NO_VISITOR = "\x00"
+_SPREAD = 256
+
+
 class _RepairIsNew(StatefulProcessor):
     """Key visitor: the first-visit date."""
 
@@ -118,6 +122,10 @@ class _RepairIsNew(StatefulProcessor):
         self.first = handle.getValueState("first", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
+        if key[0].startswith(_NO_VISITOR):
+            for row in rows:
+                yield Row(**{c: row[c] for c in self.columns})
+            return
         if not self.first.exists():
             # the earliest row decides; only a visitor's first micro-batch is held back for it
             rows = sorted(rows, key=lambda r: r[self.ts])
@@ -138,13 +146,16 @@ def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: s
                   ttl_ms: int | None = None) -> DataFrame:
     """Set ``is_new`` to 0 where it says 1 on another day than the first visit's.
 
-    Rows pass in their micro-batch. With ``ttl_ms`` the first visit is forgotten after that much
-    processing time without a first visit, as a bounded-state deployment may want.
+    Rows pass in their micro-batch; rows without a visitor pass unchanged, spread over many keys that
+    hold no state. With ``ttl_ms`` the first visit is forgotten after that much processing time
+    without a first visit, as a bounded-state deployment may want.
     """
     columns = df.columns
-    dated = df.withColumns({"_date": F.date_format(ts, DATE),
+    nobody = F.concat(F.lit(_NO_VISITOR), F.pmod(F.xxhash64(*columns), F.lit(_SPREAD)).cast("string"))
+    dated = df.withColumns({"_key": F.coalesce(key, nobody),
+                            "_date": F.date_format(ts, DATE),
                             "_day_before": F.date_format(F.col(ts) - F.expr("interval 1 day"), DATE)})
-    return dated.groupBy(key).transformWithState(
+    return dated.groupBy("_key").transformWithState(
         statefulProcessor=_RepairIsNew(columns, is_new, ts, ttl_ms), outputStructType=df.schema,
         outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
 
