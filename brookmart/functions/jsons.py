@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _STRICT = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
@@ -22,6 +23,15 @@ def is_json_object(text: Column) -> Column:
     return F.coalesce(good, F.lit(False))
 
 
+def parse_once(lines: DataFrame, schema: T.StructType | str, column: str = "value", keep: list[str] = ()) -> DataFrame:
+    """The parsed fields as columns, after the columns in ``keep``.
+
+    A filter on a field of a projected ``from_json`` is pushed below the projection, and the line is
+    then parsed again for every condition. A generator is a stop for that: conditions stay above it.
+    """
+    return lines.select(*keep, F.inline(F.array(F.from_json(F.col(column), schema))))
+
+
 def append_to_json_list(text: Column, element: Column) -> Column:
     """Append to a JSON list of strings; a null list starts empty. The result is valid JSON."""
     items = F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))

@@ -6,14 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmart import schemas
+from brookmart.functions.jsons import parse_once
 from brookmart.operators.joins import small_side
 
 CHANGE_OPS = ("c", "u", "d", "r")
 
 
-def parse_envelopes(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON lines → envelope columns."""
-    return lines.select(F.from_json(F.col(column), schemas.ENVELOPE).alias("j")).select("j.*")
+def parse_envelopes(lines: DataFrame, column: str = "value", tables: list[str] = ()) -> DataFrame:
+    """JSON lines → envelope columns, each line parsed once.
+
+    With ``tables`` only lines that mention one of the names are parsed at all, and only changes of
+    those tables come out.
+    """
+    if not tables:
+        return parse_once(lines, schemas.ENVELOPE, column)
+    mentioned = F.col(column).rlike("|".join(f'"{t}"' for t in tables))
+    return parse_once(lines.where(mentioned), schemas.ENVELOPE, column).where(F.col("source")["table"].isin(*tables))
 
 
 def valid_changes(db: DataFrame, database: str) -> DataFrame:

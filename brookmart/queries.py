@@ -67,33 +67,25 @@ def dirty_split(spark, read):
                                     F.lit(0).alias("valid"))))
 
 
-def _feeds(read) -> dict[str, DataFrame]:
-    parsed = logs.parse_logs(b.log_lines(read))
-    flat = parsed.withColumn("mid", F.col("common.mid")).withColumn("is_new", F.col("common.is_new")).withColumn(
-        "et", F.timestamp_millis("ts"))
-    fixed = visits.repair_is_new(flat, spread_by=["mid", "ts"])
-    fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
-    return logs.split_feeds(fixed.drop("mid", "is_new", "et"))
-
-
-def _feed_rows(feeds: dict[str, DataFrame]) -> DataFrame:
-    shared = ["common.mid", "common.is_new"]
+def _feed_rows(tagged: DataFrame) -> DataFrame:
+    """What identifies a feed row, for comparison."""
+    def items(name: str):
+        return F.coalesce(F.size(name), F.lit(-1)).cast("string")
 
-    def keep(name, detail, ts=F.col("ts")):
-        return feeds[name].select(F.lit(name).alias("feed"), *shared, ts.alias("ts"), detail.alias("detail"))
-
-    return (keep("err", F.col("err")["code"])
-            .unionByName(keep("start", F.col("start")["entry"]))
-            .unionByName(keep("page", F.concat_ws("/", F.col("page.page_id"),
-                                                  F.coalesce(F.size("displays"), F.lit(-1)).cast("string"),
-                                                  F.coalesce(F.size("actions"), F.lit(-1)).cast("string"))))
-            .unionByName(keep("display", F.col("display")["item"]))
-            .unionByName(keep("action", F.col("action")["action_id"], F.lit(None).cast("bigint"))))
+    page = F.concat_ws("/", "page.page_id", items("displays"), items("actions"))
+    detail = (F.when(F.col("feed") == "err", F.col("err")["code"]).when(F.col("feed") == "start", F.col("start")["entry"])
+              .when(F.col("feed") == "page", page).when(F.col("feed") == "display", F.col("display")["item"])
+              .otherwise(F.col("action")["action_id"]))
+    return tagged.select("feed", "common.mid", "common.is_new", "ts", detail.alias("detail"))
 
 
 @query
 def log_split(spark, read):
-    return _feed_rows(_feeds(read))
+    parsed = logs.parse_logs(b.log_lines(read))
+    flat = parsed.select("*", "common.mid", "common.is_new", F.timestamp_millis("ts").alias("et"))
+    fixed = visits.repair_is_new(flat, spread_by=["mid", "ts"])
+    fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
+    return _feed_rows(logs.tag_feeds(fixed.drop("mid", "is_new", "et")))
 
 
 @query
@@ -521,20 +513,16 @@ def cart_delta_stream(spark, stream, read):
 @stream_query
 def log_split_stream(spark, stream, read):
     path = fresh_dir(spark, "log_split")
-    names = ("dirty", "err", "start", "page", "display", "action")
     lines = b.cut_log_lines(stream)
-    pipelines.split_logs(lines, {n: pipelines.text_folder(f"{path}/{n}") for n in names},
-                         f"{path}/checkpoint", once=True).awaitTermination()
-    feeds = {n: spark.read.text(f"{path}/{n}") for n in names}
-    item = {"display": "display map<string,string>", "action": "action map<string,string>"}
-    parsed = {}
-    for n in names[1:]:
-        schema = f"{schemas.LOG.toDDL()}" + (f", {item[n]}" if n in item else "")
-        parsed[n] = feeds[n].select(F.from_json("value", schema).alias("j")).select("j.*")
-    dirty = feeds["dirty"].select(F.lit("dirty").alias("feed"), F.lit(None).cast("string").alias("mid"),
-                                  F.lit(None).cast("string").alias("is_new"), F.lit(None).cast("bigint").alias("ts"),
-                                  F.length("value").cast("string").alias("detail"))
-    return _feed_rows(parsed).unionByName(dirty)
+    for name, feeds in (("good", pipelines.split_logs(lines)), ("bad", pipelines.dirty_lines(lines))):
+        pipelines.feed_folders(feeds, f"{path}/{name}", f"{path}/{name}_checkpoint", once=True).awaitTermination()
+    schema = f"{schemas.LOG.toDDL()}, display map<string,string>, action map<string,string>"
+    good = jsons.parse_once(spark.read.text(f"{path}/good"), schema, keep=["feed"])
+    nothing = F.lit(None).cast("string")
+    bad = spark.read.text(f"{path}/bad").select("feed", nothing.alias("mid"), nothing.alias("is_new"),
+                                                nothing.cast("bigint").alias("ts"),
+                                                F.length("value").cast("string").alias("detail"))
+    return _feed_rows(good).unionByName(bad)
 
 
 @stream_query

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from brookmart.functions.jsons import parse_once
+
 RELIABLE = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
@@ -34,8 +36,7 @@ def read_topic(spark: SparkSession, servers: str, topic: str, **kwargs) -> DataF
 def json_table(lines: DataFrame, schema: T.StructType, view: str | None = None, event_ms: str | None = None,
                delay: str | None = None) -> DataFrame:
     """A JSON topic as a typed table with processing time and, if named, event time and watermark."""
-    table = lines.select(F.from_json("value", schema).alias("j")).select("j.*")
-    table = table.withColumn("proc_time", F.current_timestamp())
+    table = parse_once(lines, schema).withColumn("proc_time", F.current_timestamp())
     if event_ms:
         table = table.withColumn("et", F.timestamp_millis(event_ms))
         if delay and table.isStreaming:

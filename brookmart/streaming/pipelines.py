@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart import schemas
+from brookmart.functions.jsons import parse_once
 from brookmart.operators import cdc, logs
 from brookmart.plans.dims import dimension_cells
 from brookmart.sources.tables import DimensionStore, MetricTable
 from brookmart.streaming import state
-from brookmart.streaming.runner import to_batches
+from brookmart.streaming.runner import INTERVAL, to_batches
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -52,43 +53,32 @@ def routed_folders(path: str) -> Sink:
     return write
 
 
-def split_logs(lines: DataFrame, sinks: dict[str, Sink], checkpoint: str, once: bool = False,
-               ttl_ms: int | None = None) -> StreamingQuery:
-    """Log lines into ``dirty``, ``err``, ``start``, ``page``, ``display`` and ``action`` feeds.
+def split_logs(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """Log lines → ``feed`` (err, start, page, display, action) and ``value``, in one pass.
 
-    The visitor's flag is repaired in keyed state. A micro-batch is kept while its feeds are
-    written, so the source and the state are read once.
+    The visitor's flag is repaired in keyed state on the way. ``feed`` routes the rows in any sink.
     """
-    text = F.col("value")
-    checked = lines.select("value", logs.is_json_object(text).alias("good"))
-    parsed = checked.select("*", F.from_json(F.when(F.col("good"), text), schemas.LOG).alias("j"))
-    keyed = parsed.select(
-        "value", "good", F.col("j.common.mid").alias("mid"), F.col("j.common.is_new").alias("is_new"),
-        F.timestamp_millis(F.col("j.ts")).alias("et"))
+    good = logs.split_dirty(lines)[0]
+    parsed = parse_once(good, "common struct<mid string, is_new string>, ts bigint", keep=["value"])
+    keyed = parsed.select("value", "common.mid", "common.is_new", F.timestamp_millis("ts").alias("et"))
     fixed = state.repair_is_new(keyed, ttl_ms=ttl_ms)
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good = batch.where("good").select("is_new", F.from_json("value", schemas.LOG).alias("j"))
-            records = good.select("j.*", "is_new").withColumn(
-                "common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
-            feeds = {n: logs.to_feed(df) for n, df in logs.split_feeds(records).items()}
-            feeds["dirty"] = batch.where("NOT good").select("value")
-            for name, sink in sinks.items():
-                sink(feeds[name], batch_id)
-        finally:
-            batch.unpersist()
-
-    return to_batches(fixed, handle, checkpoint, once)
-
-
-def text_folder(path: str) -> Sink:
-    """A sink of text lines, one folder per batch."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select("value").write.mode("overwrite").text(f"{path}/batch={batch_id}")
+    clean = parse_once(fixed, schemas.LOG, keep=["is_new"])
+    clean = clean.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
+    return logs.to_feed(logs.tag_feeds(clean), "feed")
 
-    return write
+
+def dirty_lines(lines: DataFrame) -> DataFrame:
+    """The other lines, as rows of the ``dirty`` feed. They pass no state."""
+    return logs.split_dirty(lines)[1].select(F.lit("dirty").alias("feed"), "value")
+
+
+def feed_folders(feeds: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Feeds as text lines in one folder per feed; the file sink counts a replayed batch once."""
+    writer = (feeds.writeStream.format("text").outputMode("append").partitionBy("feed")
+              .option("path", path).option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=INTERVAL)
+    return writer.start()
 
 
 def enriched_metrics(sums: DataFrame, enrich: Callable[[DataFrame], DataFrame], table: MetricTable,
