@@ -148,7 +148,8 @@ def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: s
 
     Rows pass in their micro-batch; rows without a visitor pass unchanged, spread over many keys that
     hold no state. With ``ttl_ms`` the first visit is forgotten after that much processing time
-    without a first visit, as a bounded-state deployment may want.
+    without a first visit, as a bounded-state deployment may want. That makes the query one of
+    processing time, which never runs dry: give it an interval trigger, not ``availableNow``.
     """
     columns = df.columns
     nobody = F.concat(F.lit(_NO_VISITOR), F.pmod(F.xxhash64(*columns), F.lit(_SPREAD)).cast("string"))

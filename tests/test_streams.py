@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 
 import pytest
@@ -101,10 +102,22 @@ def test_flag_repair_across_batches(feed, rows):
         visits.repair_is_new(pages(f.batch()).select("mid", "is_new", "et")).select("mid", "is_new", F.col("et").cast("string")))
 
 
-def test_flag_repair_with_ttl_runs(feed):
+def test_flag_repair_with_ttl(spark, feed, tmp_path):
+    """A processing-time query never runs dry, so it is stopped once its rows are there."""
     f = feed(PAGE).add(page("a", "2024-01-01 10:00:00"), page("a", "2024-01-02 10:00:00"))
-    fixed = drain(state.repair_is_new(pages(f.stream()).select("mid", "is_new", "et"), ttl_ms=3_600_000))
-    assert sorted(r.is_new for r in fixed.collect()) == ["0", "1"]
+    fixed = state.repair_is_new(pages(f.stream()).select("mid", "is_new", "et"), ttl_ms=3_600_000)
+    out = str(tmp_path / "out")
+    query = to_files(fixed, out, str(tmp_path / "c"), interval="1 second")
+    try:
+        until = time.time() + 60
+        got = []
+        while len(got) < 2 and time.time() < until:
+            time.sleep(1)
+            if query.lastProgress:
+                got = [r.is_new for r in spark.read.schema(fixed.schema).parquet(out).collect()]
+    finally:
+        query.stop()
+    assert sorted(got) == ["0", "1"]
 
 
 def test_late_rows_are_dropped(feed):
