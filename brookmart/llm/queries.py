@@ -8,9 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import table
+from brookmart.llm.language import identified
 from brookmart.llm.line_dedup import dedup_lines
+from brookmart.llm.materialise import materialised
 from brookmart.llm.mixing import mix
+from brookmart.llm.neighbours import nearest
+from brookmart.llm.packing import pack
+from brookmart.llm.quality import judged
 from brookmart.llm.sharding import assign
+from brookmart.llm.simhash import near_duplicates
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,17 +24,48 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialised(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identified(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(table(spark, sf_dir, "documents")).drop("vslot")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_nearest": op2_nearest,
+    "op3_training_order": op3_training_order,
+    "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_simhash": op8_simhash,
+    "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
 
