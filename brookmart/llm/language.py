@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmart.llm.tokens import slices, text_bytes
 
@@ -220,25 +221,35 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     return train(texts, [r.known for r in rows for _ in r.pieces])
 
 
-def identified(docs: DataFrame, net: Network | None = None) -> DataFrame:
-    """doc_id, text_hash (tells rows of one id apart), held_out, lang_pred, score."""
+def labelled(docs: DataFrame, carry: list[Column], net: Network | None = None) -> DataFrame:
+    """``row`` (a struct of ``carry``), lang_pred and score of every document; nothing is shuffled."""
     net = net or fit(docs)
+    rows = docs.select(F.struct(*carry).alias("row"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
+    if net is None:
+        return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(3), 4 << 20):
+            for a, b in slices(batch.column(1), 4 << 20):
                 part = batch.slice(a, b - a)
-                letters = part.column(4).to_numpy(zero_copy_only=False)
-                pooled = net.pooled(*text_bytes(part.column(3)))
-                best = pooled.argmax(axis=1)
-                names = [net.languages[c] if ok else UNKNOWN for c, ok in zip(best.tolist(), letters)]
+                letters = part.column(2).to_numpy(zero_copy_only=False)
+                pooled = net.pooled(*text_bytes(part.column(1)))
+                names = [net.languages[c] if ok else UNKNOWN for c, ok in zip(pooled.argmax(axis=1).tolist(), letters)]
                 score = np.where(letters, np.clip(pooled.max(axis=1), 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(3)), pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                    ["doc_id", "text_hash", "held_out", "lang_pred", "score"])
+                    [part.column(0), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["row", "lang_pred", "score"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), held_out(F.col("doc_id")).alias("held_out"),
-                       "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
-    if net is None:
-        return rows.select("doc_id", "text_hash", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, held_out boolean, lang_pred string, score double")
+    out = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(run, out)
+
+
+def identified(docs: DataFrame, net: Network | None = None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score."""
+    carry = [F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out")]
+    return labelled(docs, carry, net).select("row.*", "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, sure: float = 0.5, net: Network | None = None) -> DataFrame:
+    """The documents whose language is told with a score of ``sure`` or more; those without a letter go."""
+    found = labelled(docs, [F.col(c) for c in docs.columns], net)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= sure)).select([F.col("row")[c].alias(c) for c in docs.columns])

@@ -17,6 +17,7 @@ from brookmart.llm.packing import pack
 from brookmart.llm.quality import judged
 from brookmart.llm.sharding import assign
 from brookmart.llm.simhash import near_duplicates
+from brookmart.llm.substrings import repeated_strings
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +33,10 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialised(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,7 +55,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return identified(table(spark, sf_dir, "documents")).drop("text_hash")
+    return identified(table(spark, sf_dir, "documents"))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_nearest": op2_nearest,
     "op3_training_order": op3_training_order,
+    "op4_suffix_arrays": op4_suffix_arrays,
     "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_best_fit_packing": op7_best_fit_packing,
