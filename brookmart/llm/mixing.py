@@ -47,17 +47,29 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
 def fit(lengths: list[int], counts: list[int], target: float, repeats: int = REPEATS) -> tuple[int, list[int]]:
     """Whole passes over a source, and how many documents of each length go in once more.
 
-    The sum is the target's integer part or the nearest reachable below it.
+    The sum is the target's integer part or the nearest found below it. First every length gives the same share; if no
+    subset closes the gap then, the share shrinks, and without any share the knapsack has every choice (and is exact up to
+    ``DENSE``).
     """
     whole = sum(n * c for n, c in zip(lengths, counts))
-    chosen = [0] * len(lengths)
     if not whole:
-        return 0, chosen
+        return 0, [0] * len(lengths)
     budget = int(target)
     passes = min(budget // whole, repeats)
     rest = 0 if passes == repeats else budget - passes * whole
-    for i, (n, c) in enumerate(zip(lengths, counts)):
-        chosen[i] = c * rest // whole if n else 0
+    best: tuple[int, list[int]] = (-1, [])
+    for share in (rest, rest * 3 // 4, rest // 2, 0):
+        chosen = [c * share // whole if n else 0 for n, c in zip(lengths, counts)]
+        total = _close(lengths, counts, chosen, rest)
+        if total > best[0]:
+            best = (total, chosen)
+        if total == rest:
+            break
+    return passes, best[1]
+
+
+def _close(lengths: list[int], counts: list[int], chosen: list[int], rest: int) -> int:
+    """Add to ``chosen`` what brings its sum nearest to ``rest`` from below: a bounded knapsack over lengths. Returns the sum."""
     left = rest - sum(n * c for n, c in zip(lengths, chosen))
     order = sorted((i for i, n in enumerate(lengths) if n), key=lambda i: -lengths[i])
     for i in order:  # large lengths first, until the table below is small
@@ -73,12 +85,12 @@ def fit(lengths: list[int], counts: list[int], target: float, repeats: int = REP
             steps.append((i, part, reach))
             reach |= reach << part * lengths[i] & mask
             spare, part = spare - part, part * 2
-    at = reach.bit_length() - 1
+    found = at = reach.bit_length() - 1
     for i, part, earlier in reversed(steps):
         if not earlier >> at & 1:
             chosen[i] += part
             at -= part * lengths[i]
-    return passes, chosen
+    return rest - left + found
 
 
 def _fitted(repeats: int):
