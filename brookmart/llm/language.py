@@ -209,10 +209,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
     """A network from a bounded sample; None if nothing is labelled."""
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                        & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
+    if not counts:
+        return None
     at = lambda k: F.substring("text", F.lit(1) + F.pmod(
         F.xxhash64("doc_id", F.lit(k)), F.greatest(F.lit(1), F.char_length("text") - TRAINED + 1)).cast("int"), F.lit(TRAINED))
-    pieces = known.select(F.col("lang").alias("known"), F.xxhash64(F.lit(9), "doc_id").alias("turn"),
-                          F.array(*[at(k) for k in range(PIECES)]).alias("pieces"))
+    turn = F.xxhash64(F.lit(9), "doc_id")
+    # about four times the wanted rows of a language are ranked, however many it has
+    shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, 4 * per_language / n))])
+    few = known.where(F.shiftrightunsigned(turn, 11) / 2.0**53 <= F.element_at(shares, F.col("lang")))
+    pieces = few.select(F.col("lang").alias("known"), turn.alias("turn"), F.array(*[at(k) for k in range(PIECES)]).alias("pieces"))
     nth = F.row_number().over(Window.partitionBy("known").orderBy("turn", "pieces"))
     rows = pieces.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("known", "turn", "pieces").collect()
     if not rows:
