@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from brookmart.oracles import ORACLES
 from brookmart.queries import QUERIES
 from check import compare, connect
 
@@ -15,7 +16,8 @@ def db(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
