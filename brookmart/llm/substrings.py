@@ -31,9 +31,9 @@ from brookmart.llm.tokens import slices, text_bytes
 
 LENGTH = 50
 SEED = 20
-BATCH = 32 << 20
-RANGE = 24 << 20
-SLICE = 2 << 20
+BATCH = 16 << 20
+RANGE = 8 << 20
+SLICE = 1 << 20
 ODD = 0x2545F4914F6CDD1D
 ENTRY = {"h": 7, "c": 6, "doc": 4, "pos": 4}  # bytes kept of each column of a block
 WORD = (1 << 64) - 1
@@ -95,7 +95,7 @@ def suffixes(data: np.ndarray, sizes: np.ndarray, length: int = LENGTH, seed: in
     long = sizes >= length
     inside[starts[long]] += 1
     np.subtract.at(inside, ends[long] - length + 1, 1)
-    least[np.cumsum(inside[:-1]) == 0] = 0  # no string of this length starts here
+    least[np.cumsum(inside[:-1], dtype=np.int32) == 0] = 0  # no string of this length starts here
     at = np.flatnonzero(_slide(least, width, np.maximum, back=True) == hashes)
     text = np.searchsorted(ends, at, side="right")
     reach = length - seed
@@ -347,7 +347,8 @@ def _results(texts: pa.Table, spans: pa.Table) -> pa.Table:
             np.add.at(step, first[at[own]] + start[own], 1)
             np.add.at(step, first[at[own]] + stop[own], -1)
             nth += 1
-    gone = np.cumsum(step[:-1]) > 0
+    gone = np.cumsum(step[:-1], dtype=np.int32) > 0
+    del step
     begins = np.zeros(len(data) + 1, bool)
     begins[first] = True
     starts = np.flatnonzero(gone & (begins[:-1] | ~np.concatenate([[False], gone[:-1]])))
