@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from brookmart import schemas
 from brookmart.functions.jsons import parse_once
-from brookmart.operators.joins import small_side
 
 CHANGE_OPS = ("c", "u", "d", "r")
 
@@ -85,7 +84,7 @@ def route_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     → sink_table, sink_family, row_key, op, ts_ms, payload (map of the configured cells plus ``op``).
     Changes of tables without a routing row drop out.
     """
-    routes = small_side(config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"))
+    routes = config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
     joined = changes.join(routes, changes["source"]["table"] == routes["source_table"])
     row = current_cells()
     return joined.select(
@@ -104,7 +103,7 @@ def route_facts(changes: DataFrame, config: DataFrame) -> DataFrame:
     """
     kind = F.create_map(*[F.lit(x) for t, ops in SOURCE_TYPE_OPS.items() for op in ops for x in (op, t)])
     typed = changes.withColumn("source_kind", kind[F.col("op")])
-    routes = small_side(config.select("source_table", "source_type", "sink_table", "sink_columns"))
+    routes = config.select("source_table", "source_type", "sink_table", "sink_columns")
     joined = typed.join(routes, (typed["source"]["table"] == routes["source_table"])
                         & (typed["source_kind"] == routes["source_type"]))
     stamp = F.create_map(F.lit("ts_ms"), F.col("ts_ms").cast("string"))

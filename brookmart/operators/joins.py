@@ -1,7 +1,6 @@
 """Joins.
 
-No side is broadcast by hint unless its size is bounded here. Dictionary and dimension joins carry
-no hint: Catalyst broadcasts them while their size statistics stay under
+No side is broadcast by hint. Catalyst broadcasts a side while its size statistics stay under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sorts and merges, where AQE splits hot keys.
 """
 
@@ -10,16 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_SIDE_ROWS = 10_000
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else leave the join to Catalyst."""
-    if df.isStreaming:
-        return df
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def _seconds(interval: str) -> int:
     amount, unit = interval.split()
     return int(amount) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
@@ -58,16 +47,19 @@ def interval_join(left: DataFrame, right: DataFrame, keys: dict[str, str], left_
 
 
 def fact_join(left: DataFrame, right: DataFrame, keys: dict[str, str], how: str = "inner",
-              left_ts: str | None = None, right_ts: str | None = None, within: str = "1 hour") -> DataFrame:
+              left_ts: str | None = None, right_ts: str | None = None, within: str | None = None) -> DataFrame:
     """Equi-join of two fact streams; ``keys`` maps left to right columns, whose names are distinct.
 
     In batch there is no time bound. On streams both sides must be watermarked and rows meet only
-    if their event times are at most ``within`` apart, so that the state stays finite.
+    if their event times are at most ``within`` apart, which drops matches further apart: the caller
+    must say how far. ``brookmart.streaming.keyed`` joins streams without such a bound.
     """
     condition = F.lit(True)
     for l, r in keys.items():
         condition = condition & (F.col(l) == F.col(r))
     if left.isStreaming and right.isStreaming:
+        if within is None:
+            raise ValueError("a join of two streams needs `within`, the largest distance of matching rows in event time")
         span = F.expr(f"interval {within}")
         condition = (condition & (F.col(right_ts) >= F.col(left_ts) - span)
                      & (F.col(right_ts) <= F.col(left_ts) + span))
@@ -92,10 +84,19 @@ def look_up(rows: DataFrame, dim: DataFrame, key: str, dim_key: str, **columns:
     return rows.join(side, F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
+def _meeting(key: Column) -> Column:
+    """A second key that is 0 for every key, which Catalyst cannot know.
+
+    A side that comes straight from an aggregate by the key is already dealt out by it, and AQE splits
+    hot keys only between two exchanges of the join's own. One more key makes the join ask for both.
+    """
+    return F.pmod(F.hash(key), F.lit(1))
+
+
 def flag_members(rows: DataFrame, words: DataFrame, column: str, word: str = "word", flag: str = "is_member") -> DataFrame:
     """Add whether ``column`` is in the word list; null and empty strings are not."""
     listed = words.select(F.col(word).alias("_word")).where(F.coalesce("_word", F.lit("")) != "").distinct()
-    joined = rows.join(listed, F.col(column) == F.col("_word"), "left")
+    joined = _left_by_key(rows, listed, F.col(column), "_word", [c for c in rows.columns])
     return joined.withColumn(flag, F.col("_word").isNotNull()).drop("_word")
 
 
@@ -107,23 +108,22 @@ def non_members(rows: DataFrame, words: DataFrame, column: str, word: str = "wor
     return rows.join(words.select(F.col(word).alias("_word")), F.col(column) == F.col("_word"), "left_anti")
 
 
-def join_key_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, *values: str, spread_by: list[str],
-                   hot_rows: int = 100_000, max_hot: int = 4096, spread: int = 256) -> DataFrame:
-    """Left join ``rows`` to ``facts``, an aggregate of the same rows with one row per key.
+NO_KEY_PARTS = 256
+
 
-    AQE does not split a join whose other side comes straight from an aggregate, so hot keys are
-    split here: the at most ``max_hot`` keys with ``hot_rows`` rows or more are broadcast (their
-    number bounds the size), and their rows are spread by the hash of ``spread_by`` over ``spread``
-    salts in the shuffle for all other keys. A key beyond the first ``max_hot`` holds under
-    1/``max_hot`` of the rows.
+def _left_by_key(rows: DataFrame, side: DataFrame, key: Column, side_key: str, spread_by: list[str]) -> DataFrame:
+    """Left join on one key, either side possibly hot or straight from an aggregate.
+
+    Rows without a key match nothing and are dealt out by ``spread_by`` instead of meeting in one task.
     """
-    columns = rows.columns
-    hot = (facts.where(F.col(count) >= hot_rows).orderBy(F.desc(count), key).limit(max_hot)
-           .select(F.col(key).alias("_hot_key"), *[F.col(v).alias(f"_hot_{v}") for v in values]))
-    cold = facts.select(F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"),
-                        *[F.col(v).alias(f"_cold_{v}") for v in values])
-    salt = F.when(F.col("_hot_key").isNotNull(),
-                  F.pmod(F.xxhash64(*spread_by), F.lit(spread)).cast("int") + 1).otherwise(0)
-    marked = (rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", salt))
-    joined = marked.join(cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")), "left")
-    return joined.select(*columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values])
+    nowhere = F.pmod(F.xxhash64(*spread_by), F.lit(NO_KEY_PARTS)).cast("int") + 1
+    left = rows.withColumn("_meet", F.when(key.isNull(), nowhere).otherwise(_meeting(key)))
+    right = side.withColumn("_side_meet", _meeting(F.col(side_key)))
+    return left.join(right, (key == F.col(side_key)) & (F.col("_meet") == F.col("_side_meet")), "left").drop("_meet", "_side_meet")
+
+
+def join_key_facts(rows: DataFrame, facts: DataFrame, key: str, *values: str, spread_by: list[str]) -> DataFrame:
+    """Left join ``rows`` to ``facts``, an aggregate of the same rows with one row per key."""
+    side = facts.select(F.col(key).alias("_fact_key"), *[F.col(v).alias(f"_fact_{v}") for v in values])
+    joined = _left_by_key(rows, side, F.col(key), "_fact_key", spread_by)
+    return joined.select(*rows.columns, *[F.col(f"_fact_{v}").alias(v) for v in values])

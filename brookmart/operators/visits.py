@@ -30,23 +30,30 @@ def first_of_day(df: DataFrame, keys: list[str], ts: str = "et", carry: list[str
 
 
 def first_visits(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: str = "et") -> DataFrame:
-    """Per visitor: first-visit date (the day before, if the first event already says "not new"), rows."""
+    """Per visitor the first-visit date: the day before, if the first event already says "not new"."""
     first = F.min(F.struct(F.col(ts).alias("t"), F.col(is_new).alias("n")))
     # min per (visitor, flag) is hash-aggregated; at most a few flags per visitor reach the second step
-    part = df.groupBy(key, is_new).agg(F.min(ts).alias(ts), F.count(F.lit(1)).alias("rows"))
-    one = part.groupBy(key).agg(first.alias("f"), F.sum("rows").alias("rows"))
+    part = df.where(F.col(key).isNotNull()).groupBy(key, is_new).agg(F.min(ts).alias(ts))
+    one = part.groupBy(key).agg(first.alias("f"))
     date = F.when(F.col("f.n") == "1", F.date_format("f.t", DATE)).otherwise(
         F.date_format(F.col("f.t") - F.expr("interval 1 day"), DATE))
-    return one.select(key, date.alias("first_date"), "rows")
+    return one.select(key, date.alias("first_date"))
 
 
 def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: str = "et",
-                  spread_by: list[str] = ("et",), **hot) -> DataFrame:
-    """Set ``is_new`` to 0 where it says 1 on another day than the first visit's."""
-    joined = join_key_facts(df, first_visits(df, key, is_new, ts), key, "rows", "first_date",
-                            spread_by=list(spread_by), **hot)
+                  spread_by: list[str] = ("et",), visits: DataFrame | None = None) -> DataFrame:
+    """Set ``is_new`` to 0 where it says 1 on another day than the first visit's.
+
+    Only rows that say 1 can change, so only their visitor is a join key; the others pass like rows
+    without a visitor. ``visits`` may give ``first_visits`` from a cheaper reading of the same rows.
+    The stream form decides by the rows seen so far: a visitor whose earliest row arrives in a later
+    micro-batch is dated by an earlier arrival there, and by the earliest row here.
+    """
+    asked = df.withColumn("_asked", F.when(F.col(is_new) == "1", F.col(key)))
+    facts = (first_visits(df, key, is_new, ts) if visits is None else visits).withColumnRenamed(key, "_asked")
+    joined = join_key_facts(asked, facts, "_asked", "first_date", spread_by=list(spread_by))
     stale = (F.col(is_new) == "1") & (F.col("first_date") != F.date_format(ts, DATE))
-    return joined.withColumn(is_new, F.when(stale, "0").otherwise(F.col(is_new))).drop("first_date")
+    return joined.withColumn(is_new, F.when(stale, "0").otherwise(F.col(is_new))).drop("first_date", "_asked")
 
 
 def login_days(df: DataFrame, key: str = "uid", ts: str = "et", back_days: int = 8) -> DataFrame:

@@ -370,7 +370,11 @@ SELECT o_orderkey, o_custkey || '_' || o_orderstatus AS plain_key,
 ORACLES["hex_decimal"] = """
 WITH o AS (SELECT *, o_orderkey * 1000003 + 1 AS n,
              CAST(CAST(o_custkey + 1 AS HUGEINT) * 1152921504606846976 + (o_orderkey * 1000003 + 1) AS VARCHAR) AS w FROM orders)
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '0' ELSE CAST(n AS VARCHAR) END AS narrow, w AS wide, w AS any_width,
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '0' ELSE CAST(n AS VARCHAR) END AS narrow, w AS wide,
+       CASE WHEN o_orderkey % 2 = 0 THEN '115792089237316195423570985008687907853269984665640564039457584007913129639935'
+            ELSE CAST(n AS VARCHAR) END AS word,
+       CASE WHEN o_orderkey % 2 = 0 THEN n || '000' WHEN n % 1000 = 0 THEN CAST(n // 1000 AS VARCHAR)
+            ELSE (n // 1000) || '.' || rtrim(lpad(CAST(n % 1000 AS VARCHAR), 3, '0'), '0') END AS power,
        (o_orderkey // 1000) || CASE WHEN o_orderkey % 1000 = 0 THEN ''
           ELSE '.' || rtrim(lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0'), '0') END AS ether FROM o"""
 

@@ -1,7 +1,8 @@
 """Fact tables from change-data envelopes.
 
 Each builder takes the envelope DataFrame, batch or streaming. On streams ``within`` bounds how far
-apart in event time joined rows may be (the state would otherwise grow without end).
+apart in event time joined rows may be (the state would otherwise grow without end); there is no
+default, because matches further apart are lost. ``brookmart.streaming.keyed`` has the forms without a bound.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def cart_add(db: DataFrame) -> DataFrame:
     return cart_increases(db)
 
 
-def order_detail(db: DataFrame, within: str = "1 hour") -> DataFrame:
+def order_detail(db: DataFrame, within: str | None = None) -> DataFrame:
     """Order details with their order and, where present, activity and coupon (17 columns)."""
     original = (F.col("after")["sku_num"].cast("decimal(16,2)")
                 * F.col("after")["order_price"].cast("decimal(16,2)")).cast("string")
@@ -65,7 +66,7 @@ _DETAIL_KEYS = ("order_id", "user_id", "sku_id", "sku_name", "province_id", "act
                 "coupon_id")
 
 
-def order_cancel(db: DataFrame, details: DataFrame, within: str = "1 hour") -> DataFrame:
+def order_cancel(db: DataFrame, details: DataFrame, within: str | None = None) -> DataFrame:
     """Details of orders whose status went from 1001 to 1003 (17 columns)."""
     cancels = _timed(transition(db, "order_info", "order_status", "1003", before="1001").select(
         *cells("operate_time", oc_id="id"), F.col("ts_ms").alias("ts")), "oc_et").withColumnRenamed("ts", "oc_ts")
@@ -88,7 +89,7 @@ def payment_success(db: DataFrame, details: DataFrame, dictionary: DataFrame,
                         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"))
 
 
-def order_refund(db: DataFrame, dictionary: DataFrame, within: str = "1 hour") -> DataFrame:
+def order_refund(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
     """Refund requests of orders that reached status 1005 (15 columns)."""
     refunds = _timed(changes_of(db, "order_refund_info").select(
         *cells("id", "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount",
@@ -106,7 +107,7 @@ def order_refund(db: DataFrame, dictionary: DataFrame, within: str = "1 hour") -
                         "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount", "ts")
 
 
-def refund_payment_success(db: DataFrame, dictionary: DataFrame, within: str = "1 hour") -> DataFrame:
+def refund_payment_success(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
     """Paid-out refunds, matched by order and sku to the refund and by order to its order (12 columns)."""
     paid = _timed(transition(db, "refund_payment", "refund_status", "1602").select(
         *cells("id", "order_id", "sku_id", payment_type_code="payment_type", called_back="callback_time",

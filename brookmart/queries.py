@@ -32,19 +32,10 @@ def query(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 def stream_query(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """Register ``fn(spark, stream, read)``: it streams whole tables to the end and reads the result back.
-
-    A session that kept the stock 200 shuffle partitions gets one state partition per core.
-    """
+    """Register ``fn(spark, stream, read)``: it streams whole tables to the end and reads the result back."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        partitions = spark.conf.get("spark.sql.shuffle.partitions")
-        if partitions == "200":
-            spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-        try:
-            return fn(spark, b.stream_reader(spark, sf_dir), b.batch_reader(spark, sf_dir))
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        return fn(spark, b.stream_reader(spark, sf_dir), b.batch_reader(spark, sf_dir))
 
     QUERIES[fn.__name__] = run
     return fn
@@ -333,11 +324,15 @@ def hex_decimal(spark, read):
         "o_orderkey",
         F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("0x"), F.lower(F.hex(n)))).alias("digits"),
         F.concat(F.lit("0x"), F.lower(F.hex(F.col("o_custkey") + 1)), F.lpad(F.lower(F.hex(n)), 15, "0")).alias("many"),
+        F.when(F.col("o_orderkey") % 2 == 0, "0x" + "f" * 64).otherwise(
+            F.concat(F.lit("0x"), F.lpad(F.lower(F.hex(n)), 64, "0"))).alias("word"),
+        F.concat(n.cast("string"), F.when(F.col("o_orderkey") % 2 == 0, "E+3").otherwise("e-3")).alias("power"),
         (F.col("o_orderkey").cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)")).cast("string").alias("wei"))
     return given.select(
         "o_orderkey", numbers.hex_to_decimal_text(F.col("digits")).alias("narrow"),
         numbers.hex_to_decimal_text(F.col("many")).alias("wide"),
-        numbers.hex_to_decimal_text(F.col("many"), wide=True).alias("any_width"),
+        numbers.hex_to_decimal_text(F.col("word")).alias("word"),
+        numbers.hex_to_decimal_text(F.col("power")).alias("power"),
         numbers.hex_to_decimal_text(F.col("wei"), to_ether=True).alias("ether"))
 
 

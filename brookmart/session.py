@@ -42,10 +42,12 @@ def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` if the cluster names one.
 
-    Only where it is unset (tests, one machine) a temporary folder stands in.
+    Only where it is unset and everything runs on one machine (tests) a temporary folder stands in.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="brookmart-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -17,9 +17,10 @@ RELIABLE = {"kafka.acks": "all", "kafka.enable.idempotence": "true"}
 
 
 def topic_options(servers: str, topic: str, group: str | None = None, offsets: str = "earliest",
-                  discovery_ms: int | None = None) -> dict[str, str]:
+                  discovery_ms: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """``fail_on_data_loss=False`` goes on where offsets have expired, and so skips records."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": offsets,
-               "failOnDataLoss": "false"}
+               "failOnDataLoss": str(fail_on_data_loss).lower()}
     if group:
         options["kafka.group.id"] = group
     if discovery_ms is not None:

@@ -61,10 +61,15 @@ def test_json_list_append(spark):
 def test_hex_decimal(spark):
     big = "0x" + "f" * 64
     data = ["0x0", "0xff", "0x00ff", "0x" + "f" * 31, big, "123", None, "0x"]
-    narrow = values(spark, data, numbers.hex_to_decimal_text(F.col("s")))
-    assert narrow[:4] == ["0", "255", "255", str(16**31 - 1)] and narrow[4] is None and narrow[5:7] == ["123", "0"]
-    wide = values(spark, data, numbers.hex_to_decimal_text(F.col("s"), wide=True))
-    assert wide[:7] == ["0", "255", "255", str(16**31 - 1), str(16**64 - 1), "123", "0"]
+    got = values(spark, data, numbers.hex_to_decimal_text(F.col("s")))
+    assert got[:7] == ["0", "255", "255", str(16**31 - 1), str(16**64 - 1), "123", "0"]
+
+
+def test_exponents(spark):
+    data = ["1E+3", "1e3", "1.5E+3", "1.23456e2", "12e-3", "-12.5e-1", "0e5", "1E0", "+2E+1", "123e-3", ".5e1", "1e", "e3", "x"]
+    want = ["1000", "1000", "1500", "123.456", "0.012", "-1.25", "0", "1", "20", "0.123", "5", "1e", "e3", "x"]
+    assert values(spark, data, numbers.hex_to_decimal_text(F.col("s"))) == want
+    assert values(spark, ["1E+18"], numbers.hex_to_decimal_text(F.col("s"), to_ether=True)) == ["1"]
 
 
 @pytest.mark.parametrize("plain_text, expected", [

@@ -85,12 +85,10 @@ REPAIRED = [("a", "1", 1, 10), ("a", "1", 1, 11), ("a", "0", 2, 10), ("b", "0",
             ("d", "1", 5, 0), ("d", "0", 6, 0), (None, "1", 6, 0)]
 
 
-@pytest.mark.parametrize("hot_rows, max_hot", [(100, 10), (1, 10), (2, 1)])
-def test_flag_repair(spark, hot_rows, max_hot):
-    """The answer is the same whichever keys count as hot."""
+def test_flag_repair(spark):
     data = REPAIR[:]
     random.Random(1).shuffle(data)
-    fixed = visits.repair_is_new(visits_frame(spark, data), hot_rows=hot_rows, max_hot=max_hot)
+    fixed = visits.repair_is_new(visits_frame(spark, data))
     got = fixed.select("mid", "is_new", F.dayofmonth("et"), F.hour("et")).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(REPAIRED, key=repr)
 
@@ -236,12 +234,6 @@ def test_interval_join_is_the_plain_join(spark, rows):
     assert got == want and len(got) > 50
 
 
-def test_small_side_is_checked(spark):
-    df = spark.range(20)
-    plan = lambda n: joins.small_side(df, n)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan(20) and "broadcast" not in plan(19)
-
-
 def test_dictionary_left_and_inner(spark, rows):
     df = spark.createDataFrame([("1", "1101"), ("2", "zz"), ("3", None)], "id string, code string")
     assert rows(joins.dictionary_join(df, dictionary(spark), "code", "name", "left").select("id", "name")) == [

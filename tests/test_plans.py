@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from brookmart import bindings as b
+from brookmart.operators import joins, visits
+from brookmart.operators.versions import newest_per_key
 from brookmart.plans import metrics
 from brookmart.queries import QUERIES
-from brookmart.operators.versions import newest_per_key
 
 BATCH = sorted(q for q in QUERIES if not q.endswith("_stream"))
 
@@ -54,3 +56,47 @@ def test_days_prune_partitions(spark, tmp_path):
     table.apply(spark.sql("SELECT '2024-01-01' AS cur_date, 'A' AS province_name, 1.00 AS order_amount"), 0)
     text = plan(reports.gmv(table.read(), 20240101))
     assert "PartitionFilters: [isnotnull(cur_date" in text
+
+
+@pytest.fixture
+def skewed(spark):
+    """Joins by shuffle only, and partitions of a few kilobytes count as large."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def largest_share(df) -> float:
+    """Rows of the fullest task over the mean."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(counts) / (sum(counts) / len(counts))
+
+
+@pytest.mark.parametrize("hot", ["half of the rows", "half without a visitor", "half not new"])
+def test_hot_visitor_is_split(skewed, hot):
+    n = F.col("id")
+    mid = F.when(n % 2 == 0, None if "without" in hot else "hot").otherwise(F.concat(F.lit("m"), n))
+    if "not new" in hot:
+        mid = F.concat(F.lit("m"), n % 50)
+    rows = skewed.range(0, 400_000, 1, 8).select(
+        "id", mid.alias("mid"), F.when((n % 2 == 0) & F.lit("not new" in hot), "0").otherwise("1").alias("is_new"),
+        F.timestamp_seconds(1704067200 + n % 200_000).alias("et"))
+    fixed = visits.repair_is_new(rows, spread_by=["id"])
+    assert largest_share(fixed) < 2
+    assert "_meet" in plan(fixed).split("hashpartitioning(")[1].split("\n")[0]
+
+
+def test_hot_word_is_split(skewed):
+    n = F.col("id")
+    rows = skewed.range(0, 400_000, 1, 8).select("id", F.when(n % 2 == 0, "the").otherwise(F.concat(F.lit("w"), n)).alias("word"))
+    words = skewed.range(1000).select(F.when(F.col("id") == 0, "the").otherwise(F.concat(F.lit("w"), F.col("id"))).alias("word"))
+    flagged = joins.flag_members(rows, words, "word")
+    assert largest_share(flagged) < 2
+    assert flagged.where("is_member").count() == 200_000 + 500
