@@ -16,8 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 TOKENIZER = "word_bpe_49k.json"
-SLICE_BYTES = 8 << 20
-KEPT_CHUNKS = 1_500_000
+SLICE_BYTES = 4 << 20
+KEPT_CHUNKS = 500_000
 SEPARATOR = "\x01"
 END = 0
 
