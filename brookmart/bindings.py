@@ -56,9 +56,15 @@ def envelope(table: str, op, ts_ms: Column, before: Column | None = None, after:
                     (F.lit(op) if isinstance(op, str) else op).alias("op"), ts_ms.alias("ts_ms"))
 
 
-def _unfold(df: DataFrame, *envelopes: Column) -> DataFrame:
-    """One output row per envelope expression and input row, without a union of scans."""
-    return df.select(F.explode(F.array(*envelopes)).alias("e")).select("e.*")
+def _unfold(df: DataFrame, table: str, *envelopes: Column) -> DataFrame:
+    """One output row per envelope expression and input row, without a union of scans.
+
+    The source stays outside the generator: a filter on the table is then decided while planning,
+    and branches of a union that hold other tables are not read.
+    """
+    parts = [F.struct(*[e[c].alias(c) for c in ("before", "after", "op", "ts_ms")]) for e in envelopes]
+    rows = df.select(F.explode(F.array(*parts)).alias("e")).where(F.col("e.op").isNotNull())
+    return rows.select("e.before", "e.after", row(db=F.lit("shop"), table=F.lit(table)).alias("source"), "e.op", "e.ts_ms")
 
 
 # --- application log ------------------------------------------------------------------------------
@@ -146,11 +152,10 @@ def order_changes(read: Reader) -> DataFrame:
     created = row(**base, order_status=F.lit("1001"))
     moved = row(**base, order_status=to, operate_time=later)
     done = row(**base, order_status=F.lit("1006"), operate_time=later + 10 * MINUTE)
-    out = _unfold(read("orders"),
+    return _unfold(read("orders"), "order_info",
                   envelope("order_info", "c", t, after=created),
                   envelope("order_info", "u", later, created, moved),
                   F.when(to == "1005", envelope("order_info", "u", later + 10 * MINUTE, moved, done)))
-    return out.where(F.col("op").isNotNull())
 
 
 def detail_id() -> Column:
@@ -210,22 +215,31 @@ def order_details(read: Reader) -> DataFrame:
         text(F.lit(None)).alias("coupon_id"), detail_millis().alias("ts"))
 
 
-def near_order_db(read: Reader, orders: DataFrame) -> DataFrame:
-    """The feed of ``order_detail_db`` with every detail, activity and coupon within ten minutes of its order.
-
-    ``orders`` is the static orders table that gives the times.
-    """
+def near_order_db(read: Reader) -> DataFrame:
+    """The feed of ``order_detail_db`` with every detail, activity and coupon within ten minutes of its order."""
     line, at = detail_row(), F.col("t") + (F.col("l_partkey") % 600) * 1000
-    times = orders.select("o_orderkey", millis("o_orderdate").alias("t"))
+    times = read("orders").select("o_orderkey", millis("o_orderdate").alias("t"))
     lines = read("lineitem").join(times, F.col("l_orderkey") == F.col("o_orderkey"))
     activity = row(order_detail_id=detail_id(), activity_id=F.col("l_suppkey") % 5, activity_rule_id=F.col("l_suppkey") % 3)
     coupon = row(order_detail_id=detail_id(), coupon_id=F.col("l_partkey") % 9)
-    details = lines.select(envelope("order_detail", "c", at, after=line).alias("e")).select("e.*")
-    activities = lines.where(F.col("l_discount") >= 0.05).select(
-        envelope("order_detail_activity", "c", at + 1000, after=activity).alias("e")).select("e.*")
-    coupons = lines.where(F.col("l_tax") >= 0.04).select(
-        envelope("order_detail_coupon", "c", at + 2000, after=coupon).alias("e")).select("e.*")
-    return order_changes(read).unionByName(details).unionByName(activities).unionByName(coupons)
+    parts = [envelope("order_detail", "c", at, after=line),
+             F.when(F.col("l_discount") >= 0.05, envelope("order_detail_activity", "c", at + 1000, after=activity)),
+             F.when(F.col("l_tax") >= 0.04, envelope("order_detail_coupon", "c", at + 2000, after=coupon))]
+    near = lines.select(F.explode(F.array_compact(F.array(*parts))).alias("e")).select("e.*")
+    return order_changes(read).unionByName(near)
+
+
+def closing_envelopes(spark: SparkSession, *tables: str) -> DataFrame:
+    """One change per table in the year 2200, of ids that match nothing, to close what a stream holds open."""
+    far = F.lit(7258118400000)
+    rows = spark.range(1).select(F.explode(F.array(*[
+        envelope(t, "c", far, after=row(id=F.lit(f"closing {t}"), order_id=F.lit("none"), order_detail_id=F.lit("none"))) for t in tables])).alias("e"))
+    return rows.select("e.*")
+
+
+def as_lines(changes: DataFrame) -> DataFrame:
+    """Envelopes as JSON text beside their time."""
+    return changes.select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"), "ts_ms")
 
 
 def payment_changes(read: Reader) -> DataFrame:
@@ -271,7 +285,7 @@ def refund_changes(read: Reader) -> DataFrame:
                 refund_amount=money("l_extendedprice"), create_time=t)
     asked = row(**base, refund_status=F.lit("0702"))
     paid = row(**base, refund_status=F.lit("0705"))
-    return _unfold(read("lineitem").where(F.col("l_returnflag") == "R"),
+    return _unfold(read("lineitem").where(F.col("l_returnflag") == "R"), "order_refund_info",
                    envelope("order_refund_info", "c", t, after=asked),
                    envelope("order_refund_info", "u", t + 2 * MINUTE, asked, paid))
 
@@ -315,7 +329,7 @@ def dimension_changes(read: Reader) -> DataFrame:
     update = row(id=key, name=F.lit(""), segment=F.concat(F.col("c_mktsegment"), F.lit("_2")), nation=F.col("c_nationkey"))
     again = row(id=key, name=F.concat(F.col("c_name"), F.lit("_again")), segment=F.lit(""), nation=F.lit(None))
     t = key * 10
-    customers = _unfold(read("customer"),
+    customers = _unfold(read("customer"), "user_info",
                         envelope("user_info", "r", t, after=full),
                         F.when(key % 2 == 0, envelope("user_info", "u", t + 1, full, update)),
                         F.when(key % 7 == 0, envelope("user_info", "d", t + 2, before=full)),
@@ -325,7 +339,7 @@ def dimension_changes(read: Reader) -> DataFrame:
         price=money("p_retailprice"))).alias("e")).select("e.*")
     nations = read("nation").select(envelope("base_nation", "c", F.col("n_nationkey").cast("bigint"), after=row(
         id=F.col("n_nationkey"), name=F.col("n_name"))).alias("e")).select("e.*")
-    return customers.where(F.col("op").isNotNull()).unionByName(parts).unionByName(nations)
+    return customers.unionByName(parts).unionByName(nations)
 
 
 # --- configuration and dimensions -----------------------------------------------------------------
@@ -348,6 +362,21 @@ def dimension_config(spark: SparkSession) -> DataFrame:
         AS t(source_table, sink_table, sink_columns, sink_family, sink_row_key, op)""")
 
 
+def dimension_config_changes(spark: SparkSession, first: Column, read: Reader) -> DataFrame:
+    """Configuration envelopes: both tables appear, and the customers' is dropped and created anew with
+    fewer columns in the middle of the customers' changes.
+    """
+    middle = read("customer").agg((F.max("c_custkey") * 5).alias("middle"))
+    cells = lambda columns: row(source_table=F.lit("user_info"), sink_table=F.lit("dim_user_info"), sink_columns=F.lit(columns),
+                                sink_family=F.lit("info"), sink_row_key=F.lit("id"))
+    old, new = cells("id,name,segment"), cells("id,segment")
+    rows = middle.select(F.explode(F.array(
+        envelope("table_process_dim", "r", first, after=old),
+        envelope("table_process_dim", "d", F.col("middle"), before=old),
+        envelope("table_process_dim", "c", F.col("middle") + 1, after=new))).alias("e"))
+    return rows.select("e.*")
+
+
 def fact_config(spark: SparkSession) -> DataFrame:
     return spark.sql("""
         SELECT * FROM VALUES

@@ -1,4 +1,4 @@
-"""Epoch and label conversions, all in the session zone."""
+"""Epoch and label conversions, all in the session zone. Malformed text gives null."""
 
 from __future__ import annotations
 
@@ -27,15 +27,15 @@ def millis_to_day_number(ms) -> Column:
 
 
 def datetime_to_millis(text) -> Column:
-    return F.unix_millis(F.to_timestamp(_col(text), DATETIME))
+    return F.unix_millis(F.try_to_timestamp(_col(text), F.lit(DATETIME)))
 
 
 def date_to_millis(text) -> Column:
-    return F.unix_millis(F.to_timestamp(_col(text), DATE))
+    return F.unix_millis(F.try_to_timestamp(_col(text), F.lit(DATE)))
 
 
 def _text_millis_to_seconds(text) -> Column:
-    return F.timestamp_seconds(F.floor(_col(text).cast("bigint") / F.lit(1000)).cast("bigint"))
+    return F.timestamp_seconds(F.floor(_col(text).try_cast("bigint") / F.lit(1000)).cast("bigint"))
 
 
 def text_millis_to_date(text) -> Column:

@@ -19,8 +19,9 @@ def is_json_object(text: Column) -> Column:
     """
     listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", _STRICT)
     nested = F.from_json(F.concat(F.lit('{"w":'), text, F.lit("}")), "struct<w:map<string,string>>", _STRICT)
-    good = (F.size(listed) == 1) & F.get(listed, 0).isNotNull() & nested["w"].isNotNull()
-    return F.coalesce(good, F.lit(False))
+    # the list is named once, so that it is parsed once
+    single = F.exists(F.array(listed), lambda a: (F.size(a) == 1) & F.get(a, 0).isNotNull())
+    return F.coalesce(single & nested["w"].isNotNull(), F.lit(False))
 
 
 def parse_once(lines: DataFrame, schema: T.StructType | str, column: str = "value", keep: list[str] = ()) -> DataFrame:
@@ -32,6 +33,11 @@ def parse_once(lines: DataFrame, schema: T.StructType | str, column: str = "valu
     return lines.select(*keep, F.inline(F.array(F.from_json(F.col(column), schema))))
 
 
+def mark_objects(lines: DataFrame, column: str = "value", mark: str = "is_object") -> DataFrame:
+    """Add whether the line is one JSON object, decided once however many filters use it."""
+    return lines.select("*", F.inline(F.array(F.struct(is_json_object(F.col(column)).alias(mark)))))
+
+
 def append_to_json_list(text: Column, element: Column) -> Column:
     """Append to a JSON list of strings; a null list starts empty. The result is valid JSON."""
     items = F.coalesce(F.from_json(text, "array<string>"), F.array().cast("array<string>"))

@@ -11,16 +11,18 @@ from brookmart.functions.jsons import parse_once
 CHANGE_OPS = ("c", "u", "d", "r")
 
 
-def parse_envelopes(lines: DataFrame, column: str = "value", tables: list[str] = ()) -> DataFrame:
+def parse_envelopes(lines: DataFrame, column: str = "value", tables: list[str] = (), seq: str | None = None) -> DataFrame:
     """JSON lines → envelope columns, each line parsed once.
 
     With ``tables`` only lines that mention one of the names are parsed at all, and only changes of
-    those tables come out.
+    those tables come out. ``seq`` names the column that orders lines (topic offset, log position),
+    which comes out under that name.
     """
+    keep = [F.col(seq).alias("seq")] if seq else []
     if not tables:
-        return parse_once(lines, schemas.ENVELOPE, column)
+        return parse_once(lines, schemas.ENVELOPE, column, keep)
     mentioned = F.col(column).rlike("|".join(f'"{t}"' for t in tables))
-    return parse_once(lines.where(mentioned), schemas.ENVELOPE, column).where(F.col("source")["table"].isin(*tables))
+    return parse_once(lines.where(mentioned), schemas.ENVELOPE, column, keep).where(F.col("source")["table"].isin(*tables))
 
 
 def valid_changes(db: DataFrame, database: str) -> DataFrame:
@@ -81,8 +83,8 @@ def live_config(rows: DataFrame, *keys: str) -> DataFrame:
 def route_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Join dimension changes to their routing row and prune the payload.
 
-    → sink_table, sink_family, row_key, op, ts_ms, payload (map of the configured cells plus ``op``).
-    Changes of tables without a routing row drop out.
+    → sink_table, sink_family, row_key, op, ts_ms, seq, payload (map of the configured cells plus
+    ``op``). Changes of tables without a routing row drop out. ``seq`` is the changes' own or 0.
     """
     routes = config.select("source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key")
     joined = changes.join(routes, changes["source"]["table"] == routes["source_table"])
@@ -90,6 +92,7 @@ def route_dimensions(changes: DataFrame, config: DataFrame) -> DataFrame:
     return joined.select(
         "sink_table", "sink_family",
         row[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms",
+        (F.col("seq") if "seq" in changes.columns else F.lit(0)).cast("bigint").alias("seq"),
         F.map_concat(keep_cells(row, F.col("sink_columns")), F.create_map(F.lit("op"), F.col("op"))).alias("payload"))
 
 
@@ -116,7 +119,7 @@ def cart_increases(db: DataFrame) -> DataFrame:
     new = F.col("after")["sku_num"]
     old = F.col("before")["sku_num"]
     inserted = F.col("op").isin("c", "r")
-    grew = (F.col("op") == "u") & old.isNotNull() & (new.cast("int") > old.cast("int"))
-    amount = F.when(inserted, new).otherwise((new.cast("int") - old.cast("int")).cast("string"))
+    grew = (F.col("op") == "u") & old.isNotNull() & (new.try_cast("int") > old.try_cast("int"))
+    amount = F.when(inserted, new).otherwise((new.try_cast("int") - old.try_cast("int")).cast("string"))
     return (changes_of(db, "cart_info").where(inserted | grew)
             .select(*cells("id", "user_id", "sku_id"), amount.alias("sku_num"), F.col("ts_ms").alias("ts")))

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookmart import schemas
-from brookmart.functions.jsons import is_json_object, parse_once
+from brookmart.functions.jsons import mark_objects, parse_once
 
 
 def split_dirty(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(lines that are one JSON object, the other lines)."""
-    good = is_json_object(F.col(column))
-    return lines.where(good), lines.where(~good | F.col(column).isNull())
+    """(lines that are one JSON object, the other lines). Where both go to one place, ``mark_objects`` reads the lines once."""
+    marked = mark_objects(lines, column, "_good")
+    return marked.where("_good").drop("_good"), marked.where("NOT _good").drop("_good")
 
 
 def parse_logs(lines: DataFrame, column: str = "value") -> DataFrame:

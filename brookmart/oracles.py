@@ -419,58 +419,61 @@ ORACLES["file_partition_day"] = """
 SELECT CASE WHEN event_id % 8 IN (0, 7) AND event_id % 11 <> 0 THEN strftime(ts, '%Y%m%d') ELSE 'error_bucket' END AS bucket,
        count(*) AS lines FROM events GROUP BY 1"""
 
-# --- streams: the same answers, without windows that are still open at the end
-
-def closed(body: str, table: str, columns: str, latest: str, delay: int = 0) -> str:
-    """Rows of ``table`` whose window ended by the watermark: the ``latest`` epoch less the delay (s)."""
-    end = sec(f"({latest}) - {delay * 1_000_000}")
-    return f"WITH {body} SELECT {columns} FROM {table} WHERE edt <= {end}"
-
-
-ORACLES["traffic_4key_10s_stream"] = closed(TRAFFIC, "tw", "*", "SELECT max(us) FROM pv", 1)
-ORACLES["home_detail_uv_3s_stream"] = closed(
-    f"""{HOME}, w AS (SELECT {window('us', 3)}, count(*) FILTER (page_id = 'home') AS home_uv_ct,
-        count(*) FILTER (page_id <> 'home') AS good_detail_uv_ct FROM f GROUP BY ALL)""", "w", "*",
-    "SELECT max(us) FROM pv WHERE page_id IN ('home', 'good_detail')", 3)
-ORACLES["user_back_3h_stream"] = closed(
-    f"{LOGIN}, w AS (SELECT {window('us', 10800)}, count(*) FILTER (gap >= 8) AS back_ct, count(*) AS uu_ct FROM g GROUP BY ALL)",
-    "w", "*", """SELECT max(us) FROM pv
-      WHERE coalesce(uid, '') <> '' AND (coalesce(last_page_id, '') = '' OR last_page_id = 'login')""")
-ORACLES["cart_uu_5s_stream"] = closed(
-    f"{CART}, w AS (SELECT {window('us', 5)}, count(*) AS cart_add_uu_ct FROM f GROUP BY ALL)", "w", "*",
-    "SELECT max(epoch_us(ts)) FROM events WHERE event_type = 'purchase'")
-ORACLES["keyword_10s_stream"] = closed(
-    f"{KEYWORD}, w AS (SELECT {window('us', 10)}, keyword, count(*) AS keyword_count FROM t GROUP BY ALL)", "w", "*",
-    "SELECT max(1704067200 + conv_id * 10 + turn % 10) * 1000000 FROM conversations")
-ORACLES["sku_order_10s_stream"] = closed(SKU, "sd", "*", "SELECT max(ms) * 1000 FROM li")
-ORACLES["province_order_10s_stream"] = closed(
-    PROVINCE, "pd", "stt, edt, cur_date, province_id, province_name, order_count, CAST(amount AS DOUBLE) AS order_amount",
-    "SELECT max(ms) * 1000 FROM li")
-
-for same in ("first_of_day", "isnew_repair", "refund_fact", "refund_pay_fact", "comment_dic_left", "cart_delta",
+# --- streams: the same answers
+
+for same in ("traffic_4key_10s", "home_detail_uv_3s", "user_back_3h", "cart_uu_5s", "keyword_10s", "sku_order_10s",
+             "province_order_10s", "first_of_day", "isnew_repair", "refund_fact", "refund_pay_fact", "comment_dic_left", "cart_delta",
              "pay_interval_join", "dim_upsert", "config_prune_fact", "file_partition_day"):
     ORACLES[f"{same}_stream"] = ORACLES[same]
 
 ORACLES["cancel_fact_stream"] = ORACLES["cancel_fact"].replace("SELECT vid AS id", "SELECT did AS id")
 
-# Unmatched details come out once the watermark (the least of the four feeds) is an hour past them.
-ORACLES["order_detail_fact_stream"] = f"""
-WITH {LI},
-o AS (SELECT *, epoch_ms(o_orderdate) AS t FROM orders),
-act AS (SELECT did, CAST(l_suppkey % 5 AS VARCHAR) AS activity_id, CAST(l_suppkey % 3 AS VARCHAR) AS activity_rule_id
-        FROM li WHERE l_discount >= 0.05),
-cou AS (SELECT did, CAST(l_partkey % 9 AS VARCHAR) AS coupon_id FROM li WHERE l_tax >= 0.04),
-near AS (SELECT li.*, o_custkey, t + (l_partkey % 600) * 1000 AS et FROM li JOIN o ON l_orderkey = o_orderkey),
-mark AS (SELECT least((SELECT max(t) FROM o), (SELECT max(et) FROM near),
-   (SELECT max(et) + 1000 FROM near WHERE l_discount >= 0.05), (SELECT max(et) + 2000 FROM near WHERE l_tax >= 0.04)) - 3000 AS w)
-SELECT near.did AS id, CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
-       CAST(l_partkey AS VARCHAR) AS sku_id, 'sku ' || l_partkey AS sku_name, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
-       activity_id, activity_rule_id, coupon_id, {day('ms * 1000')} AS date_id, CAST(ms AS VARCHAR) AS create_time,
-       CAST(qty AS VARCHAR) AS sku_num, CAST(CAST(qty AS {M}) * price AS VARCHAR) AS split_original_amount,
-       CAST(act_amount AS VARCHAR) AS split_activity_amount, CAST(cou_amount AS VARCHAR) AS split_coupon_amount,
-       CAST(CAST(price - act_amount AS {M}) AS VARCHAR) AS split_total_amount, et AS ts
-FROM near LEFT JOIN act ON near.did = act.did LEFT JOIN cou ON near.did = cou.did, mark
-WHERE (activity_id IS NOT NULL AND coupon_id IS NOT NULL) OR et + 3600000 < w"""
+
+
+def newest_by_id(sql: str, *ties: str) -> str:
+    """One row per id; ids repeat in the given tables."""
+    order = ", ".join(f"{c} DESC" for c in ("ts", *ties))
+    return f"SELECT * FROM ({sql}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) = 1"
+
+
+ORACLES["order_detail_upsert_stream"] = newest_by_id(
+    ORACLES["order_detail_fact"], "order_id", "sku_id", "sku_name", "create_time", "sku_num", "split_original_amount",
+    "split_activity_amount", "split_coupon_amount", "split_total_amount")
+
+NEAR_MS = "epoch_ms(o_orderdate) + (l_partkey % 600) * 1000"
+ORACLES["order_detail_fact_stream"] = ORACLES["order_detail_fact"].replace("ms AS ts\n", f"{NEAR_MS} AS ts\n")
+
+ORACLES["refund_upsert_stream"] = newest_by_id(
+    ORACLES["refund_fact"], "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount",
+    "refund_type_code", "refund_reason_type_code", "create_time")
+
+ORACLES["retract_stream"] = f"""
+WITH {NEWEST}
+SELECT vid AS id, CAST(original_amount AS DOUBLE) AS original_amount, CAST(activity_reduce_amount AS DOUBLE) AS activity_reduce_amount,
+   CAST(coupon_reduce_amount AS DOUBLE) AS coupon_reduce_amount, CAST(order_amount AS DOUBLE) AS order_amount, 1 AS lines FROM nw"""
+
+ORACLES["bad_amounts"] = f"""
+WITH {LI}, {DETAIL}
+SELECT 'measured' AS feed, count(*) AS n, CAST(sum(order_amount) AS DOUBLE) AS order_amount FROM det WHERE l_partkey % 10 <> 0
+UNION ALL SELECT 'dirty', count(*), NULL FROM det WHERE l_partkey % 10 = 0"""
+
+ORACLES["dim_scan_delete"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS row_key, CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name, p_brand AS tm_id,
+       count(*) OVER () AS n_rows FROM part WHERE p_partkey % 3 <> 0"""
+
+ORACLES["dim_config_change_stream"] = f"""
+WITH {CUST},
+after AS (SELECT * FROM cu WHERE ts_ms >= (SELECT max(c_custkey) * 5 FROM customer)),
+live AS (SELECT a.* FROM after a LEFT JOIN (SELECT k, max(ts_ms) AS del FROM after WHERE op = 'd' GROUP BY k) d USING (k)
+         WHERE op <> 'd' AND (del IS NULL OR ts_ms > del))
+SELECT CAST(k AS VARCHAR) AS row_key, CAST(k AS VARCHAR) AS id, arg_max(segment, ts_ms) FILTER (segment <> '') AS segment
+FROM live GROUP BY k"""
+
+ORACLES["gmv_stored"] = f"""
+WITH {PROVINCE}
+SELECT cur_date, CAST(sum(amount) AS DOUBLE) AS order_amount FROM pd WHERE cur_date = (SELECT max(cur_date) FROM pd) GROUP BY cur_date"""
+
+ORACLES["channel_uv_stored"] = f"WITH {TOP} SELECT * FROM tops WHERE cur_date = (SELECT max(cur_date) FROM tw)"
 
 ORACLES["log_split_stream"] = f"""
 WITH {log_records('event_id % 13 <> 0')} {FEED_ROWS}

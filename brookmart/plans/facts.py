@@ -35,32 +35,46 @@ def cart_add(db: DataFrame) -> DataFrame:
     return cart_increases(db)
 
 
-def order_detail(db: DataFrame, within: str | None = None) -> DataFrame:
-    """Order details with their order and, where present, activity and coupon (17 columns)."""
-    original = (F.col("after")["sku_num"].cast("decimal(16,2)")
-                * F.col("after")["order_price"].cast("decimal(16,2)")).cast("string")
-    details = _timed(changes_of(db, "order_detail", "c").select(
+def order_detail_rows(db: DataFrame) -> DataFrame:
+    original = (F.col("after")["sku_num"].try_cast("decimal(16,2)")
+                * F.col("after")["order_price"].try_cast("decimal(16,2)")).cast("string")
+    return changes_of(db, "order_detail", "c").select(
         *cells("id", "order_id", "sku_id", "sku_name", "create_time", "sku_num"),
         original.alias("split_original_amount"),
-        *cells("split_activity_amount", "split_coupon_amount", "split_total_amount"),
-        F.col("ts_ms").alias("ts")), "et")
-    orders = _timed(changes_of(db, "order_info", "c").select(
-        *cells("user_id", "province_id", oi_id="id"), F.col("ts_ms").alias("ts")), "oi_et").drop("ts")
-    activities = _timed(changes_of(db, "order_detail_activity", "c").select(
-        *cells("activity_id", "activity_rule_id", act_id="order_detail_id"),
-        F.col("ts_ms").alias("ts")), "act_et").drop("ts")
-    coupons = _timed(changes_of(db, "order_detail_coupon", "c").select(
-        *cells("coupon_id", cou_id="order_detail_id"), F.col("ts_ms").alias("ts")), "cou_et").drop("ts")
-
-    joined = fact_join(details, orders, {"order_id": "oi_id"}, "inner", "et", "oi_et", within).drop("oi_id", "oi_et")
-    joined = fact_join(joined, activities, {"id": "act_id"}, "left", "et", "act_et", within).drop("act_id", "act_et")
-    joined = fact_join(joined, coupons, {"id": "cou_id"}, "left", "et", "cou_et", within)
+        *cells("split_activity_amount", "split_coupon_amount", "split_total_amount"), F.col("ts_ms").alias("ts"))
+
+
+def created_orders(db: DataFrame) -> DataFrame:
+    return changes_of(db, "order_info", "c").select(*cells("user_id", "province_id", oi_id="id"), F.col("ts_ms").alias("ts"))
+
+
+def detail_activities(db: DataFrame) -> DataFrame:
+    return changes_of(db, "order_detail_activity", "c").select(
+        *cells("activity_id", "activity_rule_id", act_id="order_detail_id"), F.col("ts_ms").alias("ts"))
+
+
+def detail_coupons(db: DataFrame) -> DataFrame:
+    return changes_of(db, "order_detail_coupon", "c").select(
+        *cells("coupon_id", cou_id="order_detail_id"), F.col("ts_ms").alias("ts"))
+
+
+def assembled_details(details: DataFrame, orders: DataFrame, activities: DataFrame, coupons: DataFrame,
+                      within: str | None = None) -> DataFrame:
+    """Order details with their order and, where present, activity and coupon (17 columns)."""
+    side = lambda rows, name: _timed(rows, name).drop("ts")
+    joined = fact_join(_timed(details, "et"), side(orders, "oi_et"), {"order_id": "oi_id"}, "inner", "et", "oi_et", within).drop("oi_id", "oi_et")
+    joined = fact_join(joined, side(activities, "act_et"), {"id": "act_id"}, "left", "et", "act_et", within).drop("act_id", "act_et")
+    joined = fact_join(joined, side(coupons, "cou_et"), {"id": "cou_id"}, "left", "et", "cou_et", within)
     return joined.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id",
         "coupon_id", text_millis_to_date("create_time").alias("date_id"), "create_time", "sku_num",
         "split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts")
 
 
+def order_detail(db: DataFrame, within: str | None = None) -> DataFrame:
+    return assembled_details(order_detail_rows(db), created_orders(db), detail_activities(db), detail_coupons(db), within)
+
+
 _DETAIL_AMOUNTS = ("sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount")
 _DETAIL_KEYS = ("order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id",
                 "coupon_id")
@@ -89,15 +103,21 @@ def payment_success(db: DataFrame, details: DataFrame, dictionary: DataFrame,
                         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"))
 
 
-def order_refund(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
-    """Refund requests of orders that reached status 1005 (15 columns)."""
-    refunds = _timed(changes_of(db, "order_refund_info").select(
+def refund_requests(db: DataFrame) -> DataFrame:
+    return changes_of(db, "order_refund_info").select(
         *cells("id", "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount",
                refund_type_code="refund_type", refund_reason_type_code="refund_reason_type",
-               created="create_time"), F.col("ts_ms").alias("ts")), "et")
-    orders = _timed(transition(db, "order_info", "order_status", "1005").select(
-        *cells("province_id", oi_id="id"), F.col("ts_ms").alias("ts")), "oi_et").drop("ts")
-    joined = fact_join(refunds, orders, {"order_id": "oi_id"}, "inner", "et", "oi_et", within)
+               created="create_time"), F.col("ts_ms").alias("ts"))
+
+
+def refunded_orders(db: DataFrame) -> DataFrame:
+    return transition(db, "order_info", "order_status", "1005").select(
+        *cells("province_id", oi_id="id"), F.col("ts_ms").alias("ts"))
+
+
+def assembled_refunds(refunds: DataFrame, orders: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
+    """Refund requests of orders that reached status 1005 (15 columns)."""
+    joined = fact_join(_timed(refunds, "et"), _timed(orders, "oi_et").drop("ts"), {"order_id": "oi_id"}, "inner", "et", "oi_et", within)
     named = dictionary_join(joined, dictionary, "refund_type_code", "refund_type_name")
     named = dictionary_join(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
     return named.select("id", "user_id", "order_id", "sku_id", "province_id",
@@ -107,6 +127,10 @@ def order_refund(db: DataFrame, dictionary: DataFrame, within: str | None = None
                         "refund_reason_type_name", "refund_reason_txt", "refund_num", "refund_amount", "ts")
 
 
+def order_refund(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
+    return assembled_refunds(refund_requests(db), refunded_orders(db), dictionary, within)
+
+
 def refund_payment_success(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
     """Paid-out refunds, matched by order and sku to the refund and by order to its order (12 columns)."""
     paid = _timed(transition(db, "refund_payment", "refund_status", "1602").select(

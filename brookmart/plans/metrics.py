@@ -74,17 +74,32 @@ def keyword_window(pages: DataFrame, size: str = "10 seconds") -> DataFrame:
                   F.count(F.lit(1)).alias("keyword_count"))
 
 
+DETAIL_AMOUNTS = {"split_original_amount": "original_amount", "split_activity_amount": "activity_reduce_amount",
+                  "split_coupon_amount": "coupon_reduce_amount", "split_total_amount": "order_amount"}
+
+
+def malformed_amounts(details: DataFrame) -> DataFrame:
+    """Order details with an amount that is no number, for the dirty feed; the windows leave them out."""
+    return details.where(_malformed())
+
+
+def _malformed() -> Column:
+    bad = F.lit(False)
+    for c in DETAIL_AMOUNTS:
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast("decimal(16,2)").isNull())
+    return bad
+
+
 def order_measures(details: DataFrame) -> DataFrame:
-    """The order-detail feed with typed amounts."""
+    """The order-detail feed with typed amounts, without the rows of ``malformed_amounts``."""
+    details = details.where(~_malformed())
+
     def money(c: str) -> Column:
-        return F.col(c).cast("decimal(16,2)")
+        return F.col(c).try_cast("decimal(16,2)")
 
     return details.select(
         "id", "order_id", "sku_id", "province_id", "ts", F.timestamp_millis("ts").alias("et"),
-        money("split_original_amount").alias("original_amount"),
-        money("split_activity_amount").alias("activity_reduce_amount"),
-        money("split_coupon_amount").alias("coupon_reduce_amount"),
-        money("split_total_amount").alias("order_amount"))
+        *[money(c).alias(name) for c, name in DETAIL_AMOUNTS.items()])
 
 
 def newest_details(details: DataFrame, tie_break: list[str] = ()) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from brookmart.plans import dims, facts, metrics, reports
 from brookmart.session import fresh_dir, prepare
 from brookmart.sources.files import day_bucket, stream_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
-from brookmart.streaming import jobs, pipelines, state
-from brookmart.streaming.runner import drain, to_batches
+from brookmart.streaming import jobs, keyed, pipelines, state
+from brookmart.streaming.runner import deliveries, drain, replay, to_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,11 +52,9 @@ def plain(df: DataFrame) -> DataFrame:
 
 @query
 def dirty_split(spark, read):
-    good, bad = logs.split_dirty(b.damaged_lines(read))
-    k = F.get_json_object("value", "$.k").cast("int")
-    return (good.select("event_id", "event_type", k.alias("k"), F.lit(1).alias("valid"))
-            .unionByName(bad.select("event_id", "event_type", F.lit(None).cast("int").alias("k"),
-                                    F.lit(0).alias("valid"))))
+    marked = jsons.mark_objects(b.damaged_lines(read))
+    k = F.get_json_object(F.when(F.col("is_object"), F.col("value")), "$.k").cast("int")
+    return marked.select("event_id", "event_type", k.alias("k"), F.col("is_object").cast("int").alias("valid"))
 
 
 def _feed_rows(tagged: DataFrame) -> DataFrame:
@@ -72,9 +71,12 @@ def _feed_rows(tagged: DataFrame) -> DataFrame:
 
 @query
 def log_split(spark, read):
-    parsed = logs.parse_logs(b.log_lines(read))
-    flat = parsed.select("*", "common.mid", "common.is_new", F.timestamp_millis("ts").alias("et"))
-    fixed = visits.repair_is_new(flat, spread_by=["mid", "ts"])
+    lines = b.log_lines(read)
+    flat = logs.parse_logs(lines).select("*", "common.mid", "common.is_new", F.timestamp_millis("ts").alias("et"))
+    # the visits need three fields only
+    brief = jsons.parse_once(lines, "common struct<mid string, is_new string>, ts bigint")
+    firsts = visits.first_visits(brief.select("common.mid", "common.is_new", F.timestamp_millis("ts").alias("et")))
+    fixed = visits.repair_is_new(flat, spread_by=["mid", "ts"], visits=firsts)
     fixed = fixed.withColumn("common", F.col("common").withField("is_new", F.col("is_new")))
     return _feed_rows(logs.tag_feeds(fixed.drop("mid", "is_new", "et")))
 
@@ -416,61 +418,155 @@ def file_partition_day(spark, read):
 
 # --- streams --------------------------------------------------------------------------------------
 
+FAR_MS = 7258118400000  # 2200: closes every window of the given tables
+# versions of an order line lie years apart in the given tables
+LATE, KEEP = "4000 days", timedelta(days=4000)
+
+
+def _far():
+    return F.timestamp_millis(F.lit(FAR_MS))
+
+
+def _last_page():
+    return {"mid": F.lit("closing"), "uid": F.lit("closing"), "page_id": F.lit("home"), "last_page_id": F.lit(None).cast("string"),
+            "is_new": F.lit("0"), "et": _far(), "ts": F.lit(FAR_MS)}
+
+
+def _last_detail():
+    return {"id": F.lit("closing"), "ts": F.lit(FAR_MS)}
+
+
+def _into_table(spark, feed: DataFrame, build, order: str, closing, name: str) -> MetricTable:
+    """Replay a metric stream into a stored table."""
+    table = MetricTable(spark, fresh_dir(spark, name))
+
+    def write(sums: DataFrame, checkpoint: str) -> None:
+        table.folders.schema = sums.schema
+        to_batches(sums, table.apply, checkpoint, once=True).awaitTermination()
+
+    replay(feed, build, order, f"{name}-job", closing=closing, write=write)
+    return table
+
+
+def _traffic_table(spark, read) -> MetricTable:
+    return _into_table(spark, b.page_views(read), jobs.traffic_window, "et", _last_page(), "traffic")
+
+
 @stream_query
 def traffic_4key_10s_stream(spark, stream, read):
-    path = fresh_dir(spark, "traffic")
-    table = MetricTable(spark, f"{path}/data")
-    to_batches(jobs.traffic_window(b.page_views(stream)), table.apply, f"{path}/checkpoint", once=True).awaitTermination()
-    return table.read()
+    return _traffic_table(spark, read).read()
 
 
 @stream_query
 def home_detail_uv_3s_stream(spark, stream, read):
-    return drain(jobs.home_detail_window(b.page_views(stream)), "home_detail")
+    return replay(b.page_views(read), jobs.home_detail_window, "et", "home_detail", closing=_last_page())
 
 
 @stream_query
 def user_back_3h_stream(spark, stream, read):
-    return drain(jobs.login_window(b.page_views(stream)), "login")
+    return replay(b.page_views(read), jobs.login_window, "et", "login", closing=_last_page())
 
 
 @stream_query
 def cart_uu_5s_stream(spark, stream, read):
-    return drain(jobs.cart_window(b.cart_adds(stream)), "cart")
+    return replay(b.cart_adds(read), jobs.cart_window, "ts", "cart", closing={"user_id": F.lit("closing"), "ts": F.lit(FAR_MS)})
 
 
 @stream_query
 def keyword_10s_stream(spark, stream, read):
-    return drain(jobs.keyword_window(b.search_pages(stream)), "keyword")
+    return replay(b.search_pages(read), jobs.keyword_window, "et", "keyword", closing={"et": _far()})
 
 
 @stream_query
 def first_of_day_stream(spark, stream, read):
-    firsts = drain(state.first_of_day(b.page_views(stream), ["mid"], "1 second"), "first_of_day")
+    firsts = replay(b.page_views(read), lambda s: state.first_of_day(s, ["mid"], "1 second"), "et", "first_of_day")
     return firsts.select("mid", F.date_format("et", dates.DATE).alias("visit_date"), F.unix_micros("et").alias("first_us"))
 
 
 @stream_query
 def isnew_repair_stream(spark, stream, read):
-    fixed = state.repair_is_new(b.page_views(stream).select("event_id", "mid", "is_new", "et"))
-    return drain(fixed, "isnew").select("event_id", "mid", "is_new")
+    rows = b.page_views(read).select("event_id", "mid", "is_new", "et")
+    return replay(rows, state.repair_is_new, "et", "isnew").select("event_id", "mid", "is_new")
 
 
 @stream_query
 def sku_order_10s_stream(spark, stream, read):
-    sums = drain(jobs.sku_window(b.order_details(stream)), "sku")
+    sums = replay(b.order_details(read), lambda s: jobs.sku_window(s, delay=LATE, keep=KEEP), "ts", "sku", closing=_last_detail())
     return plain(metrics.with_sku_dimensions(sums, b.sku_dimensions(read)))
 
 
+def _province_stream(details: DataFrame) -> DataFrame:
+    return jobs.province_window(details, delay=LATE, keep=KEEP)
+
+
 @stream_query
 def province_order_10s_stream(spark, stream, read):
-    sums = drain(jobs.province_window(b.order_details(stream)), "province")
+    sums = replay(b.order_details(read), _province_stream, "ts", "province", closing=_last_detail())
     return plain(metrics.with_province_name(sums, b.provinces(read)))
 
 
+@stream_query
+def retract_stream(spark, stream, read):
+    """What is left of every order line after all versions and retractions."""
+    def versions(details: DataFrame) -> DataFrame:
+        rows = metrics.order_measures(details).withColumn("lines", F.lit(1).cast("bigint"))
+        return state.retract_and_replace(rows, LATE, order=["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS],
+                                         amounts=[*metrics.AMOUNTS, "lines"], keep=KEEP)
+
+    sent = replay(b.order_details(read), versions, "ts", "retract", parts=3)
+    return plain(sent.groupBy("id").agg(*[F.sum(c).alias(c) for c in (*metrics.AMOUNTS, "lines")]))
+
+
+@stream_query
+def gmv_stored(spark, stream, read):
+    """The last stored day of a metric table that a stream wrote, read by its partition."""
+    table = _into_table(spark, b.order_details(read), _province_stream, "ts", _last_detail(), "gmv").read()
+    day = table.agg(F.max("cur_date")).first()[0]
+    return plain(reports.gmv(table, int((day or "0").replace("-", ""))))
+
+
+@stream_query
+def channel_uv_stored(spark, stream, read):
+    table = _traffic_table(spark, read).read()
+    day = table.agg(F.max("cur_date")).first()[0]
+    return reports.channel_visitors(table, int((day or "0").replace("-", "")), limit=3)
+
+
 @stream_query
 def order_detail_fact_stream(spark, stream, read):
-    return drain(facts.order_detail(b.near_order_db(stream, read("orders"))), "order_detail")
+    """Joined in state: details, activities and coupons lie within the hour of their order here."""
+    closing = b.closing_envelopes(spark, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
+    return replay(b.near_order_db(read), lambda s: facts.order_detail(s, within="1 hour"), "ts_ms", "order_detail", closing=closing)
+
+
+@stream_query
+def order_detail_upsert_stream(spark, stream, read):
+    """JSON lines into the keyed order-detail fact, without any time bound."""
+    path = fresh_dir(spark, "order_detail_upsert")
+    fact = keyed.order_details(spark, path)
+    for lines in deliveries(b.as_lines(b.order_detail_db(read)), "ts_ms", name="order_detail_lines"):
+        fact.start(lines, f"{path}/checkpoint", once=True).awaitTermination()
+    return fact.read()
+
+
+@stream_query
+def refund_upsert_stream(spark, stream, read):
+    """JSON lines into the keyed refund fact: one row per refund, the newest."""
+    path = fresh_dir(spark, "refund_upsert")
+    fact = keyed.refunds(spark, path, lambda: b.dictionary(spark))
+    for lines in deliveries(b.as_lines(b.refund_db(read)), "ts_ms", name="refund_lines"):
+        fact.start(lines, f"{path}/checkpoint", once=True).awaitTermination()
+    return fact.read()
+
+
+@query
+def bad_amounts(spark, read):
+    """Order lines of which some amounts are no numbers: what the windows sum, and what goes to the dirty feed."""
+    broken = F.when(F.col("sku_id").cast("bigint") % 10 == 0, F.concat("split_total_amount", F.lit("x"))).otherwise(F.col("split_total_amount"))
+    details = b.order_details(read).withColumn("split_total_amount", broken)
+    good = metrics.order_measures(details).agg(F.count(F.lit(1)).alias("n"), F.sum("order_amount").cast("double").alias("order_amount"))
+    bad = metrics.malformed_amounts(details).agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("order_amount"))
+    return good.select(F.lit("measured").alias("feed"), "*").unionByName(bad.select(F.lit("dirty").alias("feed"), "*"))
 
 
 @stream_query
@@ -508,24 +604,53 @@ def cart_delta_stream(spark, stream, read):
 @stream_query
 def log_split_stream(spark, stream, read):
     path = fresh_dir(spark, "log_split")
-    lines = b.cut_log_lines(stream)
-    for name, feeds in (("good", pipelines.split_logs(lines)), ("bad", pipelines.dirty_lines(lines))):
-        pipelines.feed_folders(feeds, f"{path}/{name}", f"{path}/{name}_checkpoint", once=True).awaitTermination()
+    feeds = pipelines.split_logs(b.cut_log_lines(stream))
+    pipelines.feed_folders(feeds, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
+    written = spark.read.schema("value string, feed string").text(f"{path}/data")
     schema = f"{schemas.LOG.toDDL()}, display map<string,string>, action map<string,string>"
-    good = jsons.parse_once(spark.read.text(f"{path}/good"), schema, keep=["feed"])
+    good = jsons.parse_once(written.where("feed != 'dirty'"), schema, keep=["feed"])
     nothing = F.lit(None).cast("string")
-    bad = spark.read.text(f"{path}/bad").select("feed", nothing.alias("mid"), nothing.alias("is_new"),
-                                                nothing.cast("bigint").alias("ts"),
-                                                F.length("value").cast("string").alias("detail"))
+    bad = written.where("feed = 'dirty'").select("feed", nothing.alias("mid"), nothing.alias("is_new"),
+                                                 nothing.cast("bigint").alias("ts"),
+                                                 F.length("value").cast("string").alias("detail"))
     return _feed_rows(good).unionByName(bad)
 
 
+def _dimension_store(spark, read, path: str) -> DimensionStore:
+    """The dimension changes as JSON lines with their position, in two deliveries, into a store."""
+    store = DimensionStore(spark, f"{path}/store")
+    store.apply_config(b.dimension_config(spark).withColumn("ts_ms", F.lit(0).cast("bigint")), 0)
+    for lines in deliveries(b.as_lines(b.dimension_changes(read)), "ts_ms", name="dimension_lines"):
+        changes = cdc.parse_envelopes(lines, seq="ts_ms")
+        pipelines.dimension_sync(changes, store, "shop", f"{path}/checkpoint", once=True).awaitTermination()
+    return store
+
+
 @stream_query
 def dim_upsert_stream(spark, stream, read):
-    path = fresh_dir(spark, "dims")
+    return _dimension_store(spark, read, fresh_dir(spark, "dims")).read("dim_user_info")
+
+
+@stream_query
+def dim_scan_delete(spark, stream, read):
+    """A dimension table after every third key was deleted, and its row count."""
+    store = _dimension_store(spark, read, fresh_dir(spark, "dims_delete"))
+    keys = store.read("dim_sku_info").where(F.col("row_key").cast("bigint") % 3 == 0).select("row_key")
+    store.delete_rows("dim_sku_info", keys, FAR_MS)
+    left = store.read("dim_sku_info")
+    return left.withColumn("n_rows", F.lit(store.count("dim_sku_info")).cast("bigint"))
+
+
+@stream_query
+def dim_config_change_stream(spark, stream, read):
+    """Configuration as a stream: one table is dropped and created anew between two changes, another appears late."""
+    path = fresh_dir(spark, "dims_config")
     store = DimensionStore(spark, f"{path}/store")
-    store.apply_config(b.dimension_config(spark).withColumn("ts_ms", F.lit(0).cast("bigint")), 0)
-    pipelines.dimension_sync(b.dimension_changes(stream), store, "shop", f"{path}/checkpoint", once=True).awaitTermination()
+    config = b.dimension_config_changes(spark, F.lit(0).cast("bigint"), read)
+    for stream_part in deliveries(config, "ts_ms", name="config"):
+        pipelines.config_sync(stream_part, store, f"{path}/config_checkpoint", once=True).awaitTermination()
+    for lines in deliveries(b.as_lines(b.dimension_changes(read)), "ts_ms", name="dimension_lines"):
+        pipelines.dimension_sync(cdc.parse_envelopes(lines), store, "shop", f"{path}/checkpoint", once=True).awaitTermination()
     return store.read("dim_user_info")
 
 

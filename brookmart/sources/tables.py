@@ -1,16 +1,16 @@
 """Stored tables that micro-batches write into idempotently.
 
 A batch writes one folder named after its id, so a replayed batch overwrites itself; no folder that
-anybody reads is ever rewritten. Reads resolve versions, ``compact`` folds the folders into a base.
+anybody reads is ever rewritten. All folders of a table are one partitioned dataset, so a read is one
+scan however many batches there were. Every ``fold_every`` batches they are folded into a base; the
+folders of the fold before are then removed, which leaves readers that began earlier one whole period.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,73 +19,102 @@ from brookmart.operators.cdc import live_config
 from brookmart.operators.versions import newest_per_key
 from brookmart.plans.dims import dimension_rows
 
-
-def _committed(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Ids of the complete ``prefix=id`` folders under ``path``."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}=*/_SUCCESS"))
-    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in (found or []))
+FOLD_EVERY = 20
 
 
 @dataclass
-class UpsertTable:
-    """Rows with a primary key; the newest by ``order`` (which must break ties) wins."""
+class BatchFolders:
+    """``kind=change/batch=<id>`` for what batches wrote, ``kind=base/batch=<id>`` for all up to an id."""
 
     spark: SparkSession
     path: str
     schema: T.StructType
-    keys: list[str]
-    order: list[str]
     partition_by: list[str] = field(default_factory=list)
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store a batch, at most one row per key."""
-        newest = newest_per_key(batch.select(*self.schema.names), self.keys, self.order)
-        self._write(newest, f"changes/batch={batch_id}")
+    def _fs(self):
+        jvm = self.spark._jvm
+        return jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _write(self, df: DataFrame, folder: str) -> None:
-        writer = df.write.mode("overwrite")
+    def committed(self, kind: str) -> list[int]:
+        """Ids of the complete folders."""
+        path, fs = self._fs()
+        found = fs.globStatus(path(f"{self.path}/kind={kind}/batch=*/_SUCCESS"))
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in (found or []))
+
+    def write(self, df: DataFrame, batch_id: int, kind: str = "change") -> None:
+        writer = df.select(*self.schema.names).write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/{folder}")
+        writer.parquet(f"{self.path}/kind={kind}/batch={batch_id}")
 
-    def _versions(self) -> DataFrame:
-        bases = _committed(self.spark, f"{self.path}/base", "upto")
+    def read(self) -> DataFrame:
+        """Every row in force: the newest base and the batches after it."""
+        bases, changes = self.committed("base"), self.committed("change")
         upto = bases[-1] if bases else -1
-        folders = [f"base/upto={upto}"] if bases else []
-        folders += [f"changes/batch={b}" for b in _committed(self.spark, f"{self.path}/changes", "batch") if b > upto]
-        parts = [self.spark.read.schema(self.schema).parquet(f"{self.path}/{f}") for f in folders]
-        if not parts:
+        after = [b for b in changes if b > upto]
+        if not bases and not after:
             return self.spark.createDataFrame([], self.schema)
-        return reduce(DataFrame.unionByName, [p.select(*self.schema.names) for p in parts])
+        plain = [f for f in self.schema.fields if f.name not in self.partition_by]
+        parts = [f for f in self.schema.fields if f.name in self.partition_by]
+        schema = T.StructType([*plain, T.StructField("kind", T.StringType()), T.StructField("batch", T.LongType()), *parts])
+        # at most FOLD_EVERY ids while folds keep up; each is a partition filter, not a scan
+        live = ((F.col("kind") == "base") & (F.col("batch") == upto)) | ((F.col("kind") == "change") & F.col("batch").isin(after))
+        return self.spark.read.schema(schema).parquet(self.path).where(live).select(*self.schema.names)
+
+    def fold(self, rows: DataFrame) -> None:
+        """Make ``rows``, which stand for everything stored, the new base, and remove what the last base had replaced."""
+        done, old = self.committed("change"), self.committed("base")
+        if not done or (old and done[-1] <= old[-1]):
+            return
+        self.write(rows, done[-1], "base")
+        if old:
+            path, fs = self._fs()
+            for kind, ids in (("change", [b for b in done if b <= old[-1]]), ("base", old[:-1])):
+                for b in ids:
+                    fs.delete(path(f"{self.path}/kind={kind}/batch={b}"), True)
+
+
+class UpsertTable:
+    """Rows with a primary key; the newest by ``order`` (which must break ties) wins."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str],
+                 partition_by: list[str] = (), fold_every: int = FOLD_EVERY) -> None:
+        self.spark, self.path, self.schema, self.keys, self.order = spark, path, schema, keys, order
+        self.fold_every = fold_every
+        self.folders = BatchFolders(spark, path, schema, list(partition_by))
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Store a batch, at most one row per key."""
+        self.folders.write(newest_per_key(batch.select(*self.schema.names), self.keys, self.order), batch_id)
+        if self.fold_every and batch_id % self.fold_every == self.fold_every - 1:
+            self.compact()
 
     def read(self) -> DataFrame:
-        return newest_per_key(self._versions(), self.keys, self.order)
+        return newest_per_key(self.folders.read(), self.keys, self.order)
 
     def compact(self) -> None:
-        """Fold everything stored so far into a new base; older folders are no longer read."""
-        done = _committed(self.spark, f"{self.path}/changes", "batch")
-        if done:
-            self._write(self.read(), f"base/upto={done[-1]}")
+        """Fold everything stored so far into a new base; folded folders are no longer read."""
+        self.folders.fold(self.read())
 
 
-@dataclass
 class MetricTable:
-    """Window results in day folders below the folder of the batch that wrote them."""
+    """Window results, by batch and day (``cur_date``). ``schema`` is needed to read while nothing is stored."""
 
-    spark: SparkSession
-    path: str
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None, fold_every: int = FOLD_EVERY) -> None:
+        self.spark, self.path, self.fold_every = spark, path, fold_every
+        self.folders = BatchFolders(spark, path, schema, ["cur_date"])
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        self._write(batch, lambda writer: writer.parquet(f"{self.path}/batch={batch_id}"))
+        self.folders.schema = self.folders.schema or batch.schema
+        self._spread(batch, lambda df: self.folders.write(df, batch_id))
+        if self.fold_every and batch_id % self.fold_every == self.fold_every - 1:
+            self.compact()
 
     def apply_json(self, batch: DataFrame, batch_id: int, hidden: tuple[str, ...] = ()) -> None:
         """JSON-lines form without the ``hidden`` columns."""
-        self._write(batch.drop(*hidden), lambda writer: writer.json(f"{self.path}/batch={batch_id}"))
+        self._spread(batch.drop(*hidden), lambda df: df.write.mode("overwrite").partitionBy("cur_date").json(f"{self.path}/batch={batch_id}"))
 
-    def _write(self, batch: DataFrame, save: Callable[[DataFrameWriter], None]) -> None:
+    def _spread(self, batch: DataFrame, save) -> None:
         """Write about as many files as shuffle partitions, or one per day if there are more days.
 
         A batch of one day is still written by all tasks: each day is spread over its share of them.
@@ -95,17 +124,27 @@ class MetricTable:
             tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             days = batch.select("cur_date").distinct().count()
             spread = F.pmod(F.xxhash64(*batch.columns), F.lit(max(1, tasks // max(1, days))))
-            save(batch.repartition(tasks, "cur_date", spread).write.mode("overwrite").partitionBy("cur_date"))
+            save(batch.repartition(tasks, "cur_date", spread))
         finally:
             batch.unpersist()
 
     def read(self) -> DataFrame:
-        days = self.spark.read.parquet(self.path)
-        return days.withColumn("cur_date", F.col("cur_date").cast("string")).drop("batch")
+        if self.folders.schema is None:
+            kind = next((k for k in ("base", "change") if self.folders.committed(k)), None)
+            if kind is None:
+                raise ValueError(f"nothing is stored at {self.path} and no schema was given")
+            known = self.spark.read.parquet(f"{self.path}/kind={kind}").drop("batch").schema
+            self.folders.schema = T.StructType([
+                T.StructField(f.name, T.StringType() if f.name == "cur_date" else f.dataType) for f in known])
+        return self.folders.read()
+
+    def compact(self) -> None:
+        self.folders.fold(self.read().repartition("cur_date"))
 
 
+LAST = 2**63 - 1
 _CELL = T.StructType([T.StructField(n, T.StringType()) for n in ("sink_table", "row_key", "column")]
-                     + [T.StructField("ts_ms", T.LongType()), T.StructField("value", T.StringType())])
+                     + [T.StructField("ts_ms", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 _CONFIG = T.StructType(schemas.DIM_CONFIG.fields + [T.StructField("ts_ms", T.LongType())])
 
 
@@ -117,17 +156,17 @@ class DimensionStore:
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        def cells(name: str) -> UpsertTable:
+        def cells(name: str, fold_every: int = FOLD_EVERY) -> UpsertTable:
             return UpsertTable(spark, f"{path}/{name}", _CELL, ["sink_table", "row_key", "column"],
-                               ["ts_ms", "value"], ["sink_table"])
+                               ["ts_ms", "seq", "value"], ["sink_table"], fold_every)
 
-        def config(name: str) -> UpsertTable:
-            return UpsertTable(spark, f"{path}/{name}", _CONFIG, ["source_table", "ts_ms"], ["op", "sink_table"])
+        def config(name: str, fold_every: int = FOLD_EVERY) -> UpsertTable:
+            return UpsertTable(spark, f"{path}/{name}", _CONFIG, ["source_table", "ts_ms"], ["op", "sink_table"], (), fold_every)
 
         self.spark = spark
         # Streams number their batches; commands are numbered by their time, in folders of their own.
-        self.cells, self.cell_commands = cells("cells"), cells("cell_commands")
-        self.changes, self.config_commands = config("config"), config("config_commands")
+        self.cells, self.cell_commands = cells("cells"), cells("cell_commands", 0)
+        self.changes, self.config_commands = config("config"), config("config_commands", 0)
 
     def apply_config(self, rows: DataFrame, batch_id: int) -> None:
         self.changes.apply(rows, batch_id)
@@ -168,7 +207,7 @@ class DimensionStore:
         """Delete the rows whose keys are in the first column of ``row_keys``."""
         marks = row_keys.select(F.lit(sink_table).alias("sink_table"), F.col(row_keys.columns[0]).alias("row_key"),
                                 F.lit("").alias("column"), F.lit(ts_ms).cast("bigint").alias("ts_ms"),
-                                F.lit(None).cast("string").alias("value"))
+                                F.lit(LAST).alias("seq"), F.lit(None).cast("string").alias("value"))
         self.cell_commands.apply(marks, ts_ms)
 
     def drop_all(self, ts_ms: int) -> None:

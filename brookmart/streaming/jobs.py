@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,33 +45,38 @@ def keyword_window(pages: DataFrame, size: str = "10 seconds", delay: str = ORDE
     return metrics.keyword_window(pages.withWatermark("et", delay), size)
 
 
-def _versions(details: DataFrame, delay: str) -> DataFrame:
-    rows = metrics.order_measures(details)
-    order = ["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS]
-    return state.retract_and_replace(rows, delay, order=order, amounts=metrics.AMOUNTS)
+LINES = "_lines"
 
 
-def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED,
-               by_ingest: bool = False) -> DataFrame:
-    """Amount sums per sku; ``by_ingest`` windows by arrival (``current_timestamp``) instead of ``ts``."""
+def _versions(details: DataFrame, delay: str, keep: timedelta, by_ingest: bool = False) -> DataFrame:
+    """Order lines and their retractions; ``_lines`` is 1 and -1."""
+    rows = metrics.order_measures(details).withColumn(LINES, F.lit(1).cast("bigint"))
     if by_ingest:
-        rows = metrics.order_measures(details).withColumn("et", F.current_timestamp())
-        order = ["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS]
-        versions = state.retract_and_replace(rows, delay, order=order, amounts=metrics.AMOUNTS)
-    else:
-        versions = _versions(details, delay)
-    return tumble(versions, "et", size, ["sku_id"], *map(total, metrics.AMOUNTS))
+        rows = rows.withColumn("et", F.current_timestamp())
+    order = ["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS]
+    return state.retract_and_replace(rows, delay, order=order, amounts=[*metrics.AMOUNTS, LINES], keep=keep)
+
+
+def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED, by_ingest: bool = False,
+               keep: timedelta = timedelta(hours=1)) -> DataFrame:
+    """Amount sums per sku; ``by_ingest`` windows by arrival (``current_timestamp``) instead of ``ts``.
+
+    Windows of which every line was retracted give no row. ``keep`` must not be shorter than the window.
+    """
+    sums = tumble(_versions(details, delay, keep, by_ingest), "et", size, ["sku_id"], *map(total, [*metrics.AMOUNTS, LINES]))
+    return sums.where(F.col(LINES) > 0).drop(LINES)
 
 
-def province_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED) -> DataFrame:
+def province_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED,
+                    keep: timedelta = timedelta(hours=1)) -> DataFrame:
     """Orders and amount per province.
 
     Streams reject distinct counts. Two chained aggregates give the same: one row per order, then
-    the rows per province. No set of order ids is held for a province. A retracted order stays
-    counted in its window.
+    the rows per province. No set of order ids is held for a province. An order of which every line
+    was retracted does not count.
     """
-    per_order = (_versions(details, delay)
-                 .groupBy(F.window("et", size).alias("w"), "province_id", "order_id").agg(total("order_amount")))
-    sums = (per_order.groupBy(F.window("w", size).alias("window"), "province_id")
+    per_order = (_versions(details, delay, keep)
+                 .groupBy(F.window("et", size).alias("w"), "province_id", "order_id").agg(total("order_amount"), total(LINES)))
+    sums = (per_order.where(F.col(LINES) > 0).groupBy(F.window("w", size).alias("window"), "province_id")
             .agg(F.count("order_id").alias("order_count"), total("order_amount")))
     return sums.select(*labels(), "province_id", "order_count", "order_amount")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brookmart import schemas
-from brookmart.functions.jsons import parse_once
+from brookmart.functions.jsons import mark_objects, parse_once
 from brookmart.operators import cdc, logs
 from brookmart.plans.dims import dimension_cells
 from brookmart.sources.tables import DimensionStore, MetricTable
@@ -54,23 +54,21 @@ def routed_folders(path: str) -> Sink:
 
 
 def split_logs(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Log lines → ``feed`` (err, start, page, display, action) and ``value``, in one pass.
+    """Log lines → ``feed`` (err, start, page, display, action, dirty) and ``value``, in one query.
 
-    The visitor's flag is repaired in keyed state on the way. ``feed`` routes the rows in any sink.
+    The visitor's flag is repaired in keyed state on the way; only lines that can change go there.
+    Lines that are no JSON object pass unread as the feed ``dirty``. ``feed`` routes the rows in any sink.
     """
-    good = logs.split_dirty(lines)[0]
-    parsed = parse_once(good, "common struct<mid string, is_new string>, ts bigint", keep=["value"])
-    keyed = parsed.select("value", "common.mid", "common.is_new", F.timestamp_millis("ts").alias("et"))
+    marked = mark_objects(lines.select("value"), mark="good")
+    parsed = parse_once(marked, "common struct<mid string, is_new string>, ts bigint", keep=["value", "good"])
+    keyed = parsed.select("value", "good", F.when(F.col("good"), F.col("common.mid")).alias("mid"), "common.is_new",
+                          F.timestamp_millis("ts").alias("et"))
     fixed = state.repair_is_new(keyed, ttl_ms=ttl_ms)
 
-    clean = parse_once(fixed, schemas.LOG, keep=["is_new"])
+    clean = parse_once(fixed.where("good"), schemas.LOG, keep=["is_new"])
     clean = clean.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
-    return logs.to_feed(logs.tag_feeds(clean), "feed")
-
-
-def dirty_lines(lines: DataFrame) -> DataFrame:
-    """The other lines, as rows of the ``dirty`` feed. They pass no state."""
-    return logs.split_dirty(lines)[1].select(F.lit("dirty").alias("feed"), "value")
+    return logs.to_feed(logs.tag_feeds(clean), "feed").unionByName(
+        marked.where("NOT good").select(F.lit("dirty").alias("feed"), "value"))
 
 
 def feed_folders(feeds: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:

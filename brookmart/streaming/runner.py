@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from brookmart.session import fresh_dir
@@ -48,6 +49,42 @@ def drain(df: DataFrame, name: str = "out") -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{path}/data")
 
 
+def deliveries(feed: DataFrame, order: str, parts: int = 2, closing: DataFrame | dict[str, Column] | None = None,
+               name: str = "feed") -> Iterator[DataFrame]:
+    """``feed`` as it would arrive: each step writes the next of ``parts`` time-ordered parts and gives
+    the stream over all written so far, for a query that starts again from its checkpoint.
+
+    ``closing`` (rows, or new values for one row of the feed) comes last and pushes the watermark past
+    every open window.
+    """
+    spark = feed.sparkSession
+    path = fresh_dir(spark, name)
+    cuts = feed.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)])).first()[0] if parts > 1 else []
+    bounds = [None, *(cuts or []), None]
+    batches = [feed.where(F.lit(True) if low is None else F.col(order) > low).where(F.lit(True) if high is None else F.col(order) <= high)
+               for low, high in zip(bounds, bounds[1:])]
+    if closing is not None:
+        batches.append(closing if isinstance(closing, DataFrame) else feed.limit(1).withColumns(closing))
+    for i, batch in enumerate(batches):
+        batch.select(feed.columns).write.parquet(f"{path}/part={i}")
+        yield spark.readStream.schema(feed.schema).parquet(f"{path}/*")
+
+
+def replay(feed: DataFrame, build: Callable[[DataFrame], DataFrame], order: str, name: str = "out", parts: int = 2,
+           closing: DataFrame | dict[str, Column] | None = None, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
+    """The whole result of a stream over ``deliveries``; state and watermark come from the checkpoint every time."""
+    spark = feed.sparkSession
+    path = fresh_dir(spark, name)
+    out = None
+    for stream in deliveries(feed, order, parts, closing, f"{name}-feed"):
+        out = build(stream)
+        if write:
+            write(out, f"{path}/checkpoint")
+        else:
+            to_files(out, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{path}/data") if not write else None
+
+
 @dataclass
 class StreamJob:
     """A named job: ``build(source)`` gives the streaming frame, ``sink(batch, id)`` stores a micro-batch."""

@@ -9,6 +9,7 @@ Event time drives everything but the optional TTL, which makes a replay give the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -35,6 +36,9 @@ def reduce_locally(df: DataFrame, keys: list[str], order: list[str], keep: str)
     return df.mapInPandas(thin, df.schema)
 
 
+DAY_MS = 86_400_000
+
+
 class _FirstOfDay(StatefulProcessor):
     """Key (…, day): passes the first row, then nothing; forgets the day once it is over."""
 
@@ -77,10 +81,11 @@ def first_of_day(df: DataFrame, keys: list[str], delay: str, ts: str = "et", car
 class _LoginDays(StatefulProcessor):
     """Key user: the last login day."""
 
-    def __init__(self, ts: str, back_days: int) -> None:
-        self.ts, self.back_days = ts, back_days
+    def __init__(self, ts: str, back_days: int, keep_days: int | None) -> None:
+        self.ts, self.back_days, self.keep_days = ts, back_days, keep_days
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", T.StructType([T.StructField("day", T.IntegerType())]))
 
     def handleInputRows(self, key, rows, timerValues):
@@ -92,25 +97,35 @@ class _LoginDays(StatefulProcessor):
             last = row["_day"]
             yield Row(**{self.ts: row[self.ts], "uu_ct": 1, "back_ct": int(gap >= self.back_days)})
         self.last.update((last,))
+        if self.keep_days is not None:
+            self.handle.registerTimer((last + 1 + self.keep_days) * DAY_MS)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.last.exists() and (self.last.get()[0] + 1 + self.keep_days) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def login_days(df: DataFrame, delay: str, key: str = "uid", ts: str = "et", back_days: int = 8) -> DataFrame:
-    """One row per user and login day with ``uu_ct`` and ``back_ct``; the last day is kept for good."""
+def login_days(df: DataFrame, delay: str, key: str = "uid", ts: str = "et", back_days: int = 8,
+               keep_days: int | None = None) -> DataFrame:
+    """One row per user and login day with ``uu_ct`` and ``back_ct``.
+
+    The last day is kept for good, or with ``keep_days`` until the watermark is that many days past
+    it; who comes back later than that counts as a new user.
+    """
+    if keep_days is not None and keep_days < back_days:
+        raise ValueError("users forgotten before `back_days` could never come back")
     thin = df.select(key, ts, F.unix_date(F.to_date(ts)).alias("_day"))
     thin = reduce_locally(thin, [key, "_day"], [ts], "first").withWatermark(ts, delay)
     schema = T.StructType([thin.schema[ts], T.StructField("uu_ct", T.LongType()), T.StructField("back_ct", T.LongType())])
     return thin.groupBy(key).transformWithState(
-        statefulProcessor=_LoginDays(ts, back_days), outputStructType=schema, outputMode="Append",
+        statefulProcessor=_LoginDays(ts, back_days, keep_days), outputStructType=schema, outputMode="Append",
         timeMode="EventTime", eventTimeColumnName=ts)
 
 
-_NO_VISITOR = "\x00"
-_SPREAD = 256
-
-
 class _RepairIsNew(StatefulProcessor):
     """Key visitor: the first-visit date."""
 
@@ -122,10 +137,6 @@ class _RepairIsNew(StatefulProcessor):
         self.first = handle.getValueState("first", schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        if key[0].startswith(_NO_VISITOR):
-            for row in rows:
-                yield Row(**{c: row[c] for c in self.columns})
-            return
         if not self.first.exists():
             # the earliest row decides; only a visitor's first micro-batch is held back for it
             rows = sorted(rows, key=lambda r: r[self.ts])
@@ -133,43 +144,60 @@ class _RepairIsNew(StatefulProcessor):
             self.first.update((head["_date"] if head[self.is_new] == "1" else head["_day_before"],))
         date = self.first.get()[0]
         for row in rows:
-            values = {c: row[c] for c in self.columns}
-            if row[self.is_new] == "1" and row["_date"] != date:
-                values[self.is_new] = "0"
-            yield Row(**values)
+            if row["_asks"]:
+                values = {c: row[c] for c in self.columns}
+                if row["_date"] != date:
+                    values[self.is_new] = "0"
+                yield Row(**values)
 
     def close(self) -> None:
         pass
 
 
+def _earliest_or_asking(batches: Iterator[pd.DataFrame], key: str, ts: str) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        ordered = pdf.sort_values(ts, kind="stable", ignore_index=True)
+        yield ordered[~ordered.duplicated(key) | ordered["_asks"].astype(bool)]
+
+
 def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: str = "et",
                   ttl_ms: int | None = None) -> DataFrame:
     """Set ``is_new`` to 0 where it says 1 on another day than the first visit's.
 
-    Rows pass in their micro-batch; rows without a visitor pass unchanged, spread over many keys that
-    hold no state. With ``ttl_ms`` the first visit is forgotten after that much processing time
-    without a first visit, as a bounded-state deployment may want. That makes the query one of
-    processing time, which never runs dry: give it an interval trigger, not ``availableNow``.
+    Rows pass in their micro-batch. Rows that do not say 1 and rows without a visitor cannot change
+    and pass the state by; of the former the earliest per visitor and Arrow batch goes in, without
+    its other columns, because it may date the first visit. With ``ttl_ms`` the first visit is
+    forgotten after that much processing time without a first visit, as a bounded-state deployment
+    may want. That makes the query one of processing time, which never runs dry: give it an interval
+    trigger, not ``availableNow``.
     """
     columns = df.columns
-    nobody = F.concat(F.lit(_NO_VISITOR), F.pmod(F.xxhash64(*columns), F.lit(_SPREAD)).cast("string"))
-    dated = df.withColumns({"_key": F.coalesce(key, nobody),
-                            "_date": F.date_format(ts, DATE),
-                            "_day_before": F.date_format(F.col(ts) - F.expr("interval 1 day"), DATE)})
-    return dated.groupBy("_key").transformWithState(
-        statefulProcessor=_RepairIsNew(columns, is_new, ts, ttl_ms), outputStructType=df.schema,
+    asks = F.coalesce((F.col(is_new) == "1") & F.col(key).isNotNull(), F.lit(False))
+    light = [F.when(asks, F.col(c)).alias(c) for c in columns if c not in (key, is_new, ts)]
+    dated = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        key, is_new, ts, *light, asks.alias("_asks"), F.date_format(ts, DATE).alias("_date"),
+        F.date_format(F.col(ts) - F.expr("interval 1 day"), DATE).alias("_day_before"))
+    few = dated.mapInPandas(lambda batches: _earliest_or_asking(batches, key, ts), dated.schema)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    fixed = few.groupBy(key).transformWithState(
+        statefulProcessor=_RepairIsNew(columns, is_new, ts, ttl_ms), outputStructType=schema,
         outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
+    return df.where(~asks | F.col(ts).isNull()).unionByName(fixed)
 
 
 class _Retract(StatefulProcessor):
-    """Key row id: the version sent last."""
+    """Key row id: the version sent last, forgotten once its window is closed."""
 
-    def __init__(self, schema: T.StructType, ts: str, order: list[str], amounts: list[str]) -> None:
-        self.schema, self.ts, self.order, self.amounts = schema, ts, order, amounts
+    def __init__(self, schema: T.StructType, ts: str, order: list[str], amounts: list[str], keep_ms: int) -> None:
+        self.schema, self.ts, self.order, self.amounts, self.keep_ms = schema, ts, order, amounts, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", self.schema)
 
+    def _end(self, row) -> int:
+        return int(row[self.ts].timestamp() * 1000) + self.keep_ms
+
     def handleInputRows(self, key, rows, timerValues):
         newest = max(rows, key=lambda r: tuple(r[c] for c in self.order))
         if self.last.exists():
@@ -180,21 +208,31 @@ class _Retract(StatefulProcessor):
             if old[self.ts].timestamp() * 1000 >= timerValues.getCurrentWatermarkInMs():
                 yield Row(**{**old, **{a: -old[a] for a in self.amounts}})
         self.last.update(tuple(newest[c] for c in self.schema.names))
+        self.handle.registerTimer(self._end(newest))
         yield Row(**{c: newest[c] for c in self.schema.names})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.last.exists():
+            last = dict(zip(self.schema.names, self.last.get()))
+            if self._end(last) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.last.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
 
 def retract_and_replace(df: DataFrame, delay: str, key: str = "id", ts: str = "et",
-                        order: list[str] = ("ts",), amounts: list[str] = ()) -> DataFrame:
+                        order: list[str] = ("ts",), amounts: list[str] = (), keep: timedelta = timedelta(hours=1)) -> DataFrame:
     """Send each new version of a row after its predecessor with negated amounts.
 
     Sums downstream then hold the newest version only. Of several versions in one micro-batch the
-    newest is sent; the others would cancel out at once.
+    newest is sent; the others would cancel out at once. A version is forgotten when the watermark
+    is ``keep`` past its event time: with ``keep`` no shorter than the window downstream nothing is
+    lost, for a closed window keeps its sum anyway.
     """
     order, amounts = list(order), list(amounts)
     thin = reduce_locally(df, [key], order, "last").withWatermark(ts, delay)
     return thin.groupBy(key).transformWithState(
-        statefulProcessor=_Retract(df.schema, ts, order, amounts), outputStructType=df.schema,
+        statefulProcessor=_Retract(df.schema, ts, order, amounts, int(keep.total_seconds() * 1000)), outputStructType=df.schema,
         outputMode="Append", timeMode="EventTime", eventTimeColumnName=ts)
