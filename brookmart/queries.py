@@ -491,12 +491,12 @@ def isnew_repair_stream(spark, stream, read):
 
 @stream_query
 def sku_order_10s_stream(spark, stream, read):
-    sums = replay(b.order_details(read), lambda s: jobs.sku_window(s, delay=LATE, keep=KEEP), "ts", "sku", closing=_last_detail())
+    sums = replay(b.order_details(read), lambda s: jobs.sku_window(s, delay=LATE, keep=KEEP, emptied=False), "ts", "sku", closing=_last_detail())
     return plain(metrics.with_sku_dimensions(sums, b.sku_dimensions(read)))
 
 
 def _province_stream(details: DataFrame) -> DataFrame:
-    return jobs.province_window(details, delay=LATE, keep=KEEP)
+    return jobs.province_window(details, delay=LATE, keep=KEEP, emptied=False)
 
 
 @stream_query

@@ -58,17 +58,18 @@ def _versions(details: DataFrame, delay: str, keep: timedelta, by_ingest: bool =
 
 
 def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED, by_ingest: bool = False,
-               keep: timedelta = timedelta(hours=1)) -> DataFrame:
+               keep: timedelta = timedelta(hours=1), emptied: bool = True) -> DataFrame:
     """Amount sums per sku; ``by_ingest`` windows by arrival (``current_timestamp``) instead of ``ts``.
 
-    Windows of which every line was retracted give no row. ``keep`` must not be shorter than the window.
+    A window of which every line was retracted gives a row of zeros, or none without ``emptied`` (as
+    in the batch form). ``keep`` must not be shorter than the window.
     """
     sums = tumble(_versions(details, delay, keep, by_ingest), "et", size, ["sku_id"], *map(total, [*metrics.AMOUNTS, LINES]))
-    return sums.where(F.col(LINES) > 0).drop(LINES)
+    return (sums if emptied else sums.where(F.col(LINES) > 0)).drop(LINES)
 
 
 def province_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED,
-                    keep: timedelta = timedelta(hours=1)) -> DataFrame:
+                    keep: timedelta = timedelta(hours=1), emptied: bool = True) -> DataFrame:
     """Orders and amount per province.
 
     Streams reject distinct counts. Two chained aggregates give the same: one row per order, then
@@ -77,6 +78,6 @@ def province_window(details: DataFrame, size: str = "10 seconds", delay: str = O
     """
     per_order = (_versions(details, delay, keep)
                  .groupBy(F.window("et", size).alias("w"), "province_id", "order_id").agg(total("order_amount"), total(LINES)))
-    sums = (per_order.where(F.col(LINES) > 0).groupBy(F.window("w", size).alias("window"), "province_id")
-            .agg(F.count("order_id").alias("order_count"), total("order_amount")))
-    return sums.select(*labels(), "province_id", "order_count", "order_amount")
+    sums = (per_order.groupBy(F.window("w", size).alias("window"), "province_id")
+            .agg(F.count_if(F.col(LINES) > 0).alias("order_count"), total("order_amount")))
+    return (sums if emptied else sums.where(F.col("order_count") > 0)).select(*labels(), "province_id", "order_count", "order_amount")

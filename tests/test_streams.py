@@ -5,18 +5,21 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from datetime import timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brookmart import bindings as b
 from brookmart import schemas
 from brookmart.operators import visits
-from brookmart.plans import facts, metrics
+from brookmart.plans import dims, facts, metrics
 from brookmart.sources.files import read_lines, stream_by_day, stream_lines, write_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
 from brookmart.sources.topics import as_records, as_records_routed, json_table, topic_options
-from brookmart.streaming import jobs, pipelines, state
+from brookmart.streaming import jobs, keyed, pipelines, state
 from brookmart.streaming.runner import StreamJob, drain, to_batches, to_files
 
 FAR = "2030-01-01 00:00:00"
@@ -190,7 +193,7 @@ def test_left_join_pads_after_the_watermark(feed):
     for n in (1, 2, 3):
         f.add(*[env(t, "c", T0 + n * 10_000_000, after={"id": f"x{n}", "order_id": "none", "order_detail_id": "none"})
                 for t in ("order_detail", "order_info", "order_detail_activity", "order_detail_coupon")])
-    got = {r.id: r.activity_id for r in drain(facts.order_detail(f.stream())).collect()}
+    got = {r.id: r.activity_id for r in drain(facts.order_detail(f.stream(), within="1 hour")).collect()}
     assert got == {"1": "a", "2": None}
 
 
@@ -266,6 +269,104 @@ def test_upsert_table_replay_and_compaction(spark, tmp_path, rows):
     assert rows(table.read().select("id", "sku_num")) == [("1", "d"), ("2", "e")]
 
 
+def test_folds_leave_one_scan_and_remove_old_folders(spark, tmp_path, rows):
+    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"], fold_every=3)
+    for n in range(10):
+        table.apply(spark.createDataFrame([("1", "u", "s", str(n), n), (f"k{n}", "u", "s", "x", n)], schemas.CART_ADD), n)
+    got = rows(table.read().select("id", "sku_num"))
+    assert ("1", "9") in got and len(got) == 11
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert table.folders.committed("base") == [5, 8] and table.folders.committed("change") == [6, 7, 8, 9]
+    for n in range(10, 60):  # folders written by hand, as if nothing had folded them
+        table.folders.write(spark.createDataFrame([("1", "u", "s", str(n), n)], schemas.CART_ADD), n)
+    assert table.read()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert ("1", "59") in rows(table.read().select("id", "sku_num"))
+
+
+def test_an_uncommitted_batch_is_not_read(spark, tmp_path):
+    import pathlib
+
+    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"])
+    for n in range(2):
+        table.apply(spark.createDataFrame([("1", "u", "s", str(n), n)], schemas.CART_ADD), n)
+    (pathlib.Path(tmp_path) / "t/kind=change/batch=1/_SUCCESS").unlink()
+    assert [r.sku_num for r in table.read().collect()] == ["0"]
+
+
+def test_an_empty_metric_table_can_be_read(spark, tmp_path):
+    schema = spark.sql("SELECT '2024-01-01' AS cur_date, 1 AS n").schema
+    assert MetricTable(spark, str(tmp_path / "m"), schema).read().count() == 0
+    with pytest.raises(ValueError):
+        MetricTable(spark, str(tmp_path / "m")).read()
+
+
+def test_changes_of_one_millisecond_by_sequence(spark):
+    def cells(*changes):
+        rows = [("dim", "1", op, 5, seq, {"id": "1", "name": name, "op": op}) for seq, (op, name) in enumerate(changes)]
+        routed = spark.createDataFrame(rows, "sink_table string, row_key string, op string, ts_ms long, seq long, payload map<string,string>")
+        return [r.name for r in dims.dimension_rows(dims.dimension_cells(routed), "dim", ["id", "name"]).collect()]
+
+    assert cells(("c", "a"), ("d", "a"), ("c", "b")) == ["b"]
+    assert cells(("c", "a"), ("d", "a")) == []
+    assert cells(("c", "z"), ("u", "a")) == ["a"]
+
+
+def test_streams_need_a_bound(feed):
+    with pytest.raises(ValueError):
+        facts.order_detail(feed(ENV).add(env("order_info", "c", T0, after={"id": "o"})).stream())
+
+
+def test_keyed_fact_shows_nulls_first(spark, tmp_path, rows):
+    """The row appears without its activity and is replaced when that comes, years later."""
+    fact = keyed.order_details(spark, str(tmp_path / "f"))
+    give = lambda n, *changes: fact.apply(spark.createDataFrame(list(changes), ENV), n)
+    give(0, env("order_detail", "c", T0, after={"id": "1", "order_id": "o", "sku_num": "1", "order_price": "2"}))
+    assert fact.read().count() == 0
+    give(1, env("order_info", "c", T0, after={"id": "o", "user_id": "u"}))
+    assert rows(fact.read().select("id", "user_id", "activity_id")) == [("1", "u", None)]
+    give(2, env("order_detail_activity", "c", T0 + 10**11, after={"order_detail_id": "1", "activity_id": "a"}))
+    give(2, env("order_detail_activity", "c", T0 + 10**11, after={"order_detail_id": "1", "activity_id": "a"}))
+    assert rows(fact.read().select("id", "user_id", "activity_id")) == [("1", "u", "a")]
+
+
+def test_malformed_amounts_do_not_stop_the_job(spark):
+    rows = spark.createDataFrame([detail("1", "10.00", T0), detail("2", "1o.00", T0)], DETAIL)
+    assert metrics.order_measures(rows).count() == 1 and [r.id for r in metrics.malformed_amounts(rows).collect()] == ["2"]
+    bad = spark.createDataFrame([(None, {"id": "1", "sku_num": "x"}, {"db": "shop", "table": "cart_info"}, "c", 1),
+                                 ({"sku_num": "y"}, {"id": "2", "sku_num": "3"}, {"db": "shop", "table": "cart_info"}, "u", 1)], ENV)
+    assert [r.id for r in facts.cart_add(bad).collect()] == ["1"]
+
+
+def test_versions_are_forgotten():
+    """A timer an hour past a version clears it, unless a newer one came meanwhile."""
+    from datetime import datetime
+    from types import SimpleNamespace
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, value):
+            self.held = value
+
+        def clear(self):
+            self.held = None
+
+    schema = T.StructType.fromDDL("id string, et timestamp, ts long, order_amount long")
+    value, timers = Value(), []
+    processor = state._Retract(schema, "et", ["ts"], ["order_amount"], 3_600_000)
+    processor.init(SimpleNamespace(getValueState=lambda *_: value, registerTimer=timers.append))
+    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    version = lambda minute, n: Row(id="1", et=datetime(2024, 1, 1, 0, minute), ts=minute, order_amount=n)
+    assert [r.order_amount for r in processor.handleInputRows(("1",), iter([version(0, 5)]), clock)] == [5]
+    assert [r.order_amount for r in processor.handleInputRows(("1",), iter([version(9, 7)]), clock)] == [-5, 7]
+    for end, left in ((timers[0], True), (timers[1], False)):
+        list(processor.handleExpiredTimer(("1",), clock, SimpleNamespace(getExpiryTimeInMs=lambda end=end: end)))
+        assert value.exists() == left
+
+
 def test_metric_table_replay(spark, tmp_path, rows):
     table = MetricTable(spark, str(tmp_path / "m"))
     part = lambda d, n: spark.createDataFrame([(d, n)], "cur_date string, n int")
