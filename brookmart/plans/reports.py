@@ -9,6 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# The two labels that the charts show.
+TURNOVER_LABEL = "交易额"
+CHANNEL_LABEL = "渠道"
+
 
 def _dates(table: DataFrame, day: int | None) -> DataFrame:
     if day is None:
@@ -44,7 +48,7 @@ def province_payload(report: DataFrame) -> DataFrame:
     """One map payload per day, provinces by name. Its length is the number of provinces."""
     items = F.array_sort(F.collect_list(F.struct(F.col("province_name").alias("name"),
                                                  F.col("order_amount").alias("value"))))
-    data = F.struct(F.col("items").alias("mapData"), F.lit("交易额").alias("valueName"))
+    data = F.struct(F.col("items").alias("mapData"), F.lit(TURNOVER_LABEL).alias("valueName"))
     return (report.groupBy("cur_date").agg(items.alias("items"))
             .select("cur_date", F.to_json(F.struct(F.lit(0).alias("status"), data.alias("data"))).alias("payload")))
 
@@ -52,7 +56,7 @@ def province_payload(report: DataFrame) -> DataFrame:
 def channel_payload(report: DataFrame) -> DataFrame:
     """One bar-chart payload per day from a top-channel report."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("uv_ct")).alias("n"), "ch")))
-    series = F.array(F.struct(F.lit("渠道").alias("name"), F.transform("o", lambda x: -x["n"]).alias("data")))
+    series = F.array(F.struct(F.lit(CHANNEL_LABEL).alias("name"), F.transform("o", lambda x: -x["n"]).alias("data")))
     data = F.struct(F.transform("o", lambda x: x["ch"]).alias("categories"), series.alias("series"))
     return (report.groupBy("cur_date").agg(ordered.alias("o"))
             .select("cur_date", F.to_json(F.struct(F.lit(0).alias("status"), data.alias("data"))).alias("payload")))

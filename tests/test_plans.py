@@ -100,3 +100,12 @@ def test_hot_word_is_split(skewed):
     flagged = joins.flag_members(rows, words, "word")
     assert largest_share(flagged) < 2
     assert flagged.where("is_member").count() == 200_000 + 500
+
+
+@pytest.mark.parametrize("name, scans", [("order_detail_fact", 4), ("refund_pay_fact", 3), ("refund_fact", 2), ("dirty_split", 1)])
+def test_every_feed_is_read_once(spark, sf_dir, name, scans):
+    assert plan(QUERIES[name](spark, sf_dir)).count("FileScan") <= scans
+
+
+def test_dirty_lines_are_parsed_once(spark, sf_dir):
+    assert plan(QUERIES["dirty_split"](spark, sf_dir)).count("from_json") <= 2
