@@ -224,7 +224,7 @@ def _run(row_ids: np.ndarray, row_tags: np.ndarray, block: bytes) -> dict[str, n
     return level | {"id": row_ids[doc], "tag": row_tags[doc]}
 
 
-def index_spans(arrays: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+def index_spans(arrays: DataFrame, ranges: int, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Runs the family of each hash range. Spans with h = -1 are removed; others are open suffixes of seed ``h`` at ``start``."""
     reach = length - seed
 
@@ -255,7 +255,7 @@ def index_spans(arrays: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
         return pa.concat_tables(out) if out else _spans({"id": np.zeros(0, np.int64), "tag": np.zeros(0, np.int64)}, *[np.zeros(0, np.int64)] * 3)
 
     # batch-decided rows are dealt over as many groups as there are ranges
-    spread = F.when(F.col("range") < 0, -1 - F.pmod(F.hash("block"), F.lit(64))).otherwise(F.col("range"))
+    spread = F.when(F.col("range") < 0, -1 - F.pmod(F.hash("block"), F.lit(ranges))).otherwise(F.col("range"))
     return arrays.withColumn("range", spread).groupBy("range").applyInArrow(one, SPANS)
 
 
@@ -379,7 +379,7 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
                        F.shiftrightunsigned(F.xxhash64("text"), 32).alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
     total = docs.select(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     parts = max(1, -(-total // RANGE))
-    spans = stored(index_spans(batch_arrays(rows, parts, length, seed), length, seed), "suffix-spans")
+    spans = stored(index_spans(batch_arrays(rows, parts, length, seed), parts, length, seed), "suffix-spans")
     bucket = F.pmod(F.xxhash64("id", "tag"), F.lit(parts)).cast("int").alias("bucket")
     texts = rows.select(bucket, "doc_id", "id", "tag", "text").groupBy("bucket")
     wanted = spans.where("h >= 0").select(bucket, "id", "tag", "start", "h").groupBy("bucket")
