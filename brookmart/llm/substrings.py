@@ -5,7 +5,8 @@ string, the ``SEED`` bytes with the smallest hash, so equal strings share a suff
 Every batch of documents sorts its suffixes by hash of their seed; within a hash range the batches' arrays enter one by one
 and equal-sized levels merge, so an entry is moved a logarithmic number of times. A merge scans what meets: suffixes with
 equal surroundings (all strings around the seed) in two documents decide the later one, which leaves the index. What is left
-with one seed and several surroundings is settled on the bytes themselves.
+with one seed and several surroundings is settled on the bytes themselves; a seed with more than ``HOT`` such suffixes string by
+string, each string by an aggregate.
 
 What moves: about one suffix in sixteen bytes, as compressed column blocks of a batch for a hash range; the texts once, by
 document, for the surroundings of open suffixes and for the result. A frequent string leaves each batch once. Batches are
@@ -34,6 +35,7 @@ SEED = 20
 BATCH = 16 << 20
 RANGE = 8 << 20
 SLICE = 1 << 20
+HOT = 4096  # open suffixes of one seed that are settled string by string
 ODD = 0x2545F4914F6CDD1D
 ENTRY = {"h": 7, "c": 6, "doc": 4, "pos": 4}  # bytes kept of each column of a block
 WORD = (1 << 64) - 1
@@ -324,6 +326,27 @@ def _settled(length: int, seed: int):
     return one
 
 
+def _hot_spans(around: DataFrame, length: int, seed: int) -> DataFrame:
+    """What ``_settled`` finds, for seeds with many suffixes: a row for each string, so that no task has a whole seed.
+
+    The least id of a string is an aggregate and so sends a row per task; the strings then meet it in a plain join, which
+    Spark splits.
+    """
+    reach = length - seed
+    kept = stored(around, "suffix-hot")
+    before = F.explode(F.when(F.greatest(F.lit(0), length - F.col("right")) <= F.least(F.lit(reach), F.col("left")), F.sequence(
+        F.greatest(F.lit(0), length - F.col("right")), F.least(F.lit(reach), F.col("left")))))
+    strings = kept.select("id", "tag", "start", "around", before.alias("before")).select(
+        "id", "tag", "start", "before", F.substring("around", reach + 1 - F.col("before"), F.lit(length)).alias("string"))
+    # strings of one document decide nothing
+    least = stored(strings.groupBy("before", "string").agg(F.min("id").alias("least"), F.max("id").alias("last"))
+                   .where("least < last").drop("last"), "suffix-least")
+    found = strings.join(least, ["before", "string"]).where("id > least")
+    return found.groupBy("id", "tag", "start").agg(F.max("before").alias("most"), F.min("before").alias("fewest")).select(
+        "id", "tag", (F.col("start") - F.col("most")).alias("start"), (F.col("start") - F.col("fewest") + length).alias("stop"),
+        F.lit(-1).cast("long").alias("h"))
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
 
 
@@ -382,10 +405,16 @@ def repeated_strings(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
     spans = stored(index_spans(batch_arrays(rows, parts, length, seed), parts, length, seed), "suffix-spans")
     bucket = F.pmod(F.xxhash64("id", "tag"), F.lit(parts)).cast("int").alias("bucket")
     texts = rows.select(bucket, "doc_id", "id", "tag", "text").groupBy("bucket")
-    wanted = spans.where("h >= 0").select(bucket, "id", "tag", "start", "h").groupBy("bucket")
+    left = spans.where("h >= 0").select(bucket, "id", "tag", "start", "h")
+    hot = stored(left.groupBy("h").count().where(F.col("count") > HOT).select("h"), "suffix-hot-seeds")
     look, kind = _surroundings(length, seed)
-    around = texts.cogroup(wanted).applyInArrow(look, kind)
+    many = None
+    if hot.limit(1).count():
+        many = _hot_spans(texts.cogroup(left.join(hot, "h", "left_semi").select(*left.columns).groupBy("bucket")).applyInArrow(look, kind), length, seed)
+        left = left.join(hot, "h", "left_anti").select(*left.columns)
+    around = texts.cogroup(left.groupBy("bucket")).applyInArrow(look, kind)
     more = around.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")).groupBy("part").applyInArrow(_settled(length, seed), SPANS)
+    more = more if many is None else more.union(many)
     # one shuffle of the texts serves both uses: the plans below it are equal
     gone = spans.where("h < 0").union(more).select(bucket, "id", "tag", "start", "stop").groupBy("bucket")
     return texts.cogroup(gone).applyInArrow(_results, RESULT)
