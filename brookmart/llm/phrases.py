@@ -1,14 +1,17 @@
 """Phrases of two to four words that hold together, per language, by multikey quicksort of suffixes.
 
-A suffix is the language and up to ``LONGEST`` words from a word's place on, within its piece. What a task reads is turned into
-suffixes batch by batch; equal suffixes of a batch are one with a count, and all are dealt by a hash of the language and the two
+A suffix is the language and up to ``LONGEST`` words from a word's place on, within its piece. Single words are counted first and
+their counts added up in 2**``SLOT_BITS`` slots by hash: a word in a slot below ``least`` is surely infrequent, so no phrase
+holds it and suffixes end before it. The slots are a bitmap of fixed size; words that share a full slot merely stay.
+
+What a task reads is turned into suffixes batch by batch; equal suffixes of a batch are one with a count, and all are dealt by a hash of the language and the two
 leading words, as zstd blocks with a word list of their own, into a stored table. Each bucket then sorts its suffix pointers by
 multikey three-way quicksort: the size of an equal-partition is the count of its phrase, and a partition below ``least`` is
 abandoned at once, because nothing deeper can reach it. A bucket above twice ``TARGET`` suffixes is dealt anew by the third and fourth word; there
 only suffixes of full depth lie together, so shorter phrases leave as partial counts and are added up afterwards. Copies of
 one passage, however many, are one suffix with a count in each batch.
 
-Single words are counted per task and added up. Scores, containment and ranks are joins over the phrases found; ranks are
+Scores, containment and ranks are joins over the phrases found; ranks are
 taken in salted shares of a language first, so that no task sorts all phrases of a frequent language.
 
 Defined results: null and empty texts have no words; a null language is ``und``, together with that name itself; repeated
@@ -39,6 +42,8 @@ SCALE = 2_000_000
 BATCH = 8 << 20
 TARGET = 400_000
 SALTS = 64
+SLOT_BITS = 22
+FEW = 10_000  # crowded buckets that may be broadcast
 NO_LANGUAGE = "und"
 WORD_BYTE, SPACE_BYTE, BREAK_BYTE = 0, 1, 2
 KINDS = np.zeros(256, np.uint8)
@@ -73,14 +78,24 @@ class Words:
         self.piece = np.cumsum(kinds == BREAK_BYTE, dtype=np.int64)[starts] + text  # grows with each break and each text
         self.lang = np.asarray(langs.indices).astype(np.int64)[text] if len(starts) else np.zeros(0, np.int64)
 
-    def suffixes(self) -> np.ndarray:
-        """Rows (language, words + 1, 0 past a piece's end) of all suffixes with two words at least."""
+    def slots(self, lang: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The counting slot of each word."""
+        langs, words = _hashes([x.encode() for x in self.langs])[1:], _hashes(self.words)[1:]
+        return (_mixed(_mixed(langs)[lang] + words[code]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+    def suffixes(self, frequent: np.ndarray) -> np.ndarray:
+        """Rows (language, words + 1, 0 past a piece's end or a word outside ``frequent``) of all suffixes with two words at least."""
         out = np.zeros((len(self.code), 1 + LONGEST), np.int64)
+        if not len(out):
+            return out
+        slot = self.slots(self.lang, self.code)
+        good = (frequent[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
         out[:, 0] = self.lang
+        valid = good
         for k in range(LONGEST):
-            same = self.piece[k:] == self.piece[:len(self.piece) - k]
-            out[:len(same), 1 + k] = np.where(same, self.code[k:] + 1, 0)
-        return out[out[:, 2] > 0] if len(out) else out
+            valid = valid[:len(good) - k] & good[k:] & (self.piece[k:] == self.piece[:len(self.piece) - k])
+            out[:len(valid), 1 + k] = np.where(valid, self.code[k:] + 1, 0)
+        return out[out[:, 2] > 0]
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
@@ -100,17 +115,28 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, phrase, n) of single words."""
+    """(lang, phrase, slot, n) of single words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _batches(batches):
             if len(w.code):
                 keys, n = np.unique(w.lang * len(w.words) + w.code, return_counts=True)
                 lang, word = np.divmod(keys, len(w.words))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(w.langs, pa.string()).take(pa.array(lang)), pa.array(w.words, pa.binary()).take(pa.array(word)).cast(pa.string()), pa.array(n, pa.int64())],
-                    ["lang", "phrase", "n"])
+                    pa.array(w.langs, pa.string()).take(pa.array(lang)), pa.array(w.words, pa.binary()).take(pa.array(word)).cast(pa.string()),
+                    pa.array(w.slots(lang, word)), pa.array(n, pa.int64())], ["lang", "phrase", "slot", "n"])
+
+    counted = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, slot long, n long")
+    return counted.groupBy("lang", "phrase", "slot").agg(F.sum("n").alias("n"))
+
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+def frequent_slots(counts: DataFrame, least: int) -> np.ndarray:
+    """A bit per slot: whether its words occur ``least`` times together. At most 2**``SLOT_BITS`` / 64 rows come to the driver."""
+    full = counts.groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("slot", F.lit(64)).cast("int"))
+    rows = full.groupBy(F.floor(F.col("slot") / 64).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    out = np.zeros(1 << SLOT_BITS - 6, "<i8")
+    out[[r.word for r in rows]] = [r.bits for r in rows]
+    return out.view(np.uint8)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -146,11 +172,11 @@ def _batch(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.Record
 BLOCK_KINDS = [("n", pa.int64()), ("langs", pa.list_(pa.string())), ("words", pa.binary()), ("block", pa.binary())]
 
 
-def suffix_blocks(docs: DataFrame, buckets: int) -> DataFrame:
+def suffix_blocks(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFrame:
     """Distinct suffixes of each batch with their counts, dealt by language and two leading words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for w in _batches(batches):
-            rows = w.suffixes()
+            rows = w.suffixes(frequent)
             if not len(rows):
                 continue
             base = len(w.words) + 1
@@ -248,13 +274,18 @@ def _phrases(group: pa.Table, least: int) -> pa.Table:
         "n_words": pa.array([d for d, _, _ in found], pa.int32()), "n": pa.array([n for _, _, n in found], pa.int64())})
 
 
-def phrase_counts(docs: DataFrame, words: int, least: int = LEAST, target: int = TARGET) -> DataFrame:
+def phrase_counts(docs: DataFrame, words: int, frequent: np.ndarray, least: int = LEAST, target: int = TARGET) -> DataFrame:
     """(lang, phrase, n_words, n) of all phrases of two words and more with ``least`` occurrences; ``words`` of the corpus in all."""
     buckets = max(1, -(-words // target))
-    table = stored(suffix_blocks(docs, buckets), "phrase-suffixes")
-    crowded = table.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > 2 * target).select(
-        "bucket", F.ceil(F.col("n") / target).cast("int").alias("subs"))
-    dealt = table.join(crowded, "bucket", "left").mapInArrow(_dealt_anew, BLOCKS.replace("bucket int", "bucket int, sub int"))
+    table = stored(suffix_blocks(docs, buckets, frequent), "phrase-suffixes")
+    crowded = stored(table.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") > 2 * target).select(
+        "bucket", F.ceil(F.col("n") / target).cast("int").alias("subs")), "phrase-crowded")
+    few = crowded.limit(FEW + 1).count()
+    if few:
+        dealt = table.join(F.broadcast(crowded) if few <= FEW else crowded, "bucket", "left")
+    else:
+        dealt = table.withColumn("subs", F.lit(None).cast("int"))
+    dealt = dealt.mapInArrow(_dealt_anew, BLOCKS.replace("bucket int", "bucket int, sub int"))
     found = dealt.groupBy("bucket", "sub").applyInArrow(_sorted_bucket(least), FOUND)
     return found.groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
@@ -267,7 +298,7 @@ def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, covered:
     counts = stored(word_counts(docs), "phrase-words")
     sizes = stored(counts.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-languages")
     total = int(sizes.agg(F.sum("n")).first()[0] or 0)
-    found = stored(phrase_counts(docs, total, least, target), "phrase-found")
+    found = stored(phrase_counts(docs, total, frequent_slots(counts, least), least, target), "phrase-found")
     candidates = found.select("lang", "phrase", "n_words", F.col("n").alias("a"))
     parts = counts.where(F.col("n") >= least).select("lang", "phrase", "n").union(found.select("lang", "phrase", "n"))
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)))
