@@ -56,12 +56,51 @@ def test_strings(odd, docs, pairs, bag, monkeypatch, small):
         monkeypatch.setattr(substrings, "SLICE", 3_000)
         monkeypatch.setattr(substrings, "BATCH", 10_000)
         monkeypatch.setattr(substrings, "RANGE", 20_000)
+        monkeypatch.setattr(substrings, "SETTLED", 50)
     for frame in (odd, docs.where("doc_id < 120")):
         rows = pairs(frame)
         want = Counter((d, *r) for (d, _), r in zip(rows, brute.removed_bytes(rows)))
         assert bag(substrings.repeated_strings(frame).drop("spans")) == want
 
 
+def test_rows_without_id_are_told_apart(spark, pairs, bag):
+    """Many texts without an id: whatever part of a hash they share, each loses what an earlier document has."""
+    passage = "a passage of eighty-four bytes that stands in a text before and in all of those without"
+    rows = [(1, passage)] + [(None, f"{i} head {passage} {i * 7919}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = Counter((d, *r) for (d, _), r in zip(pairs(frame), brute.removed_bytes(pairs(frame))))
+    assert bag(substrings.repeated_strings(frame).drop("spans")) == want
+    assert all(r.n_removed == len(passage) for r in substrings.repeated_strings(frame).where("doc_id is null").collect())
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 700])
+def test_runs_and_short_periods(spark, pairs, bag, monkeypatch, slice_bytes):
+    """Texts of one byte, of short periods and long ones in pieces; their suffixes stay few."""
+    monkeypatch.setattr(substrings, "SLICE", slice_bytes)
+    monkeypatch.setattr(substrings, "ENTRIES", 900)
+    texts = ["x" * 5000, "word " * 900, "ab" * 800, "x" * 70 + "word " * 20 + "abc" * 40, "z" + "x" * 49, "z" + "x" * 50, "".join(f"{i} " for i in range(1500)), "".join(f"{i} " for i in range(700, 1300)) + "x" * 60]
+    rows = list(enumerate(texts)) + [(None, texts[0]), (2, texts[2])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    want = Counter((d, *r) for (d, _), r in zip(pairs(frame), brute.removed_bytes(pairs(frame))))
+    assert bag(substrings.repeated_strings(frame).drop("spans")) == want
+    arrays = substrings.batch_arrays(substrings._keyed(frame), 1)
+    assert arrays.where("range >= 0").selectExpr("sum(n)").first()[0] < 3000
+
+
+def test_index_of_several_batches(docs, odd):
+    """Batches against the stored levels give what one run over all gives, while ids grow."""
+    frame = docs.where("doc_id < 120").select("doc_id", "text")
+    whole = {r[0]: tuple(r) for r in substrings.repeated_strings(frame).drop("spans").collect()}
+    index = substrings.SuffixIndex(ranges=3)
+    cuts = [0, 40, 70, 85, 95, 120]
+    for low, high in zip(cuts, cuts[1:]):
+        got = index.add(frame.where(f"doc_id >= {low} and doc_id < {high}")).drop("spans").collect()
+        assert got and all(tuple(r) == whole[r[0]] for r in got)
+    sizes = [n for n, _ in index.levels]
+    assert all(a > 2 * b for a, b in zip(sizes, sizes[1:])) and len(sizes) < 5
+    assert index.add(odd.where("false")).count() == 0
+
+
 def test_rolling_hash_of_any_size():
     data = np.frombuffer(np.random.default_rng(1).bytes(300), np.uint8)
     for size in (1, 2, 3, 5, 20, 50, 80):
