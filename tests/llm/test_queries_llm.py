@@ -16,7 +16,7 @@ from check import compare, connect
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -30,7 +30,9 @@ CONTRACT = {
     "op5": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op6": "doc_id size source_size target taken", "op7": "doc_id piece start length ids_crc32 sequence_id offset",
     "op8": "doc_id fingerprint component_id", "op9": "doc_id held_out lang_pred score",
-    "op10": "doc_id size text_crc32 law shard slot grown_shard"}
+    "op10": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11": "doc_id n_a n_b n_groups n_links groups_sha256 n_best count_sum", "op12": "lang rank phrase a l r n score",
+    "op13": "doc_id n_tokens ids_sha256 decoded_sha256"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
