@@ -12,8 +12,8 @@ from brookmart.llm.common import stored
 from brookmart.llm.language import accepted
 from brookmart.llm.line_dedup import without_repeated_lines
 from brookmart.llm.mixing import mixed_documents
-from brookmart.llm.near_copies import one_of_near_copies
 from brookmart.llm.packing import pack
+from brookmart.llm.simhash import one_of_each
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +27,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: five-word shingle sets with a Jaccard similarity of 0.8 or more."""
-    return one_of_near_copies(docs)
+    """One document of each group of SimHash near-duplicates stays: three-word shingles, at most three bits apart, as in op8."""
+    return one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
