@@ -39,7 +39,7 @@ LEAST = 30
 BEST = 2000
 COVERED = 80  # per cent of a phrase's occurrences inside a longer one
 SCALE = 2_000_000
-BATCH = 8 << 20
+BATCH = 5 << 20
 TARGET = 400_000
 SALTS = 64
 SLOT_BITS = 22
@@ -85,7 +85,7 @@ class Words:
 
     def suffixes(self, frequent: np.ndarray) -> np.ndarray:
         """Rows (language, words + 1, 0 past a piece's end or a word outside ``frequent``) of all suffixes with two words at least."""
-        out = np.zeros((len(self.code), 1 + LONGEST), np.int64)
+        out = np.zeros((len(self.code), 1 + LONGEST), np.int32)
         if not len(out):
             return out
         slot = self.slots(self.lang, self.code)
@@ -180,7 +180,9 @@ def suffix_blocks(docs: DataFrame, buckets: int, frequent: np.ndarray) -> DataFr
             if not len(rows):
                 continue
             base = len(w.words) + 1
-            front, back = (rows[:, 0] * base + rows[:, 1]) * base + rows[:, 2], rows[:, 3] * base + rows[:, 4]
+            keys = rows.T.astype(np.int64)
+            front, back = (keys[0] * base + keys[1]) * base + keys[2], keys[3] * base + keys[4]
+            del keys
             order = np.lexsort((back, front))
             front, back, rows = front[order], back[order], rows[order]
             first = np.flatnonzero(np.concatenate([[True], (front[1:] != front[:-1]) | (back[1:] != back[:-1])]))
