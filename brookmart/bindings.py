@@ -107,13 +107,13 @@ def log_lines(read: Reader) -> DataFrame:
     err = F.when(F.col("ch") == "error", F.create_map(F.lit("code"), text(number % 10)))
     record = F.struct(common.alias("common"), page.alias("page"), start.alias("start"), err.alias("err"),
                       displays.alias("displays"), actions.alias("actions"), "ts")
-    return v.select("event_id", F.to_json(record).alias("value"))
+    return v.select("event_id", "ts", F.to_json(record).alias("value"))
 
 
 def cut_log_lines(read: Reader) -> DataFrame:
-    """The log lines, every 13th cut short."""
+    """The log lines, every 13th cut short, beside their time."""
     cut = F.when(F.col("event_id") % 13 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
-    return log_lines(read).select(cut.alias("value"))
+    return log_lines(read).select(cut.alias("value"), "ts")
 
 
 def damaged_lines(read: Reader) -> DataFrame:
@@ -237,9 +237,9 @@ def closing_envelopes(spark: SparkSession, *tables: str) -> DataFrame:
     return rows.select("e.*")
 
 
-def as_lines(changes: DataFrame) -> DataFrame:
-    """Envelopes as JSON text beside their time."""
-    return changes.select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"), "ts_ms")
+def as_lines(changes: DataFrame, order: str = "ts_ms") -> DataFrame:
+    """Envelopes as JSON text beside their time, or what else orders their delivery."""
+    return changes.select(F.to_json(F.struct("before", "after", "source", "op", "ts_ms")).alias("value"), order)
 
 
 def payment_changes(read: Reader) -> DataFrame:
@@ -354,6 +354,13 @@ def dictionary(spark: SparkSession) -> DataFrame:
           ('en', 'English'), ('fr', 'French'), ('de', 'German') AS t(code, name)""")
 
 
+def changed_dictionary(spark: SparkSession) -> DataFrame:
+    """The dictionary later on: English has another name, Spanish is known, French is not."""
+    names = dictionary(spark).where("dic_code not in ('en', 'fr')")
+    more = spark.sql("SELECT 'en' AS dic_code, named_struct('dic_name', 'British') AS info UNION ALL SELECT 'es', named_struct('dic_name', 'Spanish')")
+    return names.unionByName(more.select(F.col("dic_code"), F.col("info").cast(names.schema["info"].dataType)))
+
+
 def dimension_config(spark: SparkSession) -> DataFrame:
     return spark.sql("""
         SELECT * FROM VALUES

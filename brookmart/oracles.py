@@ -447,6 +447,34 @@ ORACLES["refund_upsert_stream"] = newest_by_id(
     ORACLES["refund_fact"], "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount",
     "refund_type_code", "refund_reason_type_code", "create_time")
 
+ORACLES["refund_pay_upsert_stream"] = newest_by_id(ORACLES["refund_pay_fact"].replace(  # of several refunds of an order and sku the newest
+    "JOIN ri ON", "JOIN (SELECT * FROM ri QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY ms DESC, CAST(qty AS VARCHAR) DESC) = 1) ri ON"),
+    "order_id", "sku_id", "payment_type_code", "callback_time", "refund_amount")
+ORACLES["comment_upsert_stream"] = ORACLES["comment_dic_left"]
+ORACLES["dictionary_refresh_stream"] = ORACLES["comment_dic_left"].replace(
+    "CASE lang", "CASE WHEN doc_id > 100 THEN CASE lang WHEN 'en' THEN 'British' WHEN 'de' THEN 'German' WHEN 'es' THEN 'Spanish' END ELSE CASE lang").replace(
+    "'German' END AS", "'German' END END AS")
+ORACLES["cart_upsert_stream"] = newest_by_id(ORACLES["cart_delta"], "user_id", "sku_id", "sku_num")
+ORACLES["cancel_upsert_stream"] = f"""
+WITH d AS ({ORACLES["order_detail_upsert_stream"]}),
+oc AS (SELECT CAST(o_orderkey AS VARCHAR) AS o, epoch_ms(o_orderdate) + 600000 AS t FROM orders WHERE o_orderstatus = 'F')
+SELECT id, {KEYS}, {day('t * 1000')} AS date_id, {sec('t * 1000')} AS cancel_time, {AMTS}, split_total_amount, t AS ts FROM d JOIN oc ON order_id = o"""
+ORACLES["pay_upsert_stream"] = f"""
+WITH d AS ({newest_by_id(ORACLES["order_detail_fact_stream"], "order_id", "sku_id", "sku_name", "create_time", "sku_num", "split_original_amount",
+                         "split_activity_amount", "split_coupon_amount", "split_total_amount")}),
+paid AS (SELECT CAST(o_orderkey AS VARCHAR) AS o, epoch_ms(o_orderdate) + 300000 AS pt, left(o_orderpriority, 1) AS p FROM orders WHERE o_orderstatus = 'P')
+SELECT id AS order_detail_id, {KEYS}, '110' || p AS payment_type_code,
+       CASE p WHEN '1' THEN 'alipay' WHEN '2' THEN 'wechat' WHEN '3' THEN 'unionpay' ELSE 'card' END AS payment_type_name,
+       CAST(pt + 2000 AS VARCHAR) AS callback_time, {AMTS}, split_total_amount AS split_payment_amount, pt AS ts
+FROM d JOIN paid ON order_id = o AND ts BETWEEN pt - 1800000 AND pt + 5000 WHERE p <> '5'"""
+
+ORACLES["sku_ingest_stream"] = f"""
+WITH {NEWEST},
+arrived AS (SELECT *, CASE WHEN ms <= 803347200000 THEN 0 ELSE 3600000000 END AS us FROM nw)
+SELECT {window('us', 10)}, sku_id, CAST(sum(original_amount) AS DOUBLE) AS original_amount,
+   CAST(sum(activity_reduce_amount) AS DOUBLE) AS activity_reduce_amount, CAST(sum(coupon_reduce_amount) AS DOUBLE) AS coupon_reduce_amount,
+   CAST(sum(order_amount) AS DOUBLE) AS order_amount FROM arrived GROUP BY ALL"""
+
 ORACLES["retract_stream"] = f"""
 WITH {NEWEST}
 SELECT vid AS id, CAST(original_amount AS DOUBLE) AS original_amount, CAST(activity_reduce_amount AS DOUBLE) AS activity_reduce_amount,

@@ -23,14 +23,22 @@ def _timed(df: DataFrame, name: str, delay: str = WATERMARK) -> DataFrame:
     return timed.withWatermark(name, delay) if df.isStreaming else timed
 
 
-def comment_info(db: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Comments with the name of their appraisal; unknown codes keep a null name."""
+def comment_rows(db: DataFrame) -> DataFrame:
     comments = changes_of(db, "comment_info").select(
         *cells("id", "user_id", "sku_id", "appraise", "comment_txt"), F.col("ts_ms").alias("ts"))
-    named = dictionary_join(comments.where(F.col("id").isNotNull()), dictionary, "appraise", "appraise_name", "left")
+    return comments.where(F.col("id").isNotNull())
+
+
+def named_comments(comments: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = dictionary_join(comments, dictionary, "appraise", "appraise_name", "left")
     return named.select("id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts")
 
 
+def comment_info(db: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Comments with the name of their appraisal; unknown codes keep a null name."""
+    return named_comments(comment_rows(db), dictionary)
+
+
 def cart_add(db: DataFrame) -> DataFrame:
     return cart_increases(db)
 
@@ -80,29 +88,51 @@ _DETAIL_KEYS = ("order_id", "user_id", "sku_id", "sku_name", "province_id", "act
                 "coupon_id")
 
 
-def order_cancel(db: DataFrame, details: DataFrame, within: str | None = None) -> DataFrame:
-    """Details of orders whose status went from 1001 to 1003 (17 columns)."""
-    cancels = _timed(transition(db, "order_info", "order_status", "1003", before="1001").select(
-        *cells("operate_time", oc_id="id"), F.col("ts_ms").alias("ts")), "oc_et").withColumnRenamed("ts", "oc_ts")
+def cancelled_orders(db: DataFrame) -> DataFrame:
+    """Orders whose status went from 1001 to 1003."""
+    return transition(db, "order_info", "order_status", "1003", before="1001").select(
+        *cells("operate_time", oc_id="id"), F.col("ts_ms").alias("ts"))
+
+
+def assembled_cancels(details: DataFrame, cancels: DataFrame, within: str | None = None) -> DataFrame:
+    """Details of cancelled orders (17 columns)."""
+    cancels = _timed(cancels, "oc_et").withColumnRenamed("ts", "oc_ts")
     joined = fact_join(_timed(details, "et"), cancels, {"order_id": "oc_id"}, "inner", "et", "oc_et", within)
     return joined.select("id", *_DETAIL_KEYS, text_millis_to_date("operate_time").alias("date_id"),
                          text_millis_to_datetime("operate_time").alias("cancel_time"), *_DETAIL_AMOUNTS,
                          "split_total_amount", F.col("oc_ts").alias("ts"))
 
 
-def payment_success(db: DataFrame, details: DataFrame, dictionary: DataFrame,
-                    before: str = "30 minutes", after: str = "5 seconds") -> DataFrame:
-    """Paid details: detail time from 30 minutes before to 5 seconds after the payment (18 columns)."""
-    payments = _timed(transition(db, "payment_info", "payment_status", "1602", ops=()).select(
-        *cells("callback_time", pi_order_id="order_id", payment_type_code="payment_type"),
-        F.col("ts_ms").alias("ts")), "pi_et").withColumnRenamed("ts", "pi_ts")
-    paid = interval_join(payments, _timed(details, "et"), {"pi_order_id": "order_id"}, "pi_et", "et", before, after)
+def order_cancel(db: DataFrame, details: DataFrame, within: str | None = None) -> DataFrame:
+    return assembled_cancels(details, cancelled_orders(db), within)
+
+
+def successful_payments(db: DataFrame) -> DataFrame:
+    return transition(db, "payment_info", "payment_status", "1602", ops=()).select(
+        *cells("callback_time", pi_order_id="order_id", payment_type_code="payment_type"), F.col("ts_ms").alias("ts"))
+
+
+def _payment_columns(paid: DataFrame, dictionary: DataFrame) -> DataFrame:
     named = dictionary_join(paid, dictionary, "payment_type_code", "payment_type_name")
     return named.select(F.col("id").alias("order_detail_id"), *_DETAIL_KEYS, "payment_type_code",
                         "payment_type_name", "callback_time", *_DETAIL_AMOUNTS,
                         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"))
 
 
+BEFORE, AFTER = "30 minutes", "5 seconds"
+
+
+def assembled_payments(details: DataFrame, payments: DataFrame, dictionary: DataFrame, before: str = BEFORE, after: str = AFTER) -> DataFrame:
+    """Paid details: detail time from ``before`` to ``after`` the payment (18 columns)."""
+    payments = _timed(payments, "pi_et").withColumnRenamed("ts", "pi_ts")
+    return _payment_columns(interval_join(payments, _timed(details, "et"), {"pi_order_id": "order_id"}, "pi_et", "et", before, after), dictionary)
+
+
+def payment_success(db: DataFrame, details: DataFrame, dictionary: DataFrame,
+                    before: str = BEFORE, after: str = AFTER) -> DataFrame:
+    return assembled_payments(details, successful_payments(db), dictionary, before, after)
+
+
 def refund_requests(db: DataFrame) -> DataFrame:
     return changes_of(db, "order_refund_info").select(
         *cells("id", "user_id", "order_id", "sku_id", "refund_reason_txt", "refund_num", "refund_amount",
@@ -131,21 +161,34 @@ def order_refund(db: DataFrame, dictionary: DataFrame, within: str | None = None
     return assembled_refunds(refund_requests(db), refunded_orders(db), dictionary, within)
 
 
-def refund_payment_success(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
-    """Paid-out refunds, matched by order and sku to the refund and by order to its order (12 columns)."""
-    paid = _timed(transition(db, "refund_payment", "refund_status", "1602").select(
+def paid_out(db: DataFrame) -> DataFrame:
+    return transition(db, "refund_payment", "refund_status", "1602").select(
         *cells("id", "order_id", "sku_id", payment_type_code="payment_type", called_back="callback_time",
-               refund_amount="total_amount"), F.col("ts_ms").alias("ts")), "et")
-    refunds = _timed(transition(db, "order_refund_info", "refund_status", "0705").select(
-        *cells("refund_num", ri_order_id="order_id", ri_sku_id="sku_id"),
-        F.col("ts_ms").alias("ts")), "ri_et").drop("ts")
-    orders = _timed(transition(db, "order_info", "order_status", "1006").select(
-        *cells("user_id", "province_id", oi_id="id"), F.col("ts_ms").alias("ts")), "oi_et").drop("ts")
-    joined = fact_join(paid, refunds, {"order_id": "ri_order_id", "sku_id": "ri_sku_id"}, "inner",
+               refund_amount="total_amount"), F.col("ts_ms").alias("ts"))
+
+
+def paid_out_refunds(db: DataFrame) -> DataFrame:
+    return transition(db, "order_refund_info", "refund_status", "0705").select(
+        *cells("refund_num", ri_order_id="order_id", ri_sku_id="sku_id"), F.col("ts_ms").alias("ts"))
+
+
+def refund_closed_orders(db: DataFrame) -> DataFrame:
+    return transition(db, "order_info", "order_status", "1006").select(
+        *cells("user_id", "province_id", oi_id="id"), F.col("ts_ms").alias("ts"))
+
+
+def assembled_refund_payments(paid: DataFrame, refunds: DataFrame, orders: DataFrame, dictionary: DataFrame,
+                              within: str | None = None) -> DataFrame:
+    """Paid-out refunds, matched by order and sku to the refund and by order to its order (12 columns)."""
+    joined = fact_join(_timed(paid, "et"), _timed(refunds, "ri_et").drop("ts"), {"order_id": "ri_order_id", "sku_id": "ri_sku_id"}, "inner",
                        "et", "ri_et", within).drop("ri_et")
-    joined = fact_join(joined, orders, {"order_id": "oi_id"}, "inner", "et", "oi_et", within)
+    joined = fact_join(joined, _timed(orders, "oi_et").drop("ts"), {"order_id": "oi_id"}, "inner", "et", "oi_et", within)
     named = dictionary_join(joined, dictionary, "payment_type_code", "payment_type_name")
     return named.select("id", "user_id", "order_id", "sku_id", "province_id", "payment_type_code",
                         "payment_type_name", text_millis_to_date("called_back").alias("date_id"),
                         text_millis_to_datetime("called_back").alias("callback_time"),
                         "refund_num", "refund_amount", "ts")
+
+
+def refund_payment_success(db: DataFrame, dictionary: DataFrame, within: str | None = None) -> DataFrame:
+    return assembled_refund_payments(paid_out(db), paid_out_refunds(db), refund_closed_orders(db), dictionary, within)

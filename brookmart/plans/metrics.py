@@ -74,32 +74,32 @@ def keyword_window(pages: DataFrame, size: str = "10 seconds") -> DataFrame:
                   F.count(F.lit(1)).alias("keyword_count"))
 
 
+MONEY = "decimal(16,2)"
 DETAIL_AMOUNTS = {"split_original_amount": "original_amount", "split_activity_amount": "activity_reduce_amount",
                   "split_coupon_amount": "coupon_reduce_amount", "split_total_amount": "order_amount"}
 
 
 def malformed_amounts(details: DataFrame) -> DataFrame:
     """Order details with an amount that is no number, for the dirty feed; the windows leave them out."""
-    return details.where(_malformed())
-
-
-def _malformed() -> Column:
     bad = F.lit(False)
     for c in DETAIL_AMOUNTS:
-        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast("decimal(16,2)").isNull())
-    return bad
+        bad = bad | (F.col(c).isNotNull() & F.col(c).try_cast(MONEY).isNull())
+    return details.where(bad)
 
 
 def order_measures(details: DataFrame) -> DataFrame:
-    """The order-detail feed with typed amounts, without the rows of ``malformed_amounts``."""
-    details = details.where(~_malformed())
+    """The order-detail feed with typed amounts, without the rows of ``malformed_amounts``.
 
-    def money(c: str) -> Column:
-        return F.col(c).try_cast("decimal(16,2)")
-
-    return details.select(
-        "id", "order_id", "sku_id", "province_id", "ts", F.timestamp_millis("ts").alias("et"),
-        *[money(c).alias(name) for c, name in DETAIL_AMOUNTS.items()])
+    Each amount is cast once: the casts are elements of an array that is exploded, and the filter behind it cannot be moved below.
+    """
+    amounts = F.struct(*[F.col(c).try_cast(MONEY).alias(name) for c, name in DETAIL_AMOUNTS.items()],
+                       F.struct(*[F.col(c).isNull().alias(c) for c in DETAIL_AMOUNTS]).alias("missing"))
+    rows = details.select("id", "order_id", "sku_id", "province_id", "ts", F.explode(F.array(amounts)).alias("m"))
+    good = F.lit(True)
+    for c, name in DETAIL_AMOUNTS.items():
+        good = good & (F.col("m")[name].isNotNull() | F.col("m.missing")[c])
+    return rows.where(good).select("id", "order_id", "sku_id", "province_id", "ts", F.timestamp_millis("ts").alias("et"),
+                                   *[F.col("m")[name].alias(name) for name in DETAIL_AMOUNTS.values()])
 
 
 def newest_details(details: DataFrame, tie_break: list[str] = ()) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +13,12 @@ from brookmart.functions import dates, jsons, keys, numbers, text
 from brookmart.operators import cdc, joins, keywords, logs, visits, windows
 from brookmart.plans import dims, facts, metrics, reports
 from brookmart.session import fresh_dir, prepare
+from brookmart.sources.dictionaries import HOUR_MS, DictionaryVersions
 from brookmart.sources.files import day_bucket, stream_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
-from brookmart.streaming import jobs, keyed, pipelines, state
-from brookmart.streaming.runner import deliveries, drain, replay, to_batches
+from brookmart.streaming import jobs, keyed, pipelines, retraction, state
+from brookmart.streaming.first_visits import FirstVisits
+from brookmart.streaming.runner import batch_folders, deliveries, drain, replay, to_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -419,8 +420,6 @@ def file_partition_day(spark, read):
 # --- streams --------------------------------------------------------------------------------------
 
 FAR_MS = 7258118400000  # 2200: closes every window of the given tables
-# versions of an order line lie years apart in the given tables
-LATE, KEEP = "4000 days", timedelta(days=4000)
 
 
 def _far():
@@ -432,16 +431,12 @@ def _last_page():
             "is_new": F.lit("0"), "et": _far(), "ts": F.lit(FAR_MS)}
 
 
-def _last_detail():
-    return {"id": F.lit("closing"), "ts": F.lit(FAR_MS)}
-
-
 def _into_table(spark, feed: DataFrame, build, order: str, closing, name: str) -> MetricTable:
     """Replay a metric stream into a stored table."""
     table = MetricTable(spark, fresh_dir(spark, name))
 
     def write(sums: DataFrame, checkpoint: str) -> None:
-        table.folders.schema = sums.schema
+        table.schema = sums.schema
         to_batches(sums, table.apply, checkpoint, once=True).awaitTermination()
 
     replay(feed, build, order, f"{name}-job", closing=closing, write=write)
@@ -485,42 +480,61 @@ def first_of_day_stream(spark, stream, read):
 
 @stream_query
 def isnew_repair_stream(spark, stream, read):
-    rows = b.page_views(read).select("event_id", "mid", "is_new", "et")
-    return replay(rows, state.repair_is_new, "et", "isnew").select("event_id", "mid", "is_new")
+    path, rows = fresh_dir(spark, "isnew"), b.page_views(read).select("event_id", "mid", "is_new", "et")
+    dates = FirstVisits(spark, f"{path}/dates")
+    write = batch_folders(f"{path}/data")
+    for part in deliveries(rows, "et", name="isnew-feed"):
+        dates.start(part, f"{path}/checkpoint", ["event_id"], write, once=True).awaitTermination()
+    return spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{path}/data").select("event_id", "mid", "is_new")
+
+
+def _summed(spark, read, build, name: str, cuts: list | None = None, parts: int = 2) -> retraction.RetractedSums:
+    """The order-detail feed into sums over newest versions, in deliveries."""
+    path, details = fresh_dir(spark, name), b.order_details(read)
+    sums = build(spark, f"{path}/tables", details.where("false"))
+    for part in deliveries(details, "ts", parts, name=f"{name}-feed", cuts=cuts):
+        sums.start(part, f"{path}/checkpoint", once=True).awaitTermination()
+    return sums
 
 
 @stream_query
 def sku_order_10s_stream(spark, stream, read):
-    sums = replay(b.order_details(read), lambda s: jobs.sku_window(s, delay=LATE, keep=KEEP, emptied=False), "ts", "sku", closing=_last_detail())
-    return plain(metrics.with_sku_dimensions(sums, b.sku_dimensions(read)))
+    sums = _summed(spark, read, retraction.sku_sums, "sku")
+    return plain(metrics.with_sku_dimensions(retraction.sku_windows(sums), b.sku_dimensions(read)))
 
 
-def _province_stream(details: DataFrame) -> DataFrame:
-    return jobs.province_window(details, delay=LATE, keep=KEEP, emptied=False)
+COMMENT_CUT = 100_000  # up to comment 100
+INGEST_CUT, INGEST_STAMPS = 803347200000, (0, 3_600_000)  # 1995-06-17
+
+
+@stream_query
+def sku_ingest_stream(spark, stream, read):
+    """Windows by arrival: two deliveries with a clock of their own; a line counts in the window of its newest version."""
+    clock = iter(INGEST_STAMPS)
+    sums = _summed(spark, read, lambda *a: retraction.sku_sums(*a, stamp=lambda: next(clock)), "sku_ingest", cuts=[INGEST_CUT])
+    return plain(retraction.sku_windows(sums))
 
 
 @stream_query
 def province_order_10s_stream(spark, stream, read):
-    sums = replay(b.order_details(read), _province_stream, "ts", "province", closing=_last_detail())
-    return plain(metrics.with_province_name(sums, b.provinces(read)))
+    sums = _summed(spark, read, retraction.order_sums, "province")
+    return plain(metrics.with_province_name(retraction.province_windows(sums), b.provinces(read)))
 
 
 @stream_query
 def retract_stream(spark, stream, read):
     """What is left of every order line after all versions and retractions."""
-    def versions(details: DataFrame) -> DataFrame:
-        rows = metrics.order_measures(details).withColumn("lines", F.lit(1).cast("bigint"))
-        return state.retract_and_replace(rows, LATE, order=["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS],
-                                         amounts=[*metrics.AMOUNTS, "lines"], keep=KEEP)
+    def per_line(spark, path, empty):
+        return retraction.RetractedSums(spark, path, metrics.order_measures, empty, ["id"], retraction.VERSION_ORDER, metrics.AMOUNTS, {"id": F.col("id")})
 
-    sent = replay(b.order_details(read), versions, "ts", "retract", parts=3)
-    return plain(sent.groupBy("id").agg(*[F.sum(c).alias(c) for c in (*metrics.AMOUNTS, "lines")]))
+    sums = _summed(spark, read, per_line, "retract", parts=3)
+    return plain(sums.read().withColumnRenamed(retraction.LINES, "lines"))
 
 
 @stream_query
 def gmv_stored(spark, stream, read):
-    """The last stored day of a metric table that a stream wrote, read by its partition."""
-    table = _into_table(spark, b.order_details(read), _province_stream, "ts", _last_detail(), "gmv").read()
+    """The last stored day of the windows that a stream keeps."""
+    table = retraction.province_windows(_summed(spark, read, retraction.order_sums, "gmv"))
     day = table.agg(F.max("cur_date")).first()[0]
     return plain(reports.gmv(table, int((day or "0").replace("-", ""))))
 
@@ -539,26 +553,85 @@ def order_detail_fact_stream(spark, stream, read):
     return replay(b.near_order_db(read), lambda s: facts.order_detail(s, within="1 hour"), "ts_ms", "order_detail", closing=closing)
 
 
+def _keyed(fact: keyed.KeyedFact, feed: DataFrame, parts: int = 2) -> keyed.KeyedFact:
+    """JSON lines of ``feed`` into a keyed fact, in deliveries."""
+    for lines in deliveries(b.as_lines(feed), "ts_ms", parts, name="lines"):
+        fact.start(lines, f"{fact.path}/checkpoint", once=True).awaitTermination()
+    return fact
+
+
 @stream_query
 def order_detail_upsert_stream(spark, stream, read):
     """JSON lines into the keyed order-detail fact, without any time bound."""
-    path = fresh_dir(spark, "order_detail_upsert")
-    fact = keyed.order_details(spark, path)
-    for lines in deliveries(b.as_lines(b.order_detail_db(read)), "ts_ms", name="order_detail_lines"):
-        fact.start(lines, f"{path}/checkpoint", once=True).awaitTermination()
-    return fact.read()
+    return _keyed(keyed.order_details(spark, fresh_dir(spark, "order_detail_upsert")), b.order_detail_db(read)).read()
 
 
 @stream_query
 def refund_upsert_stream(spark, stream, read):
     """JSON lines into the keyed refund fact: one row per refund, the newest."""
-    path = fresh_dir(spark, "refund_upsert")
-    fact = keyed.refunds(spark, path, lambda: b.dictionary(spark))
-    for lines in deliveries(b.as_lines(b.refund_db(read)), "ts_ms", name="refund_lines"):
+    return _keyed(keyed.refunds(spark, fresh_dir(spark, "refund_upsert"), lambda at: b.dictionary(spark)), b.refund_db(read)).read()
+
+
+@stream_query
+def refund_pay_upsert_stream(spark, stream, read):
+    """Paid-out refunds first, the refunds and orders they belong to in two later deliveries."""
+    fact = keyed.refund_payments(spark, fresh_dir(spark, "refund_pay_upsert"), lambda at: b.dictionary(spark))
+    late = b.order_changes(read).unionByName(b.refund_changes(read))
+    feed = b.refund_payment_changes(read).withColumn("step", F.lit(0)).unionByName(
+        late.withColumn("step", F.when(F.col("source.table") == "order_info", 2).otherwise(1)))
+    for lines in deliveries(b.as_lines(feed, "step"), "step", name="lines", cuts=[0, 1]):
+        fact.start(lines, f"{fact.path}/checkpoint", once=True).awaitTermination()
+    return fact.read()
+
+
+@stream_query
+def comment_upsert_stream(spark, stream, read):
+    return _keyed(keyed.comments(spark, fresh_dir(spark, "comment_upsert"), lambda at: b.dictionary(spark)), b.comment_changes(read)).read()
+
+
+@stream_query
+def dictionary_refresh_stream(spark, stream, read):
+    """Two deliveries of comments; between them the dictionary calls English otherwise, knows Spanish and forgets French."""
+    path, ticks = fresh_dir(spark, "dictionary_refresh"), iter((0, 0, 2 * HOUR_MS))
+    names = iter((b.dictionary(spark), b.dictionary(spark), b.changed_dictionary(spark)))
+    versions = DictionaryVersions(spark, f"{path}/dictionary", lambda: next(names))
+    fact = keyed.comments(spark, f"{path}/comments", versions.at, clock=lambda: next(ticks))
+    for lines in deliveries(b.as_lines(b.comment_changes(read)), "ts_ms", name="lines", cuts=[COMMENT_CUT]):
         fact.start(lines, f"{path}/checkpoint", once=True).awaitTermination()
     return fact.read()
 
 
+@stream_query
+def cart_upsert_stream(spark, stream, read):
+    return _keyed(keyed.cart(spark, fresh_dir(spark, "cart_upsert")), b.cart_changes(read)).read()
+
+
+def _after_details(spark, fact: keyed.KeyedFact, details: keyed.KeyedFact, changes: DataFrame, feed: DataFrame) -> DataFrame:
+    """A fact over the stored detail fact: each delivery of its own changes arrives before the details of the same time."""
+    for lines, detail_lines in zip(deliveries(b.as_lines(changes), "ts_ms", name="lines"), deliveries(b.as_lines(feed), "ts_ms", name="detail_lines")):
+        fact.start(lines, f"{fact.path}/checkpoint", once=True).awaitTermination()
+        details.start(detail_lines, f"{details.path}/checkpoint", once=True).awaitTermination()
+    fact.follow()
+    return fact.read()
+
+
+@stream_query
+def cancel_upsert_stream(spark, stream, read):
+    """Cancelled details from order changes and the change feed of the stored detail fact."""
+    path = fresh_dir(spark, "cancel_upsert")
+    details = keyed.order_details(spark, f"{path}/details")
+    return _after_details(spark, keyed.cancels(spark, f"{path}/cancels", details), details, b.order_changes(read), b.order_detail_db(read))
+
+
+@stream_query
+def pay_upsert_stream(spark, stream, read):
+    """Paid details from payments and the change feed of the stored detail fact."""
+    path = fresh_dir(spark, "pay_upsert")
+    details = keyed.order_details(spark, f"{path}/details")
+    fact = keyed.payments(spark, f"{path}/payments", details, lambda at: b.dictionary(spark))
+    return _after_details(spark, fact, details, b.payment_changes(read), b.near_order_db(read))
+
+
 @query
 def bad_amounts(spark, read):
     """Order lines of which some amounts are no numbers: what the windows sum, and what goes to the dirty feed."""
@@ -571,8 +644,12 @@ def bad_amounts(spark, read):
 
 @stream_query
 def cancel_fact_stream(spark, stream, read):
-    details = b.paid_details(stream, read("orders"))
-    return drain(facts.order_cancel(b.order_changes(stream), details), "cancel")
+    """Details within the hour of their order, and the cancel ten minutes after it."""
+    feed = b.paid_details(read).select(F.struct("*").alias("detail"), F.col("ts").alias("at")).select("detail", F.lit(None).cast(
+        b.order_changes(read).select(F.struct("*").alias("x")).schema["x"].dataType).alias("change"), "at")
+    changes = b.order_changes(read).select(F.lit(None).cast(feed.schema["detail"].dataType).alias("detail"), F.struct("*").alias("change"), F.col("ts_ms").alias("at"))
+    return replay(feed.unionByName(changes), lambda s: facts.order_cancel(
+        s.where("change is not null").select("change.*"), s.where("detail is not null").select("detail.*"), within="1 hour"), "at", "cancel")
 
 
 @stream_query
@@ -593,20 +670,22 @@ def refund_pay_fact_stream(spark, stream, read):
 
 @stream_query
 def comment_dic_left_stream(spark, stream, read):
-    return drain(facts.comment_info(b.comment_changes(stream), b.dictionary(spark)), "comment")
+    return replay(b.comment_changes(read), lambda s: facts.comment_info(s, b.dictionary(spark)), "ts_ms", "comment")
 
 
 @stream_query
 def cart_delta_stream(spark, stream, read):
-    return drain(facts.cart_add(b.cart_changes(stream)), "cart_delta")
+    return replay(b.cart_changes(read), facts.cart_add, "ts_ms", "cart_delta")
 
 
 @stream_query
 def log_split_stream(spark, stream, read):
     path = fresh_dir(spark, "log_split")
-    feeds = pipelines.split_logs(b.cut_log_lines(stream))
-    pipelines.feed_folders(feeds, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
-    written = spark.read.schema("value string, feed string").text(f"{path}/data")
+    dates = FirstVisits(spark, f"{path}/dates")
+    lines = b.cut_log_lines(read)
+    for part in deliveries(lines, "ts", name="log_lines"):
+        pipelines.split_logs(part, dates, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
+    written = spark.read.schema("value string, batch bigint, feed string").text(f"{path}/data").drop("batch")
     schema = f"{schemas.LOG.toDDL()}, display map<string,string>, action map<string,string>"
     good = jsons.parse_once(written.where("feed != 'dirty'"), schema, keep=["feed"])
     nothing = F.lit(None).cast("string")

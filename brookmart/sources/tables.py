@@ -1,14 +1,11 @@
-"""Stored tables that micro-batches write into idempotently.
+"""Stored tables that micro-batches write into: by primary key, window metrics, and dimensions.
 
-A batch writes one folder named after its id, so a replayed batch overwrites itself; no folder that
-anybody reads is ever rewritten. All folders of a table are one partitioned dataset, so a read is one
-scan however many batches there were. Every ``fold_every`` batches they are folded into a base; the
-folders of the fold before are then removed, which leaves readers that began earlier one whole period.
+All are tables in levels (``brookmart.sources.levels``): a batch is visible as a whole, a replayed batch counts once.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,99 +13,40 @@ from pyspark.sql import types as T
 
 from brookmart import schemas
 from brookmart.operators.cdc import live_config
-from brookmart.operators.versions import newest_per_key
 from brookmart.plans.dims import dimension_rows
+from brookmart.sources.levels import BUCKETS, FAN, LevelledTable, TableGroup
 
-FOLD_EVERY = 20
 
-
-@dataclass
-class BatchFolders:
-    """``kind=change/batch=<id>`` for what batches wrote, ``kind=base/batch=<id>`` for all up to an id."""
-
-    spark: SparkSession
-    path: str
-    schema: T.StructType
-    partition_by: list[str] = field(default_factory=list)
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        return jvm.org.apache.hadoop.fs.Path, jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def committed(self, kind: str) -> list[int]:
-        """Ids of the complete folders."""
-        path, fs = self._fs()
-        found = fs.globStatus(path(f"{self.path}/kind={kind}/batch=*/_SUCCESS"))
-        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in (found or []))
-
-    def write(self, df: DataFrame, batch_id: int, kind: str = "change") -> None:
-        writer = df.select(*self.schema.names).write.mode("overwrite")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/kind={kind}/batch={batch_id}")
-
-    def read(self) -> DataFrame:
-        """Every row in force: the newest base and the batches after it."""
-        bases, changes = self.committed("base"), self.committed("change")
-        upto = bases[-1] if bases else -1
-        after = [b for b in changes if b > upto]
-        if not bases and not after:
-            return self.spark.createDataFrame([], self.schema)
-        plain = [f for f in self.schema.fields if f.name not in self.partition_by]
-        parts = [f for f in self.schema.fields if f.name in self.partition_by]
-        schema = T.StructType([*plain, T.StructField("kind", T.StringType()), T.StructField("batch", T.LongType()), *parts])
-        # at most FOLD_EVERY ids while folds keep up; each is a partition filter, not a scan
-        live = ((F.col("kind") == "base") & (F.col("batch") == upto)) | ((F.col("kind") == "change") & F.col("batch").isin(after))
-        return self.spark.read.schema(schema).parquet(self.path).where(live).select(*self.schema.names)
-
-    def fold(self, rows: DataFrame) -> None:
-        """Make ``rows``, which stand for everything stored, the new base, and remove what the last base had replaced."""
-        done, old = self.committed("change"), self.committed("base")
-        if not done or (old and done[-1] <= old[-1]):
-            return
-        self.write(rows, done[-1], "base")
-        if old:
-            path, fs = self._fs()
-            for kind, ids in (("change", [b for b in done if b <= old[-1]]), ("base", old[:-1])):
-                for b in ids:
-                    fs.delete(path(f"{self.path}/kind={kind}/batch={b}"), True)
-
-
-class UpsertTable:
-    """Rows with a primary key; the newest by ``order`` (which must break ties) wins."""
+class UpsertTable(LevelledTable):
+    """Rows with a primary key, a table by itself; the newest by ``order`` (which must break ties) wins."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str],
-                 partition_by: list[str] = (), fold_every: int = FOLD_EVERY) -> None:
-        self.spark, self.path, self.schema, self.keys, self.order = spark, path, schema, keys, order
-        self.fold_every = fold_every
-        self.folders = BatchFolders(spark, path, schema, list(partition_by))
+                 partition_by: list[str] = (), buckets: int = BUCKETS, fan: int = FAN) -> None:
+        super().__init__(TableGroup(spark, path), "rows", schema, keys, order, (), partition_by, buckets, fan)
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Store a batch, at most one row per key."""
-        self.folders.write(newest_per_key(batch.select(*self.schema.names), self.keys, self.order), batch_id)
-        if self.fold_every and batch_id % self.fold_every == self.fold_every - 1:
-            self.compact()
-
-    def read(self) -> DataFrame:
-        return newest_per_key(self.folders.read(), self.keys, self.order)
-
-    def compact(self) -> None:
-        """Fold everything stored so far into a new base; folded folders are no longer read."""
-        self.folders.fold(self.read())
+    def apply_next(self, batch: DataFrame) -> None:
+        """A batch that no stream numbers."""
+        self.apply(batch, self.group.state()["batch"] + 1)
 
 
 class MetricTable:
     """Window results, by batch and day (``cur_date``). ``schema`` is needed to read while nothing is stored."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None, fold_every: int = FOLD_EVERY) -> None:
-        self.spark, self.path, self.fold_every = spark, path, fold_every
-        self.folders = BatchFolders(spark, path, schema, ["cur_date"])
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None, fan: int = FAN) -> None:
+        self.spark, self.path, self.fan, self.schema = spark, path, fan, schema
+        self.group = TableGroup(spark, path)
+
+    def _table(self) -> LevelledTable:
+        if self.schema is None:
+            known = self.group.state()["schemas"].get("rows")
+            if known is None:
+                raise ValueError(f"nothing is stored at {self.path} and no schema was given")
+            self.schema = T.StructType.fromJson(json.loads(known))
+        return LevelledTable(self.group, "rows", self.schema, partition_by=["cur_date"], fan=self.fan)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        self.folders.schema = self.folders.schema or batch.schema
-        self._spread(batch, lambda df: self.folders.write(df, batch_id))
-        if self.fold_every and batch_id % self.fold_every == self.fold_every - 1:
-            self.compact()
+        self.schema = self.schema or batch.schema
+        self._spread(batch, lambda df: self._table().apply(df, batch_id))
 
     def apply_json(self, batch: DataFrame, batch_id: int, hidden: tuple[str, ...] = ()) -> None:
         """JSON-lines form without the ``hidden`` columns."""
@@ -129,17 +67,10 @@ class MetricTable:
             batch.unpersist()
 
     def read(self) -> DataFrame:
-        if self.folders.schema is None:
-            kind = next((k for k in ("base", "change") if self.folders.committed(k)), None)
-            if kind is None:
-                raise ValueError(f"nothing is stored at {self.path} and no schema was given")
-            known = self.spark.read.parquet(f"{self.path}/kind={kind}").drop("batch").schema
-            self.folders.schema = T.StructType([
-                T.StructField(f.name, T.StringType() if f.name == "cur_date" else f.dataType) for f in known])
-        return self.folders.read()
+        return self._table().read()
 
     def compact(self) -> None:
-        self.folders.fold(self.read().repartition("cur_date"))
+        self._table().compact()
 
 
 LAST = 2**63 - 1
@@ -156,17 +87,16 @@ class DimensionStore:
     """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        def cells(name: str, fold_every: int = FOLD_EVERY) -> UpsertTable:
-            return UpsertTable(spark, f"{path}/{name}", _CELL, ["sink_table", "row_key", "column"],
-                               ["ts_ms", "seq", "value"], ["sink_table"], fold_every)
+        def cells(name: str) -> UpsertTable:
+            return UpsertTable(spark, f"{path}/{name}", _CELL, ["sink_table", "row_key", "column"], ["ts_ms", "seq", "value"], ["sink_table"])
 
-        def config(name: str, fold_every: int = FOLD_EVERY) -> UpsertTable:
-            return UpsertTable(spark, f"{path}/{name}", _CONFIG, ["source_table", "ts_ms"], ["op", "sink_table"], (), fold_every)
+        def config(name: str) -> UpsertTable:
+            return UpsertTable(spark, f"{path}/{name}", _CONFIG, ["source_table", "ts_ms"], ["op", "sink_table"], buckets=1)
 
         self.spark = spark
-        # Streams number their batches; commands are numbered by their time, in folders of their own.
-        self.cells, self.cell_commands = cells("cells"), cells("cell_commands", 0)
-        self.changes, self.config_commands = config("config"), config("config_commands", 0)
+        # Streams number their batches; commands are numbered as they come, in tables of their own.
+        self.cells, self.cell_commands = cells("cells"), cells("cell_commands")
+        self.changes, self.config_commands = config("config"), config("config_commands")
 
     def apply_config(self, rows: DataFrame, batch_id: int) -> None:
         self.changes.apply(rows, batch_id)
@@ -208,9 +138,9 @@ class DimensionStore:
         marks = row_keys.select(F.lit(sink_table).alias("sink_table"), F.col(row_keys.columns[0]).alias("row_key"),
                                 F.lit("").alias("column"), F.lit(ts_ms).cast("bigint").alias("ts_ms"),
                                 F.lit(LAST).alias("seq"), F.lit(None).cast("string").alias("value"))
-        self.cell_commands.apply(marks, ts_ms)
+        self.cell_commands.apply_next(marks)
 
     def drop_all(self, ts_ms: int) -> None:
         """Drop every table."""
         gone = self.config().withColumns({"op": F.lit("d"), "ts_ms": F.lit(ts_ms).cast("bigint")})
-        self.config_commands.apply(gone, ts_ms)
+        self.config_commands.apply_next(gone)

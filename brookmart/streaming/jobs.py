@@ -1,14 +1,15 @@
-"""The windowed metrics as streams: the builders of ``brookmart.plans.metrics`` behind watermarks and state."""
+"""The windowed metrics as streams: the builders of ``brookmart.plans.metrics`` behind watermarks and state.
 
-from __future__ import annotations
+Order windows, whose rows are replaced, are in ``brookmart.streaming.retraction``.
+"""
 
-from datetime import timedelta
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookmart.operators.logs import home_or_detail, login_visit
-from brookmart.operators.windows import labels, total, tumble
+from brookmart.operators.windows import total, tumble
 from brookmart.plans import metrics
 from brookmart.streaming import state
 
@@ -43,41 +44,3 @@ def cart_window(cart: DataFrame, size: str = "5 seconds", delay: str = ORDERED)
 
 def keyword_window(pages: DataFrame, size: str = "10 seconds", delay: str = ORDERED) -> DataFrame:
     return metrics.keyword_window(pages.withWatermark("et", delay), size)
-
-
-LINES = "_lines"
-
-
-def _versions(details: DataFrame, delay: str, keep: timedelta, by_ingest: bool = False) -> DataFrame:
-    """Order lines and their retractions; ``_lines`` is 1 and -1."""
-    rows = metrics.order_measures(details).withColumn(LINES, F.lit(1).cast("bigint"))
-    if by_ingest:
-        rows = rows.withColumn("et", F.current_timestamp())
-    order = ["ts", "order_id", "sku_id", "province_id", *metrics.AMOUNTS]
-    return state.retract_and_replace(rows, delay, order=order, amounts=[*metrics.AMOUNTS, LINES], keep=keep)
-
-
-def sku_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED, by_ingest: bool = False,
-               keep: timedelta = timedelta(hours=1), emptied: bool = True) -> DataFrame:
-    """Amount sums per sku; ``by_ingest`` windows by arrival (``current_timestamp``) instead of ``ts``.
-
-    A window of which every line was retracted gives a row of zeros, or none without ``emptied`` (as
-    in the batch form). ``keep`` must not be shorter than the window.
-    """
-    sums = tumble(_versions(details, delay, keep, by_ingest), "et", size, ["sku_id"], *map(total, [*metrics.AMOUNTS, LINES]))
-    return (sums if emptied else sums.where(F.col(LINES) > 0)).drop(LINES)
-
-
-def province_window(details: DataFrame, size: str = "10 seconds", delay: str = ORDERED,
-                    keep: timedelta = timedelta(hours=1), emptied: bool = True) -> DataFrame:
-    """Orders and amount per province.
-
-    Streams reject distinct counts. Two chained aggregates give the same: one row per order, then
-    the rows per province. No set of order ids is held for a province. An order of which every line
-    was retracted does not count.
-    """
-    per_order = (_versions(details, delay, keep)
-                 .groupBy(F.window("et", size).alias("w"), "province_id", "order_id").agg(total("order_amount"), total(LINES)))
-    sums = (per_order.groupBy(F.window("w", size).alias("window"), "province_id")
-            .agg(F.count_if(F.col(LINES) > 0).alias("order_count"), total("order_amount")))
-    return (sums if emptied else sums.where(F.col("order_count") > 0)).select(*labels(), "province_id", "order_count", "order_amount")

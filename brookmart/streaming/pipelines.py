@@ -13,8 +13,8 @@ from brookmart.functions.jsons import mark_objects, parse_once
 from brookmart.operators import cdc, logs
 from brookmart.plans.dims import dimension_cells
 from brookmart.sources.tables import DimensionStore, MetricTable
-from brookmart.streaming import state
-from brookmart.streaming.runner import INTERVAL, to_batches
+from brookmart.streaming.first_visits import FirstVisits
+from brookmart.streaming.runner import batch_folders, to_batches
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -53,30 +53,24 @@ def routed_folders(path: str) -> Sink:
     return write
 
 
-def split_logs(lines: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Log lines → ``feed`` (err, start, page, display, action, dirty) and ``value``, in one query.
+def split_logs(lines: DataFrame, dates: FirstVisits, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Log lines into text folders per batch and feed: err, start, page, display, action and dirty.
 
-    The visitor's flag is repaired in keyed state on the way; only lines that can change go there.
-    Lines that are no JSON object pass unread as the feed ``dirty``. ``feed`` routes the rows in any sink.
+    The visitor's flag is repaired on the way by the stored first-visit dates. Lines that are no JSON object are dirty.
     """
     marked = mark_objects(lines.select("value"), mark="good")
     parsed = parse_once(marked, "common struct<mid string, is_new string>, ts bigint", keep=["value", "good"])
-    keyed = parsed.select("value", "good", F.when(F.col("good"), F.col("common.mid")).alias("mid"), "common.is_new",
-                          F.timestamp_millis("ts").alias("et"))
-    fixed = state.repair_is_new(keyed, ttl_ms=ttl_ms)
-
-    clean = parse_once(fixed.where("good"), schemas.LOG, keep=["is_new"])
-    clean = clean.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
-    return logs.to_feed(logs.tag_feeds(clean), "feed").unionByName(
-        marked.where("NOT good").select(F.lit("dirty").alias("feed"), "value"))
-
-
-def feed_folders(feeds: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Feeds as text lines in one folder per feed; the file sink counts a replayed batch once."""
-    writer = (feeds.writeStream.format("text").outputMode("append").partitionBy("feed")
-              .option("path", path).option("checkpointLocation", checkpoint))
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=INTERVAL)
-    return writer.start()
+    flat = parsed.select("value", "good", F.when(F.col("good"), F.col("common.mid")).alias("mid"), "common.is_new",
+                         F.timestamp_millis("ts").alias("et"))
+    write = batch_folders(path, ["feed"], "text")
+
+    def feeds(fixed: DataFrame, batch_id: int) -> None:
+        clean = parse_once(fixed.where("good"), schemas.LOG, keep=["is_new"])
+        clean = clean.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new")
+        dirty = fixed.where("NOT good").select(F.lit("dirty").alias("feed"), "value")
+        write(logs.to_feed(logs.tag_feeds(clean), "feed").unionByName(dirty), batch_id)
+
+    return dates.start(flat, checkpoint, ["value"], feeds, once)
 
 
 def enriched_metrics(sums: DataFrame, enrich: Callable[[DataFrame], DataFrame], table: MetricTable,

@@ -36,6 +36,15 @@ def to_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoi
     return _triggered(writer, once, interval).start()
 
 
+def batch_folders(path: str, partition_by: list[str] = (), form: str = "parquet") -> Callable[[DataFrame, int], None]:
+    """A sink with one folder per batch id, which a replayed batch overwrites."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.write.mode("overwrite").format(form)
+        (writer.partitionBy(*partition_by) if partition_by else writer).save(f"{path}/batch={batch_id}")
+
+    return write
+
+
 def to_console(df: DataFrame, checkpoint: str, once: bool = False) -> StreamingQuery:
     writer = df.writeStream.format("console").outputMode("append").option("checkpointLocation", checkpoint)
     return _triggered(writer, once, INTERVAL).start()
@@ -50,16 +59,17 @@ def drain(df: DataFrame, name: str = "out") -> DataFrame:
 
 
 def deliveries(feed: DataFrame, order: str, parts: int = 2, closing: DataFrame | dict[str, Column] | None = None,
-               name: str = "feed") -> Iterator[DataFrame]:
-    """``feed`` as it would arrive: each step writes the next of ``parts`` time-ordered parts and gives
-    the stream over all written so far, for a query that starts again from its checkpoint.
+               name: str = "feed", cuts: list | None = None) -> Iterator[DataFrame]:
+    """``feed`` as it would arrive: each step writes the next of ``parts`` time-ordered parts (or those up to each of ``cuts``)
+    and gives the stream over all written so far, for a query that starts again from its checkpoint.
 
     ``closing`` (rows, or new values for one row of the feed) comes last and pushes the watermark past
     every open window.
     """
     spark = feed.sparkSession
     path = fresh_dir(spark, name)
-    cuts = feed.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)])).first()[0] if parts > 1 else []
+    if cuts is None:
+        cuts = feed.agg(F.percentile_approx(order, [i / parts for i in range(1, parts)])).first()[0] if parts > 1 else []
     bounds = [None, *(cuts or []), None]
     batches = [feed.where(F.lit(True) if low is None else F.col(order) > low).where(F.lit(True) if high is None else F.col(order) <= high)
                for low, high in zip(bounds, bounds[1:])]

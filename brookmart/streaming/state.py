@@ -9,7 +9,6 @@ Event time drives everything but the optional TTL, which makes a replay give the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, Row
@@ -183,56 +182,3 @@ def repair_is_new(df: DataFrame, key: str = "mid", is_new: str = "is_new", ts: s
         statefulProcessor=_RepairIsNew(columns, is_new, ts, ttl_ms), outputStructType=schema,
         outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None")
     return df.where(~asks | F.col(ts).isNull()).unionByName(fixed)
-
-
-class _Retract(StatefulProcessor):
-    """Key row id: the version sent last, forgotten once its window is closed."""
-
-    def __init__(self, schema: T.StructType, ts: str, order: list[str], amounts: list[str], keep_ms: int) -> None:
-        self.schema, self.ts, self.order, self.amounts, self.keep_ms = schema, ts, order, amounts, keep_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", self.schema)
-
-    def _end(self, row) -> int:
-        return int(row[self.ts].timestamp() * 1000) + self.keep_ms
-
-    def handleInputRows(self, key, rows, timerValues):
-        newest = max(rows, key=lambda r: tuple(r[c] for c in self.order))
-        if self.last.exists():
-            old = dict(zip(self.schema.names, self.last.get()))
-            if tuple(newest[c] for c in self.order) <= tuple(old[c] for c in self.order):
-                return
-            # a row behind the watermark belongs to a closed window, which keeps its sum
-            if old[self.ts].timestamp() * 1000 >= timerValues.getCurrentWatermarkInMs():
-                yield Row(**{**old, **{a: -old[a] for a in self.amounts}})
-        self.last.update(tuple(newest[c] for c in self.schema.names))
-        self.handle.registerTimer(self._end(newest))
-        yield Row(**{c: newest[c] for c in self.schema.names})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.last.exists():
-            last = dict(zip(self.schema.names, self.last.get()))
-            if self._end(last) <= expiredTimerInfo.getExpiryTimeInMs():
-                self.last.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def retract_and_replace(df: DataFrame, delay: str, key: str = "id", ts: str = "et",
-                        order: list[str] = ("ts",), amounts: list[str] = (), keep: timedelta = timedelta(hours=1)) -> DataFrame:
-    """Send each new version of a row after its predecessor with negated amounts.
-
-    Sums downstream then hold the newest version only. Of several versions in one micro-batch the
-    newest is sent; the others would cancel out at once. A version is forgotten when the watermark
-    is ``keep`` past its event time: with ``keep`` no shorter than the window downstream nothing is
-    lost, for a closed window keeps its sum anyway.
-    """
-    order, amounts = list(order), list(amounts)
-    thin = reduce_locally(df, [key], order, "last").withWatermark(ts, delay)
-    return thin.groupBy(key).transformWithState(
-        statefulProcessor=_Retract(df.schema, ts, order, amounts, int(keep.total_seconds() * 1000)), outputStructType=df.schema,
-        outputMode="Append", timeMode="EventTime", eventTimeColumnName=ts)

@@ -5,21 +5,19 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from datetime import timedelta
 
 import pytest
-from pyspark.sql import Row
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from brookmart import bindings as b
 from brookmart import schemas
 from brookmart.operators import visits
+from brookmart.operators.joins import look_up
 from brookmart.plans import dims, facts, metrics
 from brookmart.sources.files import read_lines, stream_by_day, stream_lines, write_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
 from brookmart.sources.topics import as_records, as_records_routed, json_table, topic_options
-from brookmart.streaming import jobs, keyed, pipelines, state
+from brookmart.streaming import jobs, keyed, pipelines, retraction, state
 from brookmart.streaming.runner import StreamJob, drain, to_batches, to_files
 
 FAR = "2030-01-01 00:00:00"
@@ -139,40 +137,63 @@ def detail(i, amount, ts, order="o1", sku="s", province="p"):
     return (i, order, sku, province, amount, "1.00", "0.50", amount, ts)
 
 
-def test_retraction_in_an_open_window(feed):
-    f = feed(DETAIL).add(detail("1", "10.00", T0), detail("2", "5.00", T0 + 1)).add(detail("1", "30.00", T0 + 2))
-    f.add(detail("z", "1.00", 1893456000000))
-    for job in (jobs.sku_window, jobs.province_window):
-        got = drain(job(f.stream(), delay="10 seconds")).collect()
-        assert [str(r.order_amount) for r in got] == ["35.00"]
-
-
-def test_retraction_moves_to_the_later_window(feed):
-    f = feed(DETAIL).add(detail("1", "10.00", T0)).add(detail("1", "30.00", T0 + 20_000)).add(detail("z", "1.00", 1893456000000))
-    got = {r.stt[-8:]: str(r.order_amount) for r in drain(jobs.sku_window(f.stream(), delay="1 hour")).collect()}
-    assert got == {"00:00:00": "0.00", "00:00:20": "30.00"}
-
-
-def test_a_closed_window_keeps_its_sum(feed):
-    f = feed(DETAIL).add(detail("1", "10.00", T0)).add(detail("2", "1.00", T0 + 60_000)).add(detail("3", "1.00", T0 + 61_000))
-    f.add(detail("1", "30.00", T0 + 120_000)).add(detail("z", "1.00", 1893456000000))
-    got = {r.stt[-8:]: str(r.order_amount) for r in drain(jobs.sku_window(f.stream())).collect()}
-    assert got["00:00:00"] == "10.00" and got["00:02:00"] == "30.00"
-
-
-def test_three_versions_count_once(feed):
-    f = feed(DETAIL)
-    for n, amount in enumerate(("1.00", "2.00", "4.00")):
-        f.add(detail("1", amount, T0 + n))
-    f.add(detail("z", "1.00", 1893456000000))
-    row = drain(jobs.province_window(f.stream(), delay="10 seconds")).first()
-    assert (row.order_count, str(row.order_amount)) == (1, "4.00")
-
-
-def test_sku_window_by_ingest_time(feed):
-    f = feed(DETAIL).add(detail("1", "10.00", T0))
-    assert jobs.sku_window(f.stream(), by_ingest=True).isStreaming
-    drain(jobs.sku_window(f.stream(), by_ingest=True))
+@pytest.fixture
+def order_windows(spark, feed, tmp_path):
+    """The windows of a job over batches of details."""
+    def run(build, labelled, *batches, **options):
+        sums = build(spark, str(tmp_path / uuid.uuid4().hex), feed(DETAIL).add(detail("0", "1.00", T0)).batch().where("false"), **options)
+        for n, batch in enumerate(batches):
+            sums.apply(feed(DETAIL).add(*batch).batch(), n)
+        return sums, lambda **kw: labelled(sums, **kw)
+
+    return run
+
+
+def test_retraction_in_one_window(order_windows):
+    for build, labelled in ((retraction.sku_sums, retraction.sku_windows), (retraction.order_sums, retraction.province_windows)):
+        _, read = order_windows(build, labelled, [detail("1", "10.00", T0), detail("2", "5.00", T0 + 1)], [detail("1", "30.00", T0 + 2)])
+        assert [str(r.order_amount) for r in read().collect()] == ["35.00"]
+
+
+def test_retraction_moves_to_the_later_window(order_windows):
+    batches = [detail("1", "10.00", T0)], [detail("1", "30.00", T0 + 10**11)]
+    sums, read = order_windows(retraction.sku_sums, retraction.sku_windows, *batches)
+    assert [str(r.order_amount) for r in read().collect()] == ["30.00"]
+    assert sorted(str(r.order_amount) for r in read(emptied=True).collect()) == ["0.00", "30.00"]
+    # a batch comes twice
+    sums.apply(sums.spark.createDataFrame([], sums.versions.schema), 1)
+    assert [str(r.order_amount) for r in read().collect()] == ["30.00"]
+
+
+def test_older_versions_change_nothing(order_windows):
+    _, read = order_windows(retraction.order_sums, retraction.province_windows, [detail("1", "4.00", T0 + 3)], [detail("1", "2.00", T0 + 1)],
+                            [detail("1", "1.00", T0), detail("1", "8.00", T0 + 4), detail("1", "5.00", T0 + 2)])
+    row = read().first()
+    assert (row.order_count, str(row.order_amount)) == (1, "8.00")
+
+
+def test_no_python_in_the_difference(spark, order_windows):
+    sums, read = order_windows(retraction.sku_sums, retraction.sku_windows, [detail("1", "4.00", T0)])
+    rows = sums.versions.read()
+    text = retraction.difference(rows, rows, ["id"], ["ts"], metrics.AMOUNTS)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+    assert "Python" not in read()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_arrival_windows_survive_a_crash(spark, feed, order_windows, monkeypatch):
+    """The batch is done again after a crash before its commit, an hour later: same windows."""
+    ticks = iter([5_000, 3_605_000, 7_205_000])
+    sums, read = order_windows(retraction.sku_sums, retraction.sku_windows, stamp=lambda: next(ticks))
+    commit, batch = sums.group.commit, feed(DETAIL).add(detail("1", "4.00", T0)).batch()
+    monkeypatch.setattr(sums.group, "commit", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        sums.apply(batch, 0)
+    assert read().count() == 0
+    monkeypatch.setattr(sums.group, "commit", commit)
+    sums.apply(batch, 0)
+    sums.apply(batch, 0)
+    sums.apply(feed(DETAIL).add(detail("2", "4.00", T0)).batch(), 1)
+    assert sorted((r.stt, str(r.order_amount)) for r in read().collect()) == [("1970-01-01 00:00:00", "4.00"), ("1970-01-01 01:00:00", "4.00")]
 
 
 ENV = schemas.ENVELOPE
@@ -269,29 +290,96 @@ def test_upsert_table_replay_and_compaction(spark, tmp_path, rows):
     assert rows(table.read().select("id", "sku_num")) == [("1", "d"), ("2", "e")]
 
 
-def test_folds_leave_one_scan_and_remove_old_folders(spark, tmp_path, rows):
-    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"], fold_every=3)
-    for n in range(10):
-        table.apply(spark.createDataFrame([("1", "u", "s", str(n), n), (f"k{n}", "u", "s", "x", n)], schemas.CART_ADD), n)
+def cart_rows(spark, *rows):
+    return spark.createDataFrame([(i, "u", "s", n, ts) for i, n, ts in rows], schemas.CART_ADD)
+
+
+def test_levels_merge_and_leave_one_scan(spark, tmp_path, rows):
+    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"], fan=2, buckets=2)
+    for n in range(11):
+        table.apply(cart_rows(spark, ("1", str(n), n), (f"k{n}", "x", n)), n)
     got = rows(table.read().select("id", "sku_num"))
-    assert ("1", "9") in got and len(got) == 11
-    plan = table.read()._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
-    assert table.folders.committed("base") == [5, 8] and table.folders.committed("change") == [6, 7, 8, 9]
-    for n in range(10, 60):  # folders written by hand, as if nothing had folded them
-        table.folders.write(spark.createDataFrame([("1", "u", "s", str(n), n)], schemas.CART_ADD), n)
+    assert ("1", "10") in got and len(got) == 12
     assert table.read()._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
-    assert ("1", "59") in rows(table.read().select("id", "sku_num"))
-
+    assert table.group.state()["runs"]["rows"] == ["run=0-7-3", "run=8-9-1", "run=10-10-0"]
+    left = {p.name for p in (tmp_path / "t/rows").iterdir() if p.is_dir()}
+    assert "run=0-0-0" not in left and "run=0-7-3" in left
+    assert len(list((tmp_path / "t/_commits").glob("*.json"))) == 8
 
-def test_an_uncommitted_batch_is_not_read(spark, tmp_path):
-    import pathlib
 
+def test_rows_are_rewritten_a_logarithmic_number_of_times(spark, tmp_path, monkeypatch):
     table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"])
+    rewritten = []
+
+    def join(runs, level):
+        first, last = int(runs[0].split("=")[1].split("-")[0]), int(runs[-1].split("-")[1])
+        rewritten.append(last - first + 1)
+        return f"run={first}-{last}-{level}"
+
+    monkeypatch.setattr(table, "_join", join)
+    runs, most = [], 0
+    for n in range(200):
+        runs, _ = table._merged([*runs, f"run={n}-{n}-0"])
+        most = max(most, len(runs))
+    assert sum(rewritten) <= 200 * 4 and most <= 3 * 4  # log4(200) < 4
+
+
+def test_keys_are_read_in_their_buckets(spark, tmp_path, rows):
+    import re
+
+    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"], buckets=64)
     for n in range(2):
-        table.apply(spark.createDataFrame([("1", "u", "s", str(n), n)], schemas.CART_ADD), n)
-    (pathlib.Path(tmp_path) / "t/kind=change/batch=1/_SUCCESS").unlink()
-    assert [r.sku_num for r in table.read().collect()] == ["0"]
+        table.apply(cart_rows(spark, *[(str(i), str(n), n) for i in range(300)]), n)
+    keys = spark.createDataFrame([(str(i),) for i in range(0, 100, 10)], "id string")
+    found = table.read(keys)
+    assert rows(found.select("id", "sku_num")) == sorted((str(i), "1") for i in range(0, 100, 10))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    listed = re.search(r"PartitionFilters: \[.*?_bucket#\d+ (IN|INSET) \(?([\d,]+)", text)
+    assert listed and 1 <= len(listed[2].split(",")) <= 10
+
+
+def test_a_crash_between_two_tables_shows_nothing(spark, tmp_path, monkeypatch, rows):
+    """The side is written, the fact is not: readers see the batch before, and doing it again gives the whole."""
+    fact = keyed.order_details(spark, str(tmp_path / "f"))
+    give = lambda n, *changes: fact.apply(spark.createDataFrame(list(changes), ENV), n)
+    give(0, env("order_detail", "c", T0, after={"id": "1", "order_id": "o", "sku_num": "1", "order_price": "2"}), env("order_info", "c", T0, after={"id": "o", "user_id": "u"}))
+    second = (env("order_detail", "c", T0, after={"id": "2", "order_id": "o", "sku_num": "1", "order_price": "2"}),)
+    stage = fact.table.stage
+    monkeypatch.setattr(fact.table, "stage", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        give(1, *second)
+    again = keyed.order_details(spark, str(tmp_path / "f"))
+    assert [r.id for r in again.read().collect()] == ["1"] and again.stored["details"].read().count() == 1
+    monkeypatch.setattr(fact.table, "stage", stage)
+    give(1, *second)
+    give(1, *second)
+    assert sorted(r.id for r in again.read().collect()) == ["1", "2"] and again.stored["details"].read().count() == 2
+
+
+def test_change_feed(spark, tmp_path, rows):
+    table = UpsertTable(spark, str(tmp_path / "t"), schemas.CART_ADD, ["id"], ["ts"], fan=2)
+    for n in range(4):
+        table.apply(cart_rows(spark, (f"k{n}", "x", n), ("all", str(n), n)), n)
+    feed = lambda since: rows(table.changes_since(since).select("id", "sku_num"))
+    assert feed(3) == [] and feed(1) == [("all", "3"), ("k2", "x"), ("k3", "x")] and len(feed(-1)) == 5
+
+
+def test_details_after_the_cancel(spark, tmp_path, rows):
+    details = keyed.order_details(spark, str(tmp_path / "d"))
+    fact = keyed.cancels(spark, str(tmp_path / "c"), details)
+    envs = lambda *changes: spark.createDataFrame(list(changes), ENV)
+    fact.apply(envs(env("order_info", "u", T0 + 5, {"order_status": "1001"}, {"id": "o", "order_status": "1003", "operate_time": str(T0)})), 0)
+    assert fact.read().count() == 0
+    details.apply(envs(env("order_info", "c", T0, after={"id": "o", "user_id": "u"}),
+                       env("order_detail", "c", T0 + 10**11, after={"id": "1", "order_id": "o", "sku_num": "1", "order_price": "2"})), 0)
+    fact.follow()
+    assert rows(fact.read().select("id", "order_id", "user_id")) == [("1", "o", "u")]
+    # numbers of follow-ups do not hide batches of the stream
+    fact.apply(envs(env("order_info", "u", T0 + 5, {"order_status": "1001"}, {"id": "p", "order_status": "1003", "operate_time": str(T0)})), 1)
+    details.apply(envs(env("order_info", "c", T0, after={"id": "p", "user_id": "v"}),
+                       env("order_detail", "c", T0, after={"id": "2", "order_id": "p", "sku_num": "1", "order_price": "2"})), 1)
+    fact.follow()
+    assert rows(fact.read().select("id", "user_id")) == [("1", "u"), ("2", "v")]
 
 
 def test_an_empty_metric_table_can_be_read(spark, tmp_path):
@@ -338,35 +426,6 @@ def test_malformed_amounts_do_not_stop_the_job(spark):
     assert [r.id for r in facts.cart_add(bad).collect()] == ["1"]
 
 
-def test_versions_are_forgotten():
-    """A timer an hour past a version clears it, unless a newer one came meanwhile."""
-    from datetime import datetime
-    from types import SimpleNamespace
-
-    class Value:
-        held = None
-        exists = lambda self: self.held is not None
-        get = lambda self: self.held
-
-        def update(self, value):
-            self.held = value
-
-        def clear(self):
-            self.held = None
-
-    schema = T.StructType.fromDDL("id string, et timestamp, ts long, order_amount long")
-    value, timers = Value(), []
-    processor = state._Retract(schema, "et", ["ts"], ["order_amount"], 3_600_000)
-    processor.init(SimpleNamespace(getValueState=lambda *_: value, registerTimer=timers.append))
-    clock = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
-    version = lambda minute, n: Row(id="1", et=datetime(2024, 1, 1, 0, minute), ts=minute, order_amount=n)
-    assert [r.order_amount for r in processor.handleInputRows(("1",), iter([version(0, 5)]), clock)] == [5]
-    assert [r.order_amount for r in processor.handleInputRows(("1",), iter([version(9, 7)]), clock)] == [-5, 7]
-    for end, left in ((timers[0], True), (timers[1], False)):
-        list(processor.handleExpiredTimer(("1",), clock, SimpleNamespace(getExpiryTimeInMs=lambda end=end: end)))
-        assert value.exists() == left
-
-
 def test_metric_table_replay(spark, tmp_path, rows):
     table = MetricTable(spark, str(tmp_path / "m"))
     part = lambda d, n: spark.createDataFrame([(d, n)], "cur_date string, n int")
@@ -380,12 +439,12 @@ def test_metric_table_replay(spark, tmp_path, rows):
 
 
 def test_enriched_metrics(spark, feed, tmp_path, rows):
-    f = feed(DETAIL).add(detail("1", "10.00", T0)).add(detail("z", "1.00", 1893456000000))
+    f = feed(PAGE).add(page("a", "2024-01-01 00:00:01")).add(page("z", FAR))
     table = MetricTable(spark, str(tmp_path / "m"))
-    names = spark.createDataFrame([("p", "North")], "id string, name string")
-    pipelines.enriched_metrics(jobs.province_window(f.stream()), lambda s: metrics.with_province_name(s, names), table,
+    names = spark.createDataFrame([("c", "North")], "id string, name string")
+    pipelines.enriched_metrics(jobs.traffic_window(pages(f.stream())), lambda s: look_up(s, names, "ch", "id", channel="name"), table,
                                str(tmp_path / "c"), once=True).awaitTermination()
-    assert [(r.province_name, r.order_count) for r in table.read().collect()] == [("North", 1)]
+    assert [(r.channel, r.uv_ct) for r in table.read().collect()] == [("North", 1)]
 
 
 def test_fact_routing_folders(spark, feed, tmp_path, rows):
