@@ -4,7 +4,7 @@ A piece goes where the sum of the squared counts of open sequences per residual
 included; ties go to the tightest gap. Long pieces come first.
 
 Texts are tokenised once, where they are read; only (id, start, length, checksum) of each piece moves on. Pieces are dealt
-by hash into groups of about ``GROUP`` pieces and every group packs by itself, so groups grow in number, not in size: the
+by hash, with their place in the written table, into groups of about ``GROUP`` pieces and every group packs by itself, so groups grow in number, not in size: the
 open sequences left over are a few per group. Memory of a group: its pieces and one counter per gap.
 
 Defined results: a null or empty text is the end id alone; equal rows are packed each for itself; other columns take no part.
@@ -95,5 +95,6 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, group:
         where, offset = pack_sizes(pdf["length"].to_numpy(), length)
         return pdf.assign(sequence_id=where + (int(pdf["pack_group"].iloc[0]) << 40), offset=offset).drop(columns="pack_group")
 
-    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int"))
+    # the place in the written file tells equal rows apart
+    dealt = cut.withColumn("pack_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "_metadata.row_index"), F.lit(groups)).cast("int"))
     return dealt.groupBy("pack_group").applyInPandas(one, f"{PIECE}, sequence_id long, offset long")
