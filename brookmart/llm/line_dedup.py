@@ -41,7 +41,7 @@ def line_hashes(docs: DataFrame, min_chars: int = 10) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, spread: int = SPREAD) -> DataFrame:
     """Positions of the lines that some earlier document has too."""
-    hashes = line_hashes(docs, min_chars).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(spread)).cast("int"))
+    hashes = line_hashes(docs, min_chars).withColumn("salt", F.pmod(F.xxhash64("doc", "text_hash"), F.lit(spread)).cast("int"))
     ranged = hashes.repartitionByRange("h1", "h2", "salt")
     near = Window.partitionBy("h1", "h2", "salt").orderBy("doc", "pos")
     local = ranged.withColumn("later", F.col("doc") > F.first("doc").over(near))
@@ -74,10 +74,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, spread: int = SPREAD) -> D
 
     Columns: ``row`` (the input's columns), ``n_lines``, ``n_dropped``, ``drops`` (null: nothing goes) and ``kept`` (text).
     """
-    bitmaps = drop_bitmaps(docs, min_chars, spread).hint("shuffle_hash")
+    # a key that is 0 for every row asks for an exchange of the join's own on both sides, between which Spark splits hot keys
+    meet = F.pmod(F.hash("doc"), F.lit(1)).alias("meet")
+    bitmaps = drop_bitmaps(docs, min_chars, spread).select("*", meet).hint("shuffle_hash")
     lines = _lines(F.col("row.text"))
     keep = F.array_except(F.sequence(F.lit(0), F.col("n_lines").cast("int") - 1), _positions(F.col("drops")))
-    return (_keyed(docs).join(bitmaps, ["doc", "text_hash"], "left")
+    return (_keyed(docs).select("*", meet).join(bitmaps, ["doc", "text_hash", "meet"], "left")
             .withColumn("n_lines", F.size(lines).cast("long"))
             .withColumn("n_dropped", F.coalesce(F.aggregate(
                 "drops", F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"])), F.lit(0).cast("long")))
