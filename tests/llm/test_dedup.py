@@ -44,6 +44,15 @@ def test_hot_line_is_spread(spark):
     assert "Python" not in text and "Arrow" not in text
 
 
+def test_rows_without_id_are_spread(spark):
+    """A hot line in a third of rows without an id: no (hash, salt) group has more than twice the mean of the salts."""
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("the very same line\nown line "), F.col("id")).alias("text"))
+    hashes = line_dedup.line_hashes(rows).withColumn("salt", F.pmod(F.xxhash64("doc", "text_hash"), F.lit(line_dedup.SPREAD)))
+    hot = hashes.groupBy("h1", "h2", "salt").count().where("count > 20")
+    assert hot.agg(F.max("count")).first()[0] < 2 * 6000 / line_dedup.SPREAD
+    assert line_dedup.dedup_lines(rows).agg(F.sum("n_dropped")).first()[0] == 5999
+
+
 def test_filtered_documents(odd):
     left = line_dedup.without_repeated_lines(odd)
     assert left.columns == odd.columns

@@ -61,6 +61,14 @@ def test_pack(odd, docs, pairs, encode, bag):
     assert packing.pack(odd.where("false")).count() == 0
 
 
+def test_equal_rows_are_spread(spark):
+    """A third of the rows equal: no group has twice the mean."""
+    rows = spark.range(6000, numPartitions=4).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("text "), F.col("id"))).alias("text"))
+    out = packing.pack(rows, group=500)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 40)).count().collect()]
+    assert sum(sizes) == 6000 and len(sizes) == 12 and max(sizes) < 2 * 500
+
+
 def test_sum_of_squares_choice():
     """Every placement has the least sum of squared counts over open gaps."""
     rng = np.random.default_rng(5)
@@ -129,6 +137,21 @@ def test_recall(spark):
         assert recall >= 0.97, recall
 
 
+def test_scaled_copies_by_id(spark):
+    """Forty copies of each of fifty directions, scaled: all tie but for rounding, and the exact score decides."""
+    rng = np.random.default_rng(4)
+    rows = [(v, (rng.uniform(0.5, 2) * x).tolist()) for v, x in enumerate(np.repeat(rng.normal(size=(50, 16)), 40, axis=0))]
+    got = defaultdict(list)
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    x = np.array([e for _, e in rows])
+    norms = np.sqrt((x * x).sum(axis=1))
+    for q, found in got.items():
+        score = x @ x[q] / (norms * norms[q])
+        assert found == sorted(found) and len(found) == 5
+        assert min(-s for s, _ in found) >= np.sort(np.delete(score, q))[-5] - 1e-15
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [float(i % 7 + 1), float(i % 5), 1.0]) for i in range(0, 120)]
