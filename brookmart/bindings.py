@@ -275,9 +275,22 @@ def paid_details(read: Reader, orders: DataFrame | None = None) -> DataFrame:
                          text(F.lit(None)).alias("coupon_id"), near.alias("ts"))
 
 
-def refund_changes(read: Reader) -> DataFrame:
+def _near_lines(read: Reader) -> DataFrame:
+    """Lines with the time ``near_ms``, 15 to 25 minutes after their order."""
+    orders = read("orders").select("o_orderkey", millis("o_orderdate").alias("t"))
+    near = F.col("t") + 15 * MINUTE + (F.col("l_partkey") % 600) * 1000
+    return read("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("near_ms", near)
+
+
+def near_refund_db(read: Reader) -> DataFrame:
+    """The feed of ``refund_db`` with refunds and their payments within the hour of the order."""
+    lines = lambda name: _near_lines(read) if name == "lineitem" else read(name)
+    return order_changes(read).unionByName(refund_changes(lines, F.col("near_ms"))).unionByName(refund_payment_changes(lines, F.col("near_ms")))
+
+
+def refund_changes(read: Reader, at: Column | None = None) -> DataFrame:
     """Returned lines as refund requests: the insert and the update to "paid out"."""
-    t = detail_millis()
+    t = detail_millis() if at is None else at
     base = dict(id=detail_id(), user_id=F.col("l_suppkey"), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
                 refund_type=F.concat(F.lit("150"), text(F.col("l_linenumber") % 3 + 1)),
                 refund_reason_type=F.concat(F.lit("130"), text(F.col("l_partkey") % 4 + 1)),
@@ -290,8 +303,8 @@ def refund_changes(read: Reader) -> DataFrame:
                    envelope("order_refund_info", "u", t + 2 * MINUTE, asked, paid))
 
 
-def refund_payment_changes(read: Reader) -> DataFrame:
-    t = detail_millis() + 3 * MINUTE
+def refund_payment_changes(read: Reader, at: Column | None = None) -> DataFrame:
+    t = (detail_millis() if at is None else at) + 3 * MINUTE
     before = row(refund_status=F.lit("1601"))
     after = row(id=detail_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
                 refund_status=F.lit("1602"), payment_type=F.concat(F.lit("110"), text(F.col("l_linenumber") % 5 + 1)),

@@ -422,7 +422,7 @@ SELECT CASE WHEN event_id % 8 IN (0, 7) AND event_id % 11 <> 0 THEN strftime(ts,
 # --- streams: the same answers
 
 for same in ("traffic_4key_10s", "home_detail_uv_3s", "user_back_3h", "cart_uu_5s", "keyword_10s", "sku_order_10s",
-             "province_order_10s", "first_of_day", "isnew_repair", "refund_fact", "refund_pay_fact", "comment_dic_left", "cart_delta",
+             "province_order_10s", "first_of_day", "isnew_repair", "comment_dic_left", "cart_delta",
              "pay_interval_join", "dim_upsert", "config_prune_fact", "file_partition_day"):
     ORACLES[f"{same}_stream"] = ORACLES[same]
 
@@ -436,6 +436,12 @@ def newest_by_id(sql: str, *ties: str) -> str:
     return f"SELECT * FROM ({sql}) QUALIFY row_number() OVER (PARTITION BY id ORDER BY {order}) = 1"
 
 
+NEAR_LI = LI.replace("epoch_ms(l_shipdate) + (l_partkey % 600)", "epoch_ms(o_orderdate) + 900000 + (l_partkey % 600)").replace(
+    "FROM lineitem)", "FROM lineitem JOIN (SELECT o_orderkey AS k, o_orderdate FROM orders) ON l_orderkey = k)")
+for near in ("refund_fact", "refund_pay_fact"):
+    ORACLES[f"{near}_stream"] = ORACLES[near].replace(LI, NEAR_LI)
+ORACLES["file_rolled_day_stream"] = ORACLES["file_partition_day"].replace("AS lines", "AS lines, 1 AS files")
+
 ORACLES["order_detail_upsert_stream"] = newest_by_id(
     ORACLES["order_detail_fact"], "order_id", "sku_id", "sku_name", "create_time", "sku_num", "split_original_amount",
     "split_activity_amount", "split_coupon_amount", "split_total_amount")

@@ -14,11 +14,11 @@ from brookmart.operators import cdc, joins, keywords, logs, visits, windows
 from brookmart.plans import dims, facts, metrics, reports
 from brookmart.session import fresh_dir, prepare
 from brookmart.sources.dictionaries import HOUR_MS, DictionaryVersions
-from brookmart.sources.files import day_bucket, stream_by_day
+from brookmart.sources.files import DayFiles, day_bucket, stream_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
 from brookmart.streaming import jobs, keyed, pipelines, retraction, state
 from brookmart.streaming.first_visits import FirstVisits
-from brookmart.streaming.runner import batch_folders, deliveries, drain, replay, to_batches
+from brookmart.streaming.runner import batch_folders, deliveries, replay, to_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -642,30 +642,37 @@ def bad_amounts(spark, read):
     return good.select(F.lit("measured").alias("feed"), "*").unionByName(bad.select(F.lit("dirty").alias("feed"), "*"))
 
 
+def _two_feeds(spark, left: DataFrame, left_ts: str, right: DataFrame, right_ts: str, build, name: str) -> DataFrame:
+    """``build(left stream, right stream)`` over both feeds delivered together in order of time."""
+    kind = lambda df: df.select(F.struct("*").alias("x")).schema["x"].dataType
+    none = lambda df: F.lit(None).cast(kind(df))
+    both = left.select(F.struct("*").alias("l"), none(right).alias("r"), F.col(left_ts).alias("at")).unionByName(
+        right.select(none(left).alias("l"), F.struct("*").alias("r"), F.col(right_ts).alias("at")))
+    return replay(both, lambda s: build(s.where("l is not null").select("l.*"), s.where("r is not null").select("r.*")), "at", name)
+
+
 @stream_query
 def cancel_fact_stream(spark, stream, read):
     """Details within the hour of their order, and the cancel ten minutes after it."""
-    feed = b.paid_details(read).select(F.struct("*").alias("detail"), F.col("ts").alias("at")).select("detail", F.lit(None).cast(
-        b.order_changes(read).select(F.struct("*").alias("x")).schema["x"].dataType).alias("change"), "at")
-    changes = b.order_changes(read).select(F.lit(None).cast(feed.schema["detail"].dataType).alias("detail"), F.struct("*").alias("change"), F.col("ts_ms").alias("at"))
-    return replay(feed.unionByName(changes), lambda s: facts.order_cancel(
-        s.where("change is not null").select("change.*"), s.where("detail is not null").select("detail.*"), within="1 hour"), "at", "cancel")
+    return _two_feeds(spark, b.paid_details(read), "ts", b.order_changes(read), "ts_ms",
+                      lambda details, changes: facts.order_cancel(changes, details, within="1 hour"), "cancel")
 
 
 @stream_query
 def pay_interval_join_stream(spark, stream, read):
-    details = b.paid_details(stream, read("orders"))
-    return drain(facts.payment_success(b.payment_changes(stream), details, b.dictionary(spark)), "pay")
+    return _two_feeds(spark, b.paid_details(read), "ts", b.payment_changes(read), "ts_ms",
+                      lambda details, changes: facts.payment_success(changes, details, b.dictionary(spark)), "pay")
 
 
 @stream_query
 def refund_fact_stream(spark, stream, read):
-    return drain(facts.order_refund(b.refund_db(stream), b.dictionary(spark), within="4000 days"), "refund")
+    """Refunds within the hour of their order, joined in state."""
+    return replay(b.near_refund_db(read), lambda s: facts.order_refund(s, b.dictionary(spark), within="1 hour"), "ts_ms", "refund")
 
 
 @stream_query
 def refund_pay_fact_stream(spark, stream, read):
-    return drain(facts.refund_payment_success(b.refund_db(stream), b.dictionary(spark), within="4000 days"), "refund_pay")
+    return replay(b.near_refund_db(read), lambda s: facts.refund_payment_success(s, b.dictionary(spark), within="1 hour"), "ts_ms", "refund_pay")
 
 
 @stream_query
@@ -736,27 +743,44 @@ def dim_config_change_stream(spark, stream, read):
 @stream_query
 def config_prune_fact_stream(spark, stream, read):
     path = fresh_dir(spark, "routed")
-    pipelines.route_facts(b.order_changes(stream), lambda: b.fact_config(spark), pipelines.routed_folders(f"{path}/data"),
-                          f"{path}/checkpoint", once=True).awaitTermination()
+    for part in deliveries(b.order_changes(read), "ts_ms", name="routed-feed"):
+        pipelines.route_facts(part, lambda: b.fact_config(spark), pipelines.routed_folders(f"{path}/data"),
+                              f"{path}/checkpoint", once=True).awaitTermination()
     return spark.read.text(f"{path}/data").select("sink_table", F.col("value").alias("payload"))
 
 
 @stream_query
 def file_partition_day_stream(spark, stream, read):
     path = fresh_dir(spark, "by_day")
-    writer = stream_by_day(_stamped_lines(stream), f"{path}/data", f"{path}/checkpoint", "at")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    lines = _stamped_lines(read).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(3)))
+    for part in deliveries(lines, "part", name="by_day-feed", cuts=[0, 1]):
+        writer = stream_by_day(part, f"{path}/data", f"{path}/checkpoint", "at")
+        writer.trigger(availableNow=True).start().awaitTermination()
     written = spark.read.schema("value string, day string").text(f"{path}/data")
     return written.groupBy(F.col("day").alias("bucket")).agg(F.count(F.lit(1)).alias("lines"))
 
 
+@stream_query
+def file_rolled_day_stream(spark, stream, read):
+    """Day files after five deliveries: the lines of each day, and no day in more files than its bytes need."""
+    path = fresh_dir(spark, "rolled_day")
+    table = DayFiles(spark, f"{path}/data")
+    lines = _stamped_lines(read).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(5)))
+    for part in deliveries(lines, "part", name="rolled-feed", cuts=[0, 1, 2, 3]):
+        table.start(part, f"{path}/checkpoint", "at", once=True).awaitTermination()
+    table.roll()
+    per_file = table.read().groupBy("day", F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy(F.col("day").alias("bucket")).agg(F.sum("n").alias("lines"), F.count(F.lit(1)).alias("files"))
+
+
 @stream_query
 def upsert_detail_stream(spark, stream, read):
     """The order-detail feed into a keyed table."""
     path = fresh_dir(spark, "upsert")
     table = UpsertTable(spark, f"{path}/table", schemas.ORDER_DETAIL, ["id"],
                         ["ts", "sku_id", "split_original_amount", "split_total_amount", "split_coupon_amount", "sku_num"])
-    details = b.order_details(stream).withColumns({"date_id": F.lit(None).cast("string"),
-                                                   "create_time": F.lit(None).cast("string")})
-    to_batches(details, table.apply, f"{path}/checkpoint", once=True).awaitTermination()
+    details = b.order_details(read).withColumns({"date_id": F.lit(None).cast("string"),
+                                                 "create_time": F.lit(None).cast("string")})
+    for part in deliveries(details, "ts", 3, name="upsert-feed"):
+        to_batches(part, table.apply, f"{path}/checkpoint", once=True).awaitTermination()
     return table.read().select("id", "sku_id", "sku_num", "split_original_amount", "split_total_amount", "ts")

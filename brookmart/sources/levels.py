@@ -109,6 +109,22 @@ class TableGroup:
             fs.delete(old, False)
 
 
+    def replace(self, name: str, runs: list[str], replaced: list[str], marks: dict | None = None) -> None:
+        """A commit of its own: ``runs`` of table ``name`` are in force from now on."""
+        path_of, fs = self._fs()
+        state = self.state()
+        number = state["batch"] + 1
+        retired = state["retired"] | {f"{name}/{r}": number for r in replaced}
+        gone = [r for r, since in retired.items() if since <= number - KEEP]
+        self._put(path_of(f"{self.path}/_commits/{number:020d}.json"), json.dumps(state | {
+            "batch": number, "runs": state["runs"] | {name: runs}, "marks": state["marks"] | (marks or {}),
+            "retired": {r: b for r, b in retired.items() if r not in gone}}))
+        for run in gone:
+            fs.delete(path_of(f"{self.path}/{run}"), True)
+        for old in self._manifests()[:-KEEP]:
+            fs.delete(old, False)
+
+
 class LevelledTable:
     """One table of a group. Of rows with equal ``keys`` the newest by ``order`` wins, or their ``sums`` add up; without keys all rows stay."""
 
