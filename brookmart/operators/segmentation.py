@@ -1,9 +1,10 @@
 """Cutting text without spaces into words: a lattice of dictionary words and the cheapest path through it.
 
 The dictionary (a stated number of words with their frequencies) is a double-array trie that goes to the workers with the
-function. A batch of texts is one array of character codes: all words that start anywhere are found by as many steps down the trie as the
-longest word has letters, and the best paths of all runs are computed side by side, from their ends. Costs are whole numbers, so
-equal inputs give equal cuts anywhere; of paths of equal cost the one whose first word is longer is taken.
+function. Runs of letters or digits are laid end to end as one array of character codes, in slices of ``SLICE`` characters (a longer
+run is a slice of its own): all words that start anywhere are found by as many steps down the trie as the longest word has letters,
+and the best paths of all runs of a slice are computed side by side, from their ends. Costs are whole numbers, so equal inputs give
+equal cuts anywhere; of paths of equal cost the one whose first word is longer is taken. A letter that starts no word stands alone.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from brookmart.operators.keywords import explode_words
 RUN = r"\p{L}+|\p{N}+"
 MOST_WORDS = 50_000
 SCALE = 1000
-FAR = np.int64(1) << 60
+SLICE = 200_000
+WINDOW = 512
+FAR = 1 << 30  # more than any word costs
 
 
 def learned_words(texts: DataFrame, column: str, most: int = MOST_WORDS, longest: int = 16) -> DataFrame:
@@ -42,9 +45,9 @@ class Lattice:
         self.longest = max((len(w) for w, _ in listed), default=1)
         self.unknown = cost(0.5)
         size = len(self.letters) + 2
-        self.base, self.check, self.cost = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, FAR)
+        self.base, self.check, self.cost = np.zeros(size, np.int64), np.full(size, -1, np.int64), np.full(size, FAR, np.int32)
         self.check[0] = 0
-        todo, free = [(0, 0, len(listed), 0)], 1
+        todo, free, last_of = [(0, 0, len(listed), 0)], 1, {}
         while todo:  # the words from a to b share their first ``depth`` letters, which lead to ``state``
             state, a, b, depth = todo.pop()
             if a < b and len(listed[a][0]) == depth:
@@ -57,13 +60,19 @@ class Lattice:
                 if listed[i][0][depth] != listed[heads[-1][0]][0][depth]:
                     heads.append((i, self.letters[listed[i][0][depth]]))
             codes = np.array([c for _, c in heads])
-            at = max(1, free - int(codes[0]))
+            # slots of all letters must be free; looked for in windows from where states with as many letters went last
+            at = max(1, (free if len(codes) == 1 else last_of.get(len(codes), 1)) - int(codes[0]))
             while True:
-                self._reach(at + size)
-                if (self.check[at + codes] < 0).all():
+                self._reach(at + size + WINDOW)
+                taken = self.check[at + codes[0]:at + codes[0] + WINDOW] >= 0
+                for c in codes[1:]:
+                    taken |= self.check[at + c:at + c + WINDOW] >= 0
+                ahead = int(taken.argmin())
+                if not taken[ahead]:
+                    at += ahead
                     break
-                at += 1
-            self.base[state] = at
+                at += WINDOW
+            self.base[state], last_of[len(codes)] = at, at + int(codes[0])
             self.check[at + codes] = state
             while self.check[free] >= 0:
                 free += 1
@@ -77,7 +86,7 @@ class Lattice:
             more = max(size + 1 - len(self.base), len(self.base))
             self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
             self.check = np.concatenate([self.check, np.full(more, -1)])
-            self.cost = np.concatenate([self.cost, np.full(more, FAR)])
+            self.cost = np.concatenate([self.cost, np.full(more, FAR, np.int32)])
 
     def costs(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cost of the word of each length (row) that starts at each place of the runs laid end to end, and the runs' ends."""
@@ -86,7 +95,7 @@ class Lattice:
         code = np.array([self.letters.get(chr(c), len(self.letters) + 1) for c in used.tolist()], np.int64)[code]
         ends = np.cumsum([len(r) for r in runs])
         left = np.repeat(ends, [len(r) for r in runs]) - np.arange(len(code))  # letters up to the end of the run
-        out = np.full((self.longest + 1, len(code)), FAR)
+        out = np.full((self.longest + 1, len(code)), FAR, np.int32)
         state = np.zeros(len(code), np.int64)
         live = np.arange(len(code))
         for size in range(1, self.longest + 1):
@@ -111,11 +120,11 @@ class Lattice:
         by_size, tails = -sizes[order], ends[order]
         for back in range(1, int(sizes.max(initial=0)) + 1):  # all places with ``back`` letters left, side by side
             at = tails[:np.searchsorted(by_size, -back, side="right")] - back
-            top, own = np.full(len(at), FAR), np.zeros(len(at), np.int64)
+            top, own = np.full(len(at), np.iinfo(np.int64).max), np.zeros(len(at), np.int64)
             for size in range(min(self.longest, back), 0, -1):  # longer first: a tie keeps it
-                rest = best[at + size] if size < back else np.int64(0)
-                total = np.minimum(costs[size, at] + rest, FAR)
-                better = total < top
+                own_cost = costs[size, at].astype(np.int64)
+                total = own_cost + (best[at + size] if size < back else 0)
+                better = (own_cost < FAR) & (total < top)
                 top, own = np.where(better, total, top), np.where(better, size, own)
             best[at], step[at] = top, own
         return step
@@ -149,6 +158,18 @@ class Lattice:
         return [[text[i:i + n] for i, n in zip(at[a:b].tolist(), size[a:b].tolist())] for a, b in zip(cuts, cuts[1:])]
 
 
+def slices(runs: list[str]) -> Iterator[list[str]]:
+    part, held = [], 0
+    for run in runs:
+        if part and held + len(run) > SLICE:
+            yield part
+            part, held = [], 0
+        part.append(run)
+        held += len(run)
+    if part:
+        yield part
+
+
 def segmenter(lattice: Lattice, smart: bool = True):
     """An Arrow-batched column function: lower-cased words of runs of letters or of digits; a null text gives null."""
     @F.pandas_udf("array<string>")
@@ -156,10 +177,15 @@ def segmenter(lattice: Lattice, smart: bool = True):
         import regex
 
         runs_of = regex.compile(RUN).findall
+        split = lattice.smart if smart else lattice.fine
         for batch in batches:
             found = [None if t is None else runs_of(t.lower()) for t in batch]
-            flat = [r for x in found if x for r in x]
-            words = iter((lattice.smart if smart else lattice.fine)(flat) if flat else [])
+            words = (w for part in slices([r for x in found if x for r in x]) for w in split(part))
             yield pd.Series([None if x is None else [w for _ in x for w in next(words)] for x in found], index=batch.index, dtype=object)
 
     return cut
+
+
+def trained(texts: DataFrame, column: str, most: int = MOST_WORDS) -> Lattice:
+    """The lattice of the ``most`` frequent words of ``column``; so many rows reach the driver at most."""
+    return Lattice({r["word"]: r["freq"] for r in learned_words(texts, column, most).collect()}, most)

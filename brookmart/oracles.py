@@ -283,6 +283,47 @@ t AS (SELECT {TOKENS} AS keyword, (1704067200 + conv_id * 10 + turn % 10) * 1000
 ORACLES["keyword_10s"] = f"WITH {KEYWORD} SELECT {window('us', 10)}, keyword, count(*) AS keyword_count FROM t GROUP BY ALL"
 ORACLES["keyword_sql"] = ORACLES["keyword_10s"]
 
+# costs are lists by word length for each place of a run; both folds go over a list whose first entry is the start value
+ORACLES["keyword_lattice"] = r"""
+WITH listed AS MATERIALIZED (
+  SELECT w, count(*) AS freq FROM (SELECT unnest(regexp_extract_all(lower(text), '\p{L}+|\p{N}+')) AS w FROM documents)
+  WHERE length(w) <= 16 GROUP BY w ORDER BY freq DESC, w LIMIT 50000),
+total AS (SELECT sum(freq)::DOUBLE AS t FROM listed),
+costs AS MATERIALIZED (SELECT w, CAST(round_even(1000 * (ln(t) - ln(freq::DOUBLE)), 0) AS BIGINT) AS cost FROM listed, total),
+alone AS (SELECT CAST(round_even(1000 * (ln(t) - ln(0.5)), 0) AS BIGINT) AS unknown FROM total),
+runs AS MATERIALIZED (
+  SELECT run, count(*) AS times FROM (
+    SELECT unnest(regexp_extract_all(lower(regexp_replace(text, '[ \t]', '', 'g')), '\p{L}+|\p{N}+')) AS run FROM documents) GROUP BY run),
+letters AS MATERIALIZED (
+  SELECT run, times, i, string_agg(c, '') OVER (PARTITION BY run ORDER BY i ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING) AS ahead
+  FROM (SELECT run, times, generate_subscripts(string_split(run, ''), 1) AS i, unnest(string_split(run, '')) AS c FROM runs)),
+starts AS (SELECT run, times, i, s, ahead[:s] AS w FROM letters, range(1, 17) r(s) WHERE s <= length(ahead)),
+edges AS MATERIALIZED (
+  SELECT run, times, i, s, w, coalesce(cost, CASE WHEN s = 1 THEN unknown END) AS cost, cost IS NOT NULL AS known
+  FROM starts LEFT JOIN costs USING (w), alone),
+places AS (SELECT run, times, i, list(coalesce(cost, 1152921504606846976) ORDER BY s) AS by_size FROM edges GROUP BY ALL),
+best AS (
+  SELECT run, times, list(by_size ORDER BY i) AS places,
+    list_reduce(list_prepend([CAST(0 AS BIGINT)], list(by_size ORDER BY i DESC)),
+      lambda a, x: list_prepend(list_min(list_transform(x, lambda c, s: c + a[s])), a)) AS b
+  FROM places GROUP BY run, times),
+steps AS (
+  SELECT run, times, unnest(places) AS x, unnest(b[1:len(b) - 1]) AS lowest, generate_subscripts(places, 1) AS i, b FROM best),
+sized AS (
+  SELECT run, times, i, list_max(list_filter(list_transform(x, lambda c, s: CASE WHEN c + b[i + s] = lowest THEN s END), lambda s: s IS NOT NULL)) AS step FROM steps),
+cuts AS (
+  SELECT run, times, list_reduce(list_prepend([CAST(1 AS BIGINT)], list([i, step] ORDER BY i)),
+      lambda a, x: CASE WHEN a[1] = x[1] THEN list_prepend(x[1] + x[2], a) ELSE a END) AS marks FROM sized GROUP BY run, times),
+smart AS (SELECT times, substr(run, i, til - i) AS word FROM (SELECT times, run, unnest(marks[2:len(marks)]) AS i, unnest(marks[1:len(marks) - 1]) AS til FROM cuts)),
+reached AS (SELECT run, i, max(CASE WHEN known THEN i + s END) AS reach, bool_or(known) AS begins FROM edges GROUP BY ALL),
+uncovered AS (
+  SELECT run, i FROM (SELECT run, i, max(reach) OVER (PARTITION BY run ORDER BY i) AS far FROM reached) WHERE far IS NULL OR far <= i),
+fine AS (
+  SELECT times, w AS word FROM edges WHERE known
+  UNION ALL SELECT times, w FROM edges JOIN uncovered USING (run, i) WHERE s = 1)
+SELECT 'smart' AS mode, word, CAST(sum(times) AS BIGINT) AS n FROM smart GROUP BY word
+UNION ALL SELECT 'fine', word, CAST(sum(times) AS BIGINT) FROM fine GROUP BY word"""
+
 NEWEST = f"""{LI}, {DETAIL},
 nw AS (SELECT * FROM det QUALIFY row_number() OVER (PARTITION BY vid ORDER BY ms DESC, order_id DESC, sku_id DESC,
    province_id DESC, original_amount DESC, activity_reduce_amount DESC, coupon_reduce_amount DESC, order_amount DESC) = 1)"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brookmart import bindings as b
 from brookmart import schemas
 from brookmart.functions import dates, jsons, keys, numbers, text
-from brookmart.operators import cdc, joins, keywords, logs, visits, windows
+from brookmart.operators import cdc, joins, keywords, logs, segmentation, visits, windows
 from brookmart.plans import dims, facts, metrics, reports
 from brookmart.session import fresh_dir, prepare
 from brookmart.sources.dictionaries import HOUR_MS, DictionaryVersions
@@ -230,6 +230,17 @@ def keyword_10s(spark, read):
     return metrics.keyword_window(b.search_pages(read))
 
 
+@query
+def keyword_lattice(spark, read):
+    """Words of all documents with their spaces taken away, cut by the cheapest path and into every listed word."""
+    docs = read("documents").select("text")
+    lattice = segmentation.trained(docs, "text")
+    glued = docs.select(F.regexp_replace("text", "[ \t]", "").alias("text"))
+    modes = [F.struct(F.lit(m).alias("mode"), segmentation.segmenter(lattice, m == "smart")("text").alias("words")) for m in ("smart", "fine")]
+    cut = glued.select(F.inline(F.array(*modes)))
+    return cut.select("mode", F.explode("words").alias("word")).groupBy("mode", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def keyword_sql(spark, read):
     """The keyword window in SQL, with the word splitter as a temporary table function."""
