@@ -179,3 +179,21 @@ def test_graph_reaches_every_node():
     while front:
         front = [j for i in front for j in near[i].tolist() if j >= 0 and j not in seen and not seen.add(j)]
     assert len(seen) == len(x)
+
+
+def test_back_links_are_pruned_only_where_a_list_overflows():
+    rng = np.random.default_rng(8)
+    unit = neighbours._unit(rng.normal(size=(60, 6)))
+    near = np.full((60, 4), -1, np.int64)
+    near[:50, 0] = 59  # a hub that fifty nodes link to
+    near[50, :2] = 51, 52
+    neighbours._back_linked(unit, near, np.arange(51), 1.2)
+    assert near[51].tolist() == [50, -1, -1, -1] and near[52].tolist() == [50, -1, -1, -1]
+    hub = near[59][near[59] >= 0]
+    assert 0 < len(hub) <= 4 and int((unit[:50] @ unit[59]).argmax()) in hub.tolist()
+    assert (neighbours._table(neighbours.pa.chunked_array([neighbours._lists(near)])) == near).all()
+    whole = neighbours.pruned(unit, np.arange(60), np.tile(np.arange(60), (60, 1)), 5, 1.0, block=7)
+    assert (whole == neighbours.pruned(unit, np.arange(60), np.tile(np.arange(60), (60, 1)), 5, 1.0)).all()
+    for i, row in enumerate(whole.tolist()):  # none of those kept is nearer to an earlier one than to the node
+        kept = [j for j in row if j >= 0]
+        assert i not in kept and all(unit[a] @ unit[b] < unit[i] @ unit[b] + 1e-6 for n, b in enumerate(kept) for a in kept[:n])
