@@ -1,13 +1,15 @@
 """Sharding by fixed virtual slots: records hash into slots, a versioned map sends slots to shards.
 
-Only DataFrame functions touch rows. The driver sees one size per slot, ``SLOTS`` numbers however large the input, and edits
+Only DataFrame functions touch rows. The driver sees one size per slot, a bounded number however large the input, and edits
 the map: the first version places the largest slots first on the emptiest shard, later versions move as few slots as needed.
 
-Law: ``bytes``, the shards' sizes are near equal (a record larger than a shard's share cannot be split).
+Law: ``bytes``, the shards' sizes are near equal (a record larger than a shard's share cannot be split). A slot that holds more
+than a ``CROWDED``-th of a shard's share, as many repeated rows do, is dealt over ``PARTS`` further slots of its own; there are fewer
+than ``CROWDED`` x shards of them, so the map stays bounded.
 Places inside a shard count up from 0: slots follow each other, and rows are numbered within a slot only.
 
 Defined results: a null text has no bytes (size 1, checksum 0) and any null id is hashed as such; rows that are equal in id
-and text share a slot; extra columns take no part.
+and text share a slot unless it is crowded, and are then dealt by their place in the input; extra columns take no part.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from brookmart.llm.common import stored
 from brookmart.session import fresh_dir
 
 SLOTS = 8192
+CROWDED = 16
+PARTS = 64
 
 
 def virtual_slot(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
@@ -28,11 +32,30 @@ def virtual_slot(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(doc_id, text), F.lit(slots)).cast("int")
 
 
+def dealt() -> Column:
+    """A part by the row's place in the input. Fixed once it is written."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+
+
+def crowded_slots(sizes: dict[int, int], shards: int) -> list[int]:
+    """The slots with more than a ``CROWDED``-th of a shard's share of the bytes: fewer than ``CROWDED`` x ``shards``."""
+    total = sum(sizes.values())
+    return sorted(slot for slot, size in sizes.items() if size * shards * CROWDED > total)
+
+
+def parted(vslot: Column, part: Column, crowded: list[int], slots: int = SLOTS) -> Column:
+    """The slot itself, or one of the ``PARTS`` further slots of a crowded one."""
+    if not crowded:
+        return vslot
+    nth = F.array_position(F.array(*map(F.lit, crowded)), vslot).cast("int")
+    return F.when(nth == 0, vslot).otherwise(slots + (nth - 1) * PARTS + part)
+
+
 def sized(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """Id, bytes, checksum and virtual slot of each record; no text."""
+    """Id, bytes, checksum, virtual slot and part of each record; no text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-                       virtual_slot(F.col("doc_id"), text, slots).alias("vslot"))
+                       virtual_slot(F.col("doc_id"), text, slots).alias("vslot"), dealt().alias("part"))
 
 
 def place(sizes: dict[int, int], shards: int, slots: int = SLOTS, current: list[int] | None = None) -> list[int]:
@@ -82,7 +105,7 @@ class SlotMap:
 
 
 def slot_sizes(records: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
-    """Bytes and rows per slot: at most ``SLOTS`` rows reach the driver."""
+    """Bytes and rows per slot: one row per slot reaches the driver, with the parts of crowded slots."""
     rows = records.groupBy("vslot").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
     return {r.vslot: r["size"] for r in rows}, {r.vslot: r.n for r in rows}
 
@@ -102,17 +125,22 @@ def assign(docs: DataFrame, shards: int = 8, slots: int = SLOTS, root: str | Non
     spark = docs.sparkSession
     records = stored(sized(docs, slots), "shard-records")
     sizes, counts = slot_sizes(records)
-    where = place(sizes, shards, slots)
+    crowded = crowded_slots(sizes, shards)
+    if crowded:
+        records = records.withColumn("vslot", parted(F.col("vslot"), F.col("part"), crowded, slots))
+        sizes, counts = slot_sizes(records)
+    where = place(sizes, shards, slots + PARTS * len(crowded))
     maps = SlotMap(spark, root or fresh_dir(spark, "slot-map"))
     maps.write(1, where, starts(where, counts))
     inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
     return (records.withColumn("nth", F.row_number().over(inside) - 1)
-            .join(F.broadcast(maps.read(1)), "vslot")  # `slots` rows, whatever the input
+            .join(F.broadcast(maps.read(1)), "vslot")  # a bounded number of slots, whatever the input
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("first") + F.col("nth")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "vslot"))
 
 
-def write_shards(docs: DataFrame, slot_map: DataFrame, path: str, slots: int = SLOTS) -> None:
-    """The whole rows, one folder per shard."""
-    (docs.withColumn("vslot", virtual_slot(F.col("doc_id"), F.coalesce("text", F.lit("")), slots))
+def write_shards(docs: DataFrame, slot_map: DataFrame, path: str, slots: int = SLOTS, crowded: list[int] = ()) -> None:
+    """The whole rows, one folder per shard; rows of the slots that the map has ``crowded`` are dealt over their parts."""
+    vslot = virtual_slot(F.col("doc_id"), F.coalesce("text", F.lit("")), slots)
+    (docs.withColumn("vslot", vslot).withColumn("vslot", parted(F.col("vslot"), dealt(), list(crowded), slots))
      .join(F.broadcast(slot_map.select("vslot", "shard")), "vslot").drop("vslot").write.partitionBy("shard").parquet(path))

@@ -215,6 +215,28 @@ def test_sharding(odd, docs):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_sharding_of_repeated_rows(spark, tmp_path):
+    """A third of the rows are one row, a third have no id and one text: the law holds, and no slot holds them all."""
+    rows = spark.range(9000).selectExpr("case id % 3 when 0 then 7L when 1 then null else id end doc_id",
+                                        "case id % 3 when 0 then repeat('same ', 20) when 1 then repeat('other ', 15) else concat('t', id) end text")
+    out = sharding.assign(rows.repartition(5)).toPandas()
+    loads = out.groupby("shard")["size"].sum()
+    assert len(out) == 9000 and len(loads) == 8 and loads.max() - loads.min() < 0.05 * loads.mean()
+    for _, own in out.groupby("shard"):
+        assert sorted(own["slot"]) == list(range(len(own)))
+    assert out.groupby("vslot").size().max() < 3 * 3000 / sharding.PARTS
+    assert Counter(zip(out["doc_id"].fillna(-1).astype(int), out["size"])) == Counter(
+        (-1 if r.doc_id is None else r.doc_id, len(r.text) + 1) for r in rows.collect())
+
+    base = rows.withColumn("vslot", sharding.virtual_slot(F.col("doc_id"), F.col("text")))
+    crowded = sorted(r.vslot for r in base.groupBy("vslot").count().where("count > 100").collect())
+    assert len(crowded) == 2
+    slots = spark.createDataFrame([(s, s % 4) for s in range(sharding.SLOTS + 2 * sharding.PARTS)], "vslot int, shard int")
+    sharding.write_shards(rows, slots, str(tmp_path / "out"), crowded=crowded)
+    per_shard = spark.read.parquet(str(tmp_path / "out")).groupBy("shard").count().collect()
+    assert sum(r["count"] for r in per_shard) == 9000 and max(r["count"] for r in per_shard) < 2 * 9000 / 4
+
+
 def test_rebalancing_moves_little():
     rng = np.random.default_rng(4)
     sizes = {s: int(x) for s, x in enumerate(rng.integers(1, 1000, sharding.SLOTS))}
