@@ -5,7 +5,8 @@ the largest, its score that mean. Texts are read whole, in windows of ``WINDOW``
 is bounded by a chunk of windows however long a text is. A-Z count as a-z.
 
 Training: backpropagation through time on the driver, on pieces of at most ``PER_LANGUAGE`` documents of each language (all
-of them below that), in order of a hash of the id. Held-out documents (CRC-32 of the id as text is 2 modulo 4) and those
+of them below that) and ``MAX_FIT`` altogether, in order of a hash of the id. Of more labels than ``MAX_LANGUAGES``, as a column
+that holds other things has, the most frequent are learned. Held-out documents (CRC-32 of the id as text is 2 modulo 4) and those
 without an id or a language are never learned from. Only text enters a prediction.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, as is everything if no language was learned;
@@ -29,6 +30,8 @@ WINDOW = 128
 TRAINED = 64
 HIDDEN = 6
 PER_LANGUAGE = 1000
+MAX_LANGUAGES = 200
+MAX_FIT = 50_000
 PIECES = 4
 CHUNK = 4096
 UNKNOWN = "und"
@@ -205,19 +208,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most: int = MAX_LANGUAGES, max_fit: int = MAX_FIT) -> Network | None:
     """A network from a bounded sample; None if nothing is labelled."""
     known = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                        & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
+    frequent = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most)
+    counts = {r.lang: r["count"] for r in frequent.collect()}  # at most ``most`` rows
     if not counts:
         return None
+    per_language = max(1, min(per_language, max_fit // len(counts)))
     at = lambda k: F.substring("text", F.lit(1) + F.pmod(
         F.xxhash64("doc_id", F.lit(k)), F.greatest(F.lit(1), F.char_length("text") - TRAINED + 1)).cast("int"), F.lit(TRAINED))
     turn = F.xxhash64(F.lit(9), "doc_id")
     # about four times the wanted rows of a language are ranked, however many it has
     shares = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, 4 * per_language / n))])
-    few = known.where(F.shiftrightunsigned(turn, 11) / 2.0**53 <= F.element_at(shares, F.col("lang")))
+    few = known.where(F.shiftrightunsigned(turn, 11) / 2.0**53 <= F.try_element_at(shares, F.col("lang")))
     pieces = few.select(F.col("lang").alias("known"), turn.alias("turn"), F.array(*[at(k) for k in range(PIECES)]).alias("pieces"))
     nth = F.row_number().over(Window.partitionBy("known").orderBy("turn", "pieces"))
     rows = pieces.withColumn("nth", nth).where(F.col("nth") <= per_language).orderBy("known", "turn", "pieces").collect()

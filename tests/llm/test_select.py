@@ -199,6 +199,18 @@ def test_mix(odd, docs, bag):
     assert mixing.mix(odd.where("false")).count() == 0 and mixing.mixed_documents(odd.where("false")).count() == 0
 
 
+def test_language_sample_is_bounded(docs, monkeypatch):
+    """A label of its own for every third row: the frequent labels are learned, from a bounded number of pieces."""
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, labels: seen.append((len(texts), labels)))
+    dirty = docs.withColumn("lang", F.expr("case when doc_id % 3 = 0 then concat('x', doc_id) else lang end"))
+    language.fit(dirty, most=3, max_fit=60)
+    (n, labels), = seen
+    frequent = dirty.where(~language.held_out(F.col("doc_id")) & F.col("lang").isNotNull()).groupBy("lang").count()
+    assert set(labels) == {r.lang for r in frequent.orderBy(F.col("count").desc(), "lang").limit(3).collect()}
+    assert n <= 60 * language.PIECES and max(Counter(labels).values()) <= 20 * language.PIECES
+
+
 def test_sharding(odd, docs):
     for frame in (odd, docs):
         out = sharding.assign(frame).toPandas()
