@@ -3,7 +3,7 @@
 The dictionary (a stated number of words with their frequencies) is a double-array trie that goes to the workers with the
 function. Runs of letters or digits are laid end to end as one array of character codes, in slices of ``SLICE`` characters (a longer
 run is a slice of its own): all words that start anywhere are found by as many steps down the trie as the longest word has letters,
-and the best paths of all runs of a slice are computed side by side, from their ends. Costs are whole numbers, so equal inputs give
+and the best paths of all stretches of a slice are computed side by side, from their ends. Costs are whole numbers, so equal inputs give
 equal cuts anywhere; of paths of equal cost the one whose first word is longer is taken. A letter that starts no word stands alone.
 """
 
@@ -111,22 +111,30 @@ class Lattice:
         return out, ends
 
     def best_path(self, runs: list[str]) -> np.ndarray:
-        """Length of the first word of the cheapest path from each place to the end of its run."""
-        costs, ends = self.costs(runs)
+        """Length of the first word of the cheapest path from each place to the end of its run.
+
+        A place inside no word of several letters ends a word on every path, so the stretches between such places are paths of their own.
+        """
+        costs, _ = self.costs(runs)
+        places = costs.shape[1]
+        longest = np.ones(places, np.int64)
+        for size in range(2, self.longest + 1):
+            longest[costs[size] < FAR] = size
+        place = np.arange(places)
+        ends = np.append(np.flatnonzero(np.maximum.accumulate(place + longest)[:-1] <= place[1:]) + 1, [places] if places else [])
+        ends = ends.astype(np.int64)
         sizes = np.diff(ends, prepend=0)
-        best = np.zeros(costs.shape[1] + 1, np.int64)
-        step = np.zeros(costs.shape[1], np.int64)
+        best = np.zeros(places + 1, np.int64)
+        step = np.zeros(places, np.int64)
         order = np.argsort(-sizes, kind="stable")
         by_size, tails = -sizes[order], ends[order]
         for back in range(1, int(sizes.max(initial=0)) + 1):  # all places with ``back`` letters left, side by side
             at = tails[:np.searchsorted(by_size, -back, side="right")] - back
-            top, own = np.full(len(at), np.iinfo(np.int64).max), np.zeros(len(at), np.int64)
-            for size in range(min(self.longest, back), 0, -1):  # longer first: a tie keeps it
-                own_cost = costs[size, at].astype(np.int64)
-                total = own_cost + (best[at + size] if size < back else 0)
-                better = (own_cost < FAR) & (total < top)
-                top, own = np.where(better, total, top), np.where(better, size, own)
-            best[at], step[at] = top, own
+            length = np.arange(min(self.longest, back), 0, -1)[:, None]  # longer first: a tie keeps it
+            own = costs[length, at].astype(np.int64)
+            total = np.where(own < FAR, own, np.iinfo(np.int64).max // 2) + np.where(length < back, best[at + length], 0)
+            first = total.argmin(axis=0)
+            best[at], step[at] = total[first, np.arange(len(at))], length[first, 0]
         return step
 
     def smart(self, runs: list[str]) -> list[list[str]]:
@@ -146,14 +154,13 @@ class Lattice:
         costs, ends = self.costs(runs)
         known = costs < FAR
         known[1] &= costs[1] != self.unknown
-        covered = np.zeros(costs.shape[1] + 1, np.int64)
-        size, at = np.nonzero(known)
-        np.add.at(covered, at, 1)
-        np.add.at(covered, at + size, -1)
-        alone = np.flatnonzero(np.cumsum(covered[:-1]) == 0)
-        at, size = np.concatenate([at, alone]), np.concatenate([size, np.ones(len(alone), np.int64)])
-        order = np.lexsort((-size, at))
-        at, size = at[order], size[order]
+        place = np.arange(costs.shape[1])
+        longest = np.zeros(costs.shape[1], np.int64)
+        for size in range(1, self.longest + 1):
+            longest[known[size]] = size
+        known[1] |= np.maximum.accumulate(place + longest) <= place  # covered by no word
+        at, size = np.nonzero(known[::-1].T)
+        size = self.longest - size
         text, cuts = "".join(runs), np.searchsorted(at, np.concatenate([[0], ends]))
         return [[text[i:i + n] for i, n in zip(at[a:b].tolist(), size[a:b].tolist())] for a, b in zip(cuts, cuts[1:])]
 
@@ -186,6 +193,19 @@ def segmenter(lattice: Lattice, smart: bool = True):
     return cut
 
 
+def counted_runs(texts: DataFrame, column: str) -> DataFrame:
+    """(run, times): the distinct runs of letters or of digits of ``column``, lower-cased, so that each is cut once and any task may cut it."""
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import regex
+
+        runs_of = regex.compile(RUN).findall
+        for batch in batches:
+            yield pd.Series([None if t is None else runs_of(t.lower()) for t in batch], index=batch.index, dtype=object)
+
+    return texts.select(F.explode(found(column)).alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("times"))
+
+
 def trained(texts: DataFrame, column: str, most: int = MOST_WORDS) -> Lattice:
     """The lattice of the ``most`` frequent words of ``column``; so many rows reach the driver at most."""
     return Lattice({r["word"]: r["freq"] for r in learned_words(texts, column, most).collect()}, most)

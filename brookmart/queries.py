@@ -236,9 +236,9 @@ def keyword_lattice(spark, read):
     docs = read("documents").select("text")
     lattice = segmentation.trained(docs, "text")
     glued = docs.select(F.regexp_replace("text", "[ \t]", "").alias("text"))
-    modes = [F.struct(F.lit(m).alias("mode"), segmentation.segmenter(lattice, m == "smart")("text").alias("words")) for m in ("smart", "fine")]
-    cut = glued.select(F.inline(F.array(*modes)))
-    return cut.select("mode", F.explode("words").alias("word")).groupBy("mode", "word").agg(F.count(F.lit(1)).alias("n"))
+    modes = [F.struct(F.lit(m).alias("mode"), segmentation.segmenter(lattice, m == "smart")("run").alias("words")) for m in ("smart", "fine")]
+    cut = segmentation.counted_runs(glued, "text").select("times", F.inline(F.array(*modes)))
+    return cut.select("times", "mode", F.explode("words").alias("word")).groupBy("mode", "word").agg(F.sum("times").alias("n"))
 
 
 @query

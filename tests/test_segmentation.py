@@ -64,6 +64,20 @@ def test_very_long_run():
     assert [len(p) for p in slices(["ab" * 60_000, "c" * 90_000, "d" * 500_000, "e"])] == [1, 1, 1, 1]
 
 
+def test_long_run_is_cut_in_stretches(monkeypatch):
+    """The steps of the path search follow the longest stretch that words overlap in, not the longest run."""
+    lattice, calls = Lattice({"tea": 9, "pot": 9, "teapot": 1}), []
+    search = np.searchsorted
+    monkeypatch.setattr(segmentation.np, "searchsorted", lambda *a, **k: calls.append(1) or search(*a, **k))
+    assert set(lattice.smart(["teapot" * 5_000])[0]) <= {"tea", "pot", "teapot"}
+    assert len(calls) <= 6
+
+
+def test_runs_are_counted(spark):
+    texts = spark.createDataFrame([("Tea7tea, pot",), ("TEA.tea",), (None,), ("",)], "text string")
+    assert {(r.run, r.times) for r in segmentation.counted_runs(texts, "text").collect()} == {("tea", 4), ("7", 1), ("pot", 1)}
+
+
 def test_words_are_learned(spark):
     texts = spark.createDataFrame([("Tea tea pot",), ("pot tea " + "x" * 17,), (None,)], "text string")
     assert [(r.word, r.freq) for r in learned_words(texts, "text").collect()] == [("tea", 3), ("pot", 2)]
