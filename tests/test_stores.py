@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from brookmart.sources.dictionaries import HOUR_MS, DictionaryVersions
 from brookmart.sources.files import DayFiles
+from brookmart.streaming import keyed
+from brookmart.streaming.runner import deliveries, drain
 from brookmart.streaming.first_visits import FirstVisits
 
 VISIT = "n long, mid string, is_new string, et timestamp"
@@ -109,3 +111,33 @@ def test_day_files_roll(spark, tmp_path):
     for n in range(12, 24):
         table.apply(spark.createDataFrame([line(n, "20240103")], "value string, day string"), n)
     assert not (tmp_path / "f/lines/run=0-0").exists() and table.read().count() == 144
+
+
+def test_a_feed_is_computed_once_for_all_its_parts(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    feed = spark.range(30).selectExpr("if(id = 7, null, id) AS id").mapInPandas(counted, "id long")
+    sizes = []
+    for part in deliveries(feed, "id", cuts=[9, 9, 40]):
+        sizes.append(drain(part, "seen").count())
+    assert sizes == [9, 9, 29, 29]  # null has no time, an empty part is delivered too
+    assert seen.value == 30
+
+
+def test_keyed_lines_are_parsed_for_their_own_side(spark, tmp_path, monkeypatch):
+    asked, parse = [], keyed.parse_envelopes
+    monkeypatch.setattr(keyed, "parse_envelopes", lambda lines, tables: asked.append(tables) or parse(lines, tables=tables))
+    lines = spark.createDataFrame([
+        ('{"after":{"id":"d","order_id":"o"},"source":{"table":"order_detail"},"op":"c","ts_ms":1}', 1),
+        ('{"after":{"id":"o","user_id":"u"},"source":{"table":"order_info"},"op":"c","ts_ms":2}', 2),
+        ('{"after":{"order_detail_id":"d","coupon_id":"c"},"source":{"table":"order_detail_coupon"},"op":"c","ts_ms":3}', 3)], "value string, at long")
+    fact = keyed.order_details(spark, str(tmp_path / "f"))
+    for part in deliveries(lines, "at", cuts=[1, 2]):
+        fact.start(part, str(tmp_path / "c"), once=True).awaitTermination()
+    assert [(r.id, r.user_id, r.coupon_id) for r in fact.read().collect()] == [("d", "u", "c")]
+    assert set(map(tuple, asked)) == {("order_detail",), ("order_info",), ("order_detail_activity",), ("order_detail_coupon",)}
