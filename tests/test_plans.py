@@ -109,3 +109,13 @@ def test_every_feed_is_read_once(spark, sf_dir, name, scans):
 
 def test_dirty_lines_are_parsed_once(spark, sf_dir):
     assert plan(QUERIES["dirty_split"](spark, sf_dir)).count("from_json") <= 2
+
+
+def test_paid_details_exchange_numbers_only(spark, sf_dir):
+    """The texts of a detail are made behind the join of lines and orders."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = b.paid_details(b.batch_reader(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.index("split_total_amount") < plan.index("Join Inner") and "sku " not in plan[plan.index("Join Inner"):]
