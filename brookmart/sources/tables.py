@@ -59,7 +59,7 @@ class MetricTable:
         """
         batch.persist()
         try:
-            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            tasks = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # of a stream: its own number
             days = batch.select("cur_date").distinct().count()
             spread = F.pmod(F.xxhash64(*batch.columns), F.lit(max(1, tasks // max(1, days))))
             save(batch.repartition(tasks, "cur_date", spread))

@@ -76,4 +76,4 @@ def split_logs(lines: DataFrame, dates: FirstVisits, path: str, checkpoint: str,
 def enriched_metrics(sums: DataFrame, enrich: Callable[[DataFrame], DataFrame], table: MetricTable,
                      checkpoint: str, once: bool = False) -> StreamingQuery:
     """Window sums, joined to dimensions read afresh for every micro-batch, into a metric table."""
-    return to_batches(sums, lambda batch, batch_id: table.apply(enrich(batch), batch_id), checkpoint, once)
+    return to_batches(sums, lambda batch, batch_id: table.apply(enrich(batch), batch_id), checkpoint, once, in_state=True)

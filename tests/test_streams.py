@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from brookmart import bindings as b
 from brookmart import schemas
 from brookmart.operators import visits
-from brookmart.operators.joins import look_up
+from brookmart.operators.joins import fact_join, look_up
 from brookmart.plans import dims, facts, metrics
+from brookmart.session import prepare
 from brookmart.sources.files import read_lines, stream_by_day, stream_lines, write_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
 from brookmart.sources.topics import as_records, as_records_routed, json_table, topic_options
@@ -496,3 +497,23 @@ def test_json_table(spark):
     lines = spark.createDataFrame([('{"common":{"mid":"m"},"ts":1704067200000}',)], "value string")
     json_table(lines, schemas.PAGE_LOG, view="page_log", event_ms="ts", delay="3 seconds")
     assert spark.sql("SELECT common.mid, cast(et AS string) AS et FROM page_log").first() == ("m", "2024-01-01 00:00:00")
+
+
+def test_state_has_a_few_stores_per_core(spark, feed, tmp_path):
+    """A join in state opens one store per partition, and a few partitions per core however many a shuffle has."""
+    left = feed("l string, t string").add(("a", "2024-01-01 00:00:00"), ("b", "2024-01-01 00:00:00"), ("c", "2024-01-01 00:00:00"))
+    right = feed("r string, u string").add(("a", "2024-01-01 00:00:01"), ("b", "2024-01-01 09:00:00"))
+    timed = lambda f, c: f.stream().withColumn(c, F.col(c).cast("timestamp")).withWatermark(c, "1 second")
+    prepare(spark)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        joined = fact_join(timed(left, "t"), timed(right, "u"), {"l": "r"}, "inner", "t", "u", "1 hour")
+        to_files(joined, str(tmp_path / "data"), str(tmp_path / "checkpoint"), once=True).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert [r.l for r in spark.read.parquet(str(tmp_path / "data")).collect()] == ["a"]
+    partitions = [p for p in (tmp_path / "checkpoint/state/0").iterdir() if p.name.isdigit()]
+    assert len(partitions) == 2 * spark.sparkContext.defaultParallelism
+    assert not any(p.name.startswith(("left-", "right-")) for part in partitions for p in part.iterdir())
