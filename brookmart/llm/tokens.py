@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer, with a cache of white-space separated chunks.
 
 The tokenizer drops white space and never joins what it separates, so a text's ids are the ids of its chunks in order. Each
-distinct chunk is encoded once per worker process. Texts that name a special token are encoded whole, because special tokens
+distinct chunk is encoded once per worker process, and one of ASCII letters with or without signs behind them, which the tokenizer
+neither changes nor cuts but before the signs, goes to its merges without the steps before them. Texts that name a special token are encoded whole, because special tokens
 are found before lower-casing.
 """
 
@@ -9,6 +10,8 @@ from __future__ import annotations
 
 import functools
 import os
+import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +22,9 @@ TOKENIZER = "word_bpe_49k.json"
 SLICE_BYTES = 4 << 20
 KEPT_CHUNKS = 500_000
 SEPARATOR = "\x01"
+JOINED, AT_ONCE = 500, 20  # chunks of a joined text, and texts handed to the tokenizer at once
+SIGNS = string.punctuation.replace("'", "")
+PLAIN = re.compile(f"([a-z]+)([{re.escape(SIGNS)}]*)")
 END = 0
 
 
@@ -41,8 +47,17 @@ class ChunkTokenizer:
         if len(cut) != 1:
             raise ValueError("the tokenizer has no id of its own for the separator")
         self.cut = cut[0]
+        self.model = self.tokenizer.model
+        self.direct = self._leaves_plain()
         self._forget()
 
+    def _leaves_plain(self) -> bool:
+        """Whether the steps before the merges leave lower-case letters and signs as they are and cut only between the two."""
+        normal, cut, probe = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, string.ascii_lowercase + SIGNS
+        if cut is None or normal is not None and normal.normalize_str(probe) != probe:
+            return False
+        return [part for part, _ in cut.pre_tokenize_str(probe)] == [string.ascii_lowercase, SIGNS] and self.tokenizer.post_processor is None
+
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 16, np.uint32)
@@ -51,20 +66,43 @@ class ChunkTokenizer:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _direct(self, chunks: list[str]) -> tuple[list[str], list[int], list[int], list[str]]:
+        """Chunks that go straight to the merges, their ids and numbers of ids, and the other chunks."""
+        if not self.direct:
+            return [], [], [], chunks
+        tokens, match = self.model.tokenize, PLAIN.fullmatch
+        words, ids, lengths, others = [], [], [], []
+        for c in chunks:
+            if (m := match(c)) is None:
+                others.append(c)
+                continue
+            word, signs = m.groups()
+            own = [t.id for t in tokens(word)]
+            if signs:
+                own += [t.id for t in tokens(signs)]
+            words.append(c)
+            ids += own
+            lengths.append(len(own))
+        return words, ids, lengths, others
+
     def _learn(self, chunks: list[str]) -> None:
-        plain = [c for c in chunks if SEPARATOR not in c]
-        odd = [c for c in chunks if SEPARATOR in c]
-        joined = [f" {SEPARATOR} ".join([*plain[i:i + 500], ""]) for i in range(0, len(plain), 500)]
-        ids = np.array([x for e in self._ids(joined) for x in e], np.uint32)
-        at = np.flatnonzero(ids == self.cut)
-        lengths = np.diff(at, prepend=-1) - 1
-        if len(at) != len(plain):
-            raise ValueError("chunks and separators do not match")
-        ids = ids[ids != self.cut]
+        words, ids, lengths, others = self._direct(chunks)
+        self._keep(words, np.array(ids, np.uint32), np.array(lengths, np.int64))
+        plain = [c for c in others if SEPARATOR not in c]
+        odd = [c for c in others if SEPARATOR in c]
+        for a in range(0, len(plain), JOINED * AT_ONCE):
+            some = plain[a:a + JOINED * AT_ONCE]
+            joined = [f" {SEPARATOR} ".join([*some[i:i + JOINED], ""]) for i in range(0, len(some), JOINED)]
+            ids = np.array([x for e in self._ids(joined) for x in e], np.uint32)
+            at = np.flatnonzero(ids == self.cut)
+            if len(at) != len(some):
+                raise ValueError("chunks and separators do not match")
+            self._keep(some, ids[ids != self.cut], np.diff(at, prepend=-1) - 1)
         if odd:
             more = self._ids(odd)
-            lengths = np.concatenate([lengths, [len(x) for x in more]])
-            ids = np.concatenate([ids, np.array([i for x in more for i in x], np.uint32)])
+            self._keep(odd, np.array([i for x in more for i in x], np.uint32), np.array([len(x) for x in more], np.int64))
+
+    def _keep(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, end = len(self.known), self.ends[len(self.known)]
         while end + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
@@ -72,7 +110,7 @@ class ChunkTokenizer:
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.flat[end:end + len(ids)] = ids
         self.ends[n + 1:n + 1 + len(lengths)] = end + np.cumsum(lengths)
-        self.known.update(zip(plain + odd, range(n, n + len(lengths))))
+        self.known.update(zip(chunks, range(n, n + len(lengths))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of ids of each text (null: none); no text may name a special token."""

@@ -35,6 +35,21 @@ def test_ids_equal_the_tokenizers(odd, docs, pairs, encode, monkeypatch):
         assert got == [encode(t) for t in texts]
 
 
+def test_plain_chunks_go_straight_to_the_merges(encode, monkeypatch):
+    """Words of ASCII letters, with signs behind them or not; the others go a bounded number at a time."""
+    encoder, handed = tokens.ChunkTokenizer(tokens.default_path()), []
+    whole = encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda texts: handed.append(texts) or whole(texts))
+    plain = "some words, others (not) ended... well_ end$$$ mc2 it's don't "
+    odd = " ".join(f"{n}ä" for n in range(12_000))
+    ids, _ = encoder.encode(pa.array([plain + odd]))
+    assert ids.tolist() == encode(plain + odd)
+    seen = " ".join(t for texts in handed for t in texts).split()
+    assert "(not)" in seen and "mc2" in seen and "it's" in seen
+    assert not {"some", "words,", "others", "ended...", "well_", "end$$$"} & set(seen)
+    assert max(len(texts) for texts in handed) <= tokens.AT_ONCE and len(handed) > 1
+
+
 def crc(ids: list[int]) -> int:
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
