@@ -130,8 +130,8 @@ class ChunkTokenizer:
         starts, lengths = self.ends[where], self.ends[where + 1] - self.ends[where]
         before = np.cumsum(lengths) - lengths
         ids = self.flat[np.repeat(starts - before, lengths) + np.arange(int(lengths.sum()))]
-        owner = np.repeat(np.arange(len(per_text)), per_text)
-        return ids, np.bincount(owner, lengths, len(per_text)).astype(np.int64)
+        total, ends = np.append(0, np.cumsum(lengths)), np.cumsum(per_text)
+        return ids, total[ends] - total[ends - per_text]
 
     def _whole(self, texts: pa.Array) -> np.ndarray:
         """Which texts name a special token, in whatever case."""
