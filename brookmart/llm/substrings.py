@@ -9,7 +9,7 @@ length need equal keys next to each other, not the order of different ones. Suff
 Arrays are cut by hash range. Within a range they enter one by one and equal-sized ones merge, so an entry is moved a
 logarithmic number of times. A merge scans what meets: suffixes with equal surroundings in two documents decide the later one,
 which leaves the index. What is left with one seed and several surroundings is settled on the bytes themselves; a seed with more
-than ``HOT`` such suffixes string by string, each string by an aggregate.
+than ``HOT`` such suffixes in halves of its strings, by the bytes that those share, and a string with more than ``HOT`` by an aggregate.
 
 ``repeated_strings`` does all this for one table. ``SuffixIndex`` keeps the levels as written tables: a new batch is
 merge-scanned against them, and levels of about equal size become one.
@@ -45,7 +45,7 @@ BATCH = 8 << 20
 ENTRIES = 600_000
 RANGE = 8 << 20
 SLICE = 1 << 20
-HOT = 4096  # open suffixes of one seed that are settled string by string
+HOT = 4096  # open suffixes of one seed, or of a part of its strings, that are settled together
 ODD = 0x2545F4914F6CDD1D
 SETTLED = 1 << 15  # suffixes compared at a time
 ENTRY = {"h": 7, "c": 6, "doc": 4, "pos": 4, "more": 4}  # bytes kept of each column of a block
@@ -365,12 +365,16 @@ def _surroundings(length: int, seed: int):
 
 
 def _settled(length: int, seed: int):
-    """Which strings around open suffixes of one seed lie in a document with a smaller id; compared byte by byte."""
+    """Which strings around open suffixes of one seed lie in a document with a smaller id; compared byte by byte.
+
+    Rows of ``_halved`` look at the strings of their half only.
+    """
     reach = length - seed
 
     def some(group: pa.Table) -> pa.Table:
         h, ids = np.asarray(group.column("h")), np.asarray(group.column("id"))
         start, more, left, right = (np.asarray(group.column(c)).astype(np.int64) for c in ("start", "more", "left", "right"))
+        low, high = (np.asarray(group.column(c)) if c in group.column_names else np.full(len(h), i) for c, i in (("low", 0), ("high", reach)))
         around = np.frombuffer(b"".join(group.column("around").to_pylist()), np.uint8).reshape(len(h), -1)
         prefix = np.zeros((len(h), around.shape[1] + 1), np.uint64)
         for i in range(around.shape[1]):
@@ -378,7 +382,7 @@ def _settled(length: int, seed: int):
         shift = np.uint64(pow(ODD, length, 1 << 64))
         lowest, highest = np.full(len(h), -1), np.full(len(h), -1)
         for before in range(reach + 1):  # bytes of the string before the seed
-            valid = np.flatnonzero((left >= before) & (right >= length - before))
+            valid = np.flatnonzero((left >= before) & (right >= length - before) & (low <= before) & (before <= high))
             if not valid.size:
                 continue
             a = reach - before
@@ -409,18 +413,48 @@ def _settled(length: int, seed: int):
     return one
 
 
-def _hot_spans(around: DataFrame, length: int, seed: int) -> DataFrame:
-    """What ``_settled`` finds, for seeds with many suffixes: a row for each string, so that no task has a whole seed.
+def _halved(rows: DataFrame, length: int, seed: int) -> DataFrame:
+    """Each suffix once for either half of its strings from ``low`` to ``high``, with a hash of what the strings of the half share as ``h``.
+
+    Strings with ``low`` to ``high`` bytes before the seed all have ``low`` bytes before it and ``length - seed - high`` behind it.
+    """
+    reach = length - seed
+    low, high = F.col("low"), F.col("high")
+    middle = F.floor((low + high) / 2).cast("int")
+    half = lambda a, b: F.struct(a.alias("low"), b.alias("high"))
+    halves = F.when(low == high, F.array(half(low, high))).otherwise(F.array(half(low, middle), half(middle + 1, high)))
+    rows = rows.select("id", "tag", "start", "more", "left", "right", "around", F.explode(halves).alias("half")).select("*", "half.low", "half.high").drop("half")
+    rows = rows.where(F.greatest(low, length - F.col("right")) <= F.least(high, F.col("left")))  # a string of the half lies in the text
+    return rows.withColumn("h", F.xxhash64("low", "high", F.substring("around", reach + 1 - low, low + length - high)))
+
+
+def _hot_groups(around: DataFrame, length: int, seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """Seeds with many suffixes in smaller groups for ``_settled``, and spans of single strings that have many suffixes themselves.
+
+    A group above ``HOT`` is halved by the place of its strings until its parts are small or have one string each. So a suffix
+    is a row for two halves at a time, not one for each of its strings, unless one string is that frequent.
+    """
+    reach = length - seed
+    rows = stored(around.withColumns({"low": F.lit(0), "high": F.lit(reach)}), "suffix-hot")
+    small = []
+    for _ in range(reach.bit_length()):
+        rows = stored(_halved(rows, length, seed), "suffix-halves")
+        hot = stored(rows.groupBy("h").count().where(F.col("count") > HOT).select("h"), "suffix-hot-halves")
+        if not hot.limit(1).count():
+            return reduce(DataFrame.union, small, rows), None
+        small.insert(0, rows.join(hot, "h", "left_anti").select(*rows.columns))
+        rows = rows.join(hot, "h", "left_semi").select(*rows.columns)
+    return reduce(DataFrame.union, small), _string_spans(rows, length, seed)
+
+
+def _string_spans(rows: DataFrame, length: int, seed: int) -> DataFrame:
+    """What ``_settled`` finds, for suffixes with one string each, so that no task has all of a string.
 
     The least id of a string is an aggregate and so sends a row per task; the strings then meet it in a plain join, which
     Spark splits.
     """
-    reach = length - seed
-    kept = stored(around, "suffix-hot")
-    before = F.explode(F.when(F.greatest(F.lit(0), length - F.col("right")) <= F.least(F.lit(reach), F.col("left")), F.sequence(
-        F.greatest(F.lit(0), length - F.col("right")), F.least(F.lit(reach), F.col("left")))))
-    strings = kept.select("id", "tag", "start", "more", "around", before.alias("before")).select(
-        "id", "tag", "start", "more", "before", F.substring("around", reach + 1 - F.col("before"), F.lit(length)).alias("string"))
+    strings = rows.select("id", "tag", "start", "more", F.col("low").alias("before"),
+                          F.substring("around", length - seed + 1 - F.col("low"), F.lit(length)).alias("string"))
     # strings of one document decide nothing
     least = stored(strings.groupBy("before", "string").agg(F.min("id").alias("least"), F.max("id").alias("last"))
                    .where("least < last").drop("last"), "suffix-least")
@@ -495,13 +529,18 @@ def _judged(rows: DataFrame, arrays: DataFrame, texts: DataFrame, parts: int, le
     left = spans.where("h >= 0").select(bucket, "id", "tag", "start", "stop", "h")
     hot = stored(left.groupBy("h").count().where(F.col("count") > HOT).select("h"), "suffix-hot-seeds")
     look, kind = _surroundings(length, seed)
-    many = None
-    if hot.limit(1).count():
-        many = _hot_spans(texts.cogroup(left.join(hot, "h", "left_semi").select(*left.columns).groupBy("bucket")).applyInArrow(look, kind), length, seed)
+    hot_left = left.join(hot, "h", "left_semi").select(*left.columns) if hot.limit(1).count() else None
+    if hot_left is not None:
         left = left.join(hot, "h", "left_anti").select(*left.columns)
-    around = texts.cogroup(left.groupBy("bucket")).applyInArrow(look, kind)
-    more = around.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")).groupBy("part").applyInArrow(_settled(length, seed), SPANS)
-    more = more if many is None else more.union(many)
+
+    def settled(groups: DataFrame) -> DataFrame:
+        return groups.withColumn("part", F.pmod("h", F.lit(parts)).cast("int")).groupBy("part").applyInArrow(_settled(length, seed), SPANS)
+
+    more = settled(texts.cogroup(left.groupBy("bucket")).applyInArrow(look, kind))
+    if hot_left is not None:
+        halves, strings = _hot_groups(texts.cogroup(hot_left.groupBy("bucket")).applyInArrow(look, kind), length, seed)
+        more = more.union(settled(halves))
+        more = more if strings is None else more.union(strings)
     # one shuffle of the texts serves both uses: the plans below it are equal
     gone = spans.where("h < 0").union(more).select(bucket, "id", "tag", "start", "stop").groupBy("bucket")
     return own.cogroup(gone).applyInArrow(_results, RESULT)

@@ -34,3 +34,17 @@ def test_hot_seed_is_not_one_group(spark, pairs, bag, monkeypatch, phrase):
     monkeypatch.setattr(substrings, "HOT", 20, raising=False)
     assert bag(substrings.repeated_strings(frame).drop("spans")) == want
     assert largest
+
+
+def test_halves_of_a_hot_seed(spark, pairs, bag, monkeypatch):
+    """A seed of many suffixes takes no row for each string where no string is that frequent."""
+    phrase = "a phrase of twenty-five b"
+    texts = [f"{i * 7919:06d} {i % 40:02d} starts {phrase} goes on {i % 30:02d} {i * 104729:08d}" for i in range(150)] + [phrase, None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    rows = pairs(frame)
+    want = Counter((d, *r) for (d, _), r in zip(rows, brute.removed_bytes(rows)))
+    names, stored = [], substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda df, name: names.append(name) or stored(df, name))
+    monkeypatch.setattr(substrings, "HOT", 20)
+    assert bag(substrings.repeated_strings(frame).drop("spans")) == want
+    assert "suffix-hot" in names and "suffix-least" not in names
