@@ -10,7 +10,7 @@ from brookmart.operators.keywords import explode_words
 from brookmart.operators.logs import home_or_detail, keyword_search, login_visit, session_start
 from brookmart.operators.versions import newest_per_key
 from brookmart.operators.visits import first_of_day, login_days
-from brookmart.operators.windows import total, tumble
+from brookmart.operators.windows import labels, total, tumble
 
 TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
 TRAFFIC_MEASURES = ["uv_ct", "sv_ct", "pv_ct", "dur_sum"]
@@ -118,7 +118,7 @@ def with_sku_dimensions(sums: DataFrame, dims: dict[str, DataFrame]) -> DataFram
     """Add sku, spu, trademark and the three category levels; a missing row gives nulls.
 
     ``dims`` maps dim_sku_info, dim_spu_info, dim_base_trademark, dim_base_category3/2/1 to
-    DataFrames with key ``id``. Runs after the aggregation, on its few rows.
+    DataFrames with key ``id``. Runs after the aggregation, on its few rows. Sums that have their ``window`` yet are labelled after the joins.
     """
     out = look_up(sums, dims["dim_sku_info"], "sku_id", "id", sku_name="sku_name", spu_id="spu_id",
                   category3_id="category3_id", trademark_id="tm_id")
@@ -129,7 +129,7 @@ def with_sku_dimensions(sums: DataFrame, dims: dict[str, DataFrame]) -> DataFram
     out = look_up(out, dims["dim_base_category2"], "category2_id", "id", category2_name="name",
                   category1_id="category1_id")
     out = look_up(out, dims["dim_base_category1"], "category1_id", "id", category1_name="name")
-    return out.select("stt", "edt", "cur_date", "trademark_id", "trademark_name", "category1_id", "category1_name",
+    return out.select(*(labels() if "window" in out.columns else ["stt", "edt", "cur_date"]), "trademark_id", "trademark_name", "category1_id", "category1_name",
                       "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
                       "spu_id", "spu_name", *AMOUNTS)
 

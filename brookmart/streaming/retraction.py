@@ -1,7 +1,8 @@
 """Window sums over rows that come in several versions: each new version takes its predecessor back.
 
 A micro-batch is compared with the stored versions of its keys, read in their buckets; the difference, new rows as they are and
-replaced ones negated, is added to a table of sums. Both tables become visible by one commit. All of it are joins and
+replaced ones negated, goes to a table of sums as it is, from the tasks that compared it; merges and readers add it up, so
+that it is exchanged by cell once, when it is read. Both tables become visible by one commit. All of it are joins and
 aggregates; no row passes through Python and nothing waits for a watermark, so a version may come years after its
 predecessor. Of several versions in one micro-batch the newest counts; the others would cancel out at once.
 """
@@ -67,8 +68,7 @@ class RetractedSums:
         rows = newest_per_key(self._rows(batch, stamp), self.keys, self.order).select(*self.versions.schema.names).persist()
         try:
             changes = difference(rows, self.versions.read(rows.select(*self.keys)), self.keys, self.order, self.amounts)
-            added = changes.groupBy(*[c.alias(n) for n, c in self.cell.items()]).agg(*map(total, self.amounts))
-            self.sums.stage(added, batch_id)
+            self.sums.stage(changes.select(*[c.alias(n) for n, c in self.cell.items()], *self.amounts), batch_id)
             self.versions.stage(rows, batch_id)
             self.group.commit(batch_id)
         finally:
@@ -93,11 +93,14 @@ def sku_sums(spark: SparkSession, path: str, empty: DataFrame, size: str = "10 s
                          {"window": _window(size), "sku_id": F.col("sku_id")}, stamp)
 
 
-def sku_windows(sums: RetractedSums, emptied: bool = False) -> DataFrame:
-    """Labelled windows; with ``emptied`` also those of which every line was taken back, as zeros."""
+def sku_windows(sums: RetractedSums, emptied: bool = False, labelled: bool = True) -> DataFrame:
+    """Labelled windows; with ``emptied`` also those of which every line was taken back, as zeros.
+
+    Not ``labelled`` they keep their ``window``, for joins that should not carry the labels.
+    """
     rows = sums.read()
     rows = rows if emptied else rows.where(F.col(LINES) > 0)
-    return rows.select(*labels(), "sku_id", *metrics.AMOUNTS)
+    return rows.select(*(labels() if labelled else ["window"]), "sku_id", *metrics.AMOUNTS)
 
 
 def order_sums(spark: SparkSession, path: str, empty: DataFrame, size: str = "10 seconds") -> RetractedSums:

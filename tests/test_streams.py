@@ -181,6 +181,18 @@ def test_no_python_in_the_difference(spark, order_windows):
     assert "Python" not in read()._jdf.queryExecution().executedPlan().toString()
 
 
+def test_changes_are_exchanged_by_key_only(spark, feed, order_windows, monkeypatch):
+    """A batch meets the stored versions by key; its changes go to the sums from there, and add up when they are read."""
+    plans, write = [], retraction.LevelledTable._write
+    monkeypatch.setattr(retraction.LevelledTable, "_write", lambda self, rows, run: (
+        plans.append((self.name, rows._jdf.queryExecution().optimizedPlan().toString())), write(self, rows, run))[1])
+    batches = [detail("1", "10.00", T0), detail("2", "5.00", T0 + 1), detail("3", "1.00", T0, sku="t")], [detail("1", "30.00", T0 + 2)]
+    _, read = order_windows(retraction.sku_sums, retraction.sku_windows, *batches)
+    assert sorted((r.sku_id, str(r.order_amount)) for r in read().collect()) == [("s", "35.00"), ("t", "1.00")]
+    added = [p.split("InMemoryRelation")[0] for n, p in plans if n == "sums"]
+    assert len(added) == 2 and not any("Aggregate" in p.split("Join")[0] for p in added)
+
+
 def test_arrival_windows_survive_a_crash(spark, feed, order_windows, monkeypatch):
     """The batch is done again after a crash before its commit, an hour later: same windows."""
     ticks = iter([5_000, 3_605_000, 7_205_000])
