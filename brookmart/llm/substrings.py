@@ -9,7 +9,7 @@ length need equal keys next to each other, not the order of different ones. Suff
 Arrays are cut by hash range. Within a range they enter one by one and equal-sized ones merge, so an entry is moved a
 logarithmic number of times. A merge scans what meets: suffixes with equal surroundings in two documents decide the later one,
 which leaves the index. What is left with one seed and several surroundings is settled on the bytes themselves; a seed with more
-than ``HOT`` such suffixes in halves of its strings, by the bytes that those share, and a string with more than ``HOT`` by an aggregate.
+than ``HOT`` such suffixes in halves of its strings, by the bytes that those share, after suffixes with a whole half in common are decided.
 
 ``repeated_strings`` does all this for one table. ``SuffixIndex`` keeps the levels as written tables: a new batch is
 merge-scanned against them, and levels of about equal size become one.
@@ -33,7 +33,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookmart.llm.common import ordered_id, stored
@@ -46,6 +46,7 @@ ENTRIES = 600_000
 RANGE = 8 << 20
 SLICE = 1 << 20
 HOT = 4096  # open suffixes of one seed, or of a part of its strings, that are settled together
+DEALS = 256  # at least, of equal suffixes of such a seed
 ODD = 0x2545F4914F6CDD1D
 SETTLED = 1 << 15  # suffixes compared at a time
 ENTRY = {"h": 7, "c": 6, "doc": 4, "pos": 4, "more": 4}  # bytes kept of each column of a block
@@ -428,40 +429,43 @@ def _halved(rows: DataFrame, length: int, seed: int) -> DataFrame:
     return rows.withColumn("h", F.xxhash64("low", "high", F.substring("around", reach + 1 - low, low + length - high)))
 
 
-def _hot_groups(around: DataFrame, length: int, seed: int) -> tuple[DataFrame, DataFrame | None]:
-    """Seeds with many suffixes in smaller groups for ``_settled``, and spans of single strings that have many suffixes themselves.
+def _hot_groups(around: DataFrame, parts: int, length: int, seed: int) -> tuple[DataFrame, DataFrame | None]:
+    """Seeds with many suffixes in smaller groups for ``_settled``, and spans of what is decided on the way.
 
-    A group above ``HOT`` is halved by the place of its strings until its parts are small or have one string each. So a suffix
-    is a row for two halves at a time, not one for each of its strings, unless one string is that frequent.
+    A group above ``HOT`` is halved by the place of its strings until its parts are small. Of a half that is still above it, suffixes
+    that are equal in all its strings are decided at once and only those of the least id go on, so a passage of a whole half takes
+    a row, not one for each of its strings in each document.
     """
     reach = length - seed
     rows = stored(around.withColumns({"low": F.lit(0), "high": F.lit(reach)}), "suffix-hot")
-    small = []
+    small, spans = [], []
     for _ in range(reach.bit_length()):
         rows = stored(_halved(rows, length, seed), "suffix-halves")
         hot = stored(rows.groupBy("h").count().where(F.col("count") > HOT).select("h"), "suffix-hot-halves")
         if not hot.limit(1).count():
-            return reduce(DataFrame.union, small, rows), None
-        small.insert(0, rows.join(hot, "h", "left_anti").select(*rows.columns))
-        rows = rows.join(hot, "h", "left_semi").select(*rows.columns)
-    return reduce(DataFrame.union, small), _string_spans(rows, length, seed)
+            small.append(rows)
+            break
+        small.append(rows.join(hot, "h", "left_anti").select(*rows.columns))
+        judged = stored(_equal_halves(rows.join(hot, "h", "left_semi").select(*rows.columns), parts, length, seed), "suffix-equal")
+        spans.append(judged.where("later").select("id", "tag", (F.col("start") - F.col("most")).alias("start"),
+                                                  (F.col("start") + F.col("more") - F.col("fewest") + length).alias("stop"), F.lit(-1).cast("long").alias("h")))
+        rows = judged.where("not later and low < high").select(*rows.columns)  # the least id of a single string keeps it
+    return reduce(DataFrame.union, small), reduce(DataFrame.union, spans) if spans else None
 
 
-def _string_spans(rows: DataFrame, length: int, seed: int) -> DataFrame:
-    """What ``_settled`` finds, for suffixes with one string each, so that no task has all of a string.
+def _equal_halves(rows: DataFrame, parts: int, length: int, seed: int) -> DataFrame:
+    """Rows of ``_halved`` with whether a document with a smaller id has all their strings, ``fewest`` to ``most`` bytes before the seed.
 
-    The least id of a string is an aggregate and so sends a row per task; the strings then meet it in a plain join, which
-    Spark splits.
+    Bytes are compared, not hashes. Equal rows meet in ``parts`` or more deals first and then only the least id of each deal, so that no task
+    has all of a frequent passage.
     """
-    strings = rows.select("id", "tag", "start", "more", F.col("low").alias("before"),
-                          F.substring("around", length - seed + 1 - F.col("low"), F.lit(length)).alias("string"))
-    # strings of one document decide nothing
-    least = stored(strings.groupBy("before", "string").agg(F.min("id").alias("least"), F.max("id").alias("last"))
-                   .where("least < last").drop("last"), "suffix-least")
-    found = strings.join(least, ["before", "string"]).where("id > least")
-    return found.groupBy("id", "tag", "start", "more").agg(F.max("before").alias("most"), F.min("before").alias("fewest")).select(
-        "id", "tag", (F.col("start") - F.col("most")).alias("start"), (F.col("start") + F.col("more") - F.col("fewest") + length).alias("stop"),
-        F.lit(-1).cast("long").alias("h"))
+    rows = rows.withColumns({"fewest": F.greatest("low", length - F.col("right")), "most": F.least("high", "left")})
+    equal = ["h", "fewest", "most", F.substring("around", length - seed + 1 - F.col("most"), F.col("most") - F.col("fewest") + length)]
+    dealt = rows.withColumn("deal", F.pmod(F.xxhash64("id", "tag", "start"), F.lit(max(parts, DEALS))))
+    first = F.min("id").over(Window.partitionBy(*equal, "deal"))
+    dealt = dealt.withColumn("deal", F.when(F.col("id") > first, F.col("deal")).otherwise(-1))
+    least = F.min("id").over(Window.partitionBy(*equal, "deal"))
+    return dealt.withColumn("later", (F.col("deal") >= 0) | (F.col("id") > least)).drop("deal")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, stop: long>>"
@@ -538,9 +542,9 @@ def _judged(rows: DataFrame, arrays: DataFrame, texts: DataFrame, parts: int, le
 
     more = settled(texts.cogroup(left.groupBy("bucket")).applyInArrow(look, kind))
     if hot_left is not None:
-        halves, strings = _hot_groups(texts.cogroup(hot_left.groupBy("bucket")).applyInArrow(look, kind), length, seed)
+        halves, equal = _hot_groups(texts.cogroup(hot_left.groupBy("bucket")).applyInArrow(look, kind), parts, length, seed)
         more = more.union(settled(halves))
-        more = more if strings is None else more.union(strings)
+        more = more if equal is None else more.union(equal)
     # one shuffle of the texts serves both uses: the plans below it are equal
     gone = spans.where("h < 0").union(more).select(bucket, "id", "tag", "start", "stop").groupBy("bucket")
     return own.cogroup(gone).applyInArrow(_results, RESULT)

@@ -48,3 +48,26 @@ def test_halves_of_a_hot_seed(spark, pairs, bag, monkeypatch):
     monkeypatch.setattr(substrings, "HOT", 20)
     assert bag(substrings.repeated_strings(frame).drop("spans")) == want
     assert "suffix-hot" in names and "suffix-least" not in names
+
+
+def test_hot_passage_is_decided_by_halves(spark, pairs, bag, monkeypatch):
+    """A passage in every text: a row for each half that it fills, not one for each of its strings, and no join on strings."""
+    phrase = "a passage of seventy-two bytes stands in each text, behind another start"
+    texts = [f"{i * 7919:06d} {i % 40:02d} {phrase} {i % 30:02d} {i * 104729:08d}" for i in range(150)]
+    texts += [phrase, phrase[:-1], phrase[1:], phrase * 3, None, phrase[:49], f"{phrase}{texts[3]}"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(7, texts[7]), (7, texts[90]), (None, texts[8])], "doc_id long, text string").repartition(5)
+    rows = pairs(frame)
+    want = Counter((d, *r) for (d, _), r in zip(rows, brute.removed_bytes(rows)))
+    written, stored = [], substrings.stored
+
+    def watched(df, name):
+        out = stored(df, name)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(substrings, "stored", watched)
+    monkeypatch.setattr(substrings, "HOT", 20)
+    assert bag(substrings.repeated_strings(frame).drop("spans")) == want
+    seeds = sum(n for name, n in written if name == "suffix-hot")
+    assert seeds and "suffix-least" not in dict(written)
+    assert max(n for name, n in written if name == "suffix-halves") <= 2 * seeds
