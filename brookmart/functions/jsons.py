@@ -15,10 +15,11 @@ def is_json_object(text: Column) -> Column:
     The readers stop after the first value and so let trailing text pass. Wrapped in brackets and
     in braces, trailing text turns into an error in at least one of the two wrappings: what follows
     the object would have to be ``]`` for the first and ``}`` for the second. A comma makes the
-    bracketed list longer than one.
+    bracketed list longer than one. Of the object no field is asked for but one of an odd name, so that the
+    others are read through and not copied.
     """
-    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", _STRICT)
-    nested = F.from_json(F.concat(F.lit('{"w":'), text, F.lit("}")), "struct<w:map<string,string>>", _STRICT)
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<struct<`_`: string>>", _STRICT)
+    nested = F.from_json(F.concat(F.lit('{"w":'), text, F.lit("}")), "struct<w: struct<`_`: string>>", _STRICT)
     # the list is named once, so that it is parsed once
     single = F.exists(F.array(listed), lambda a: (F.size(a) == 1) & F.get(a, 0).isNotNull())
     return F.coalesce(single & nested["w"].isNotNull(), F.lit(False))

@@ -704,7 +704,9 @@ def log_split_stream(spark, stream, read):
     for part in deliveries(lines, "ts", name="log_lines"):
         pipelines.split_logs(part, dates, f"{path}/data", f"{path}/checkpoint", once=True).awaitTermination()
     written = spark.read.schema("value string, batch bigint, feed string").text(f"{path}/data").drop("batch")
-    schema = f"{schemas.LOG.toDDL()}, display map<string,string>, action map<string,string>"
+    cells = "map<string,string>"  # of the feeds, what the rows are compared by
+    schema = (f"common struct<mid string, is_new string>, page struct<page_id string>, start {cells}, err {cells}, displays array<{cells}>, "
+              f"actions array<{cells}>, ts bigint, display {cells}, action {cells}")
     good = jsons.parse_once(written.where("feed != 'dirty'"), schema, keep=["feed"])
     nothing = F.lit(None).cast("string")
     bad = written.where("feed = 'dirty'").select("feed", nothing.alias("mid"), nothing.alias("is_new"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +121,17 @@ def test_paid_details_exchange_numbers_only(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.index("split_total_amount") < plan.index("Join Inner") and "sku " not in plan[plan.index("Join Inner"):]
+
+
+def test_log_lines_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    """A small file is one split; its lines are made, and written for a stream, by several tasks."""
+    events = spark.sql("SELECT id AS event_id, timestamp_seconds(1704067200 + id) AS ts, id % 3 AS user_id, 'view' AS event_type, 1.5D AS value, '{\"k\": 1}' AS props "
+                       "FROM range(300) UNION ALL SELECT null, null, null, 'click', null, null")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    read = b.batch_reader(spark, str(tmp_path))
+    lines = b.cut_log_lines(read)
+    used = {r.p for r in lines.select(F.spark_partition_id().alias("p")).distinct().collect()}
+    assert len(used) > 1
+    cut = F.when(F.col("event_id") % 13 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    want = b.log_lines(read).select(cut.alias("value"), "ts")
+    assert Counter(lines.collect()) == Counter(want.collect())
