@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from brookmart import bindings as b
 from brookmart.operators import joins, visits
 from brookmart.operators.versions import newest_per_key
-from brookmart.plans import metrics
+from brookmart.plans import facts, metrics
 from brookmart.queries import QUERIES
 
 BATCH = sorted(q for q in QUERIES if not q.endswith("_stream"))
@@ -135,3 +135,30 @@ def test_log_lines_of_one_file_are_dealt_over_tasks(spark, tmp_path):
     cut = F.when(F.col("event_id") % 13 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
     want = b.log_lines(read).select(cut.alias("value"), "ts")
     assert Counter(lines.collect()) == Counter(want.collect())
+
+
+def test_order_details_travel_as_numbers(spark):
+    """What is no key crosses the exchanges as numbers, and every text comes back as it was."""
+    row = lambda **cells: F.create_map(*[x for k, v in cells.items() for x in (F.lit(k), F.col(v) if v else F.lit(None).cast("string"))])
+    details = spark.createDataFrame(
+        [("1", "1", "7", "12", "3", "2.50"), ("2", "1", "07", "x", "3.0", "2.5"), ("2", "1", None, None, None, None), ("3", "2", "", " 7", "-0", "1e3"),
+         (None, "1", "9999999999999999999999", "9", "+4", "-0.00"), ("4", None, "1", "1", "1", "1.00"), ("5", "9", "1", "1", "1", "1.00")],
+        "id string, o string, sku string, at string, n string, a string")
+    after = row(id="id", order_id="o", sku_id="sku", sku_name="sku", create_time="at", sku_num="n", order_price="a",
+                split_activity_amount="a", split_coupon_amount="a", split_total_amount="a")
+    db = details.select(b.envelope("order_detail", "c", F.lit(5), after=after).alias("e")).select("e.*")
+    for table, rows, cells in (("order_info", [("1", "u", "p"), ("2", None, "q"), ("2", "v", "q")], {"id": "k", "user_id": "x", "province_id": "y"}),
+                               ("order_detail_activity", [("1", "a1", "r1"), ("2", "a2", None)], {"order_detail_id": "k", "activity_id": "x", "activity_rule_id": "y"}),
+                               ("order_detail_coupon", [("2", "c1", ""), ("2", "c2", "")], {"order_detail_id": "k", "coupon_id": "x"})):
+        side = spark.createDataFrame(rows, "k string, x string, y string")
+        db = db.unionByName(side.select(b.envelope(table, "c", F.lit(5), after=row(**cells)).alias("e")).select("e.*"))
+    parts = facts.order_detail_rows(db), facts.created_orders(db), facts.detail_activities(db), facts.detail_coupons(db)
+    names = {"1": [("u", "p")], "2": [(None, "q"), ("v", "q")]}
+    acts, cous = {"1": [("a1", "r1")], "2": [("a2", None)]}, {"2": ["c1", "c2"]}
+    want = Counter((d.id, d.order_id, u, d.sku_id, d.sku_name, p, a, r, c, d.create_time, d.sku_num, d.split_original_amount, d.split_total_amount)
+                   for d in parts[0].collect() for u, p in names.get(d.order_id, []) for a, r in acts.get(d.id, [(None, None)]) for c in cous.get(d.id, [None]))
+    got = facts.assembled_details(*parts)
+    assert Counter(got.select("id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id", "activity_rule_id", "coupon_id", "create_time",
+                              "sku_num", "split_original_amount", "split_total_amount").collect()) == want and sum(want.values()) == 8
+    assert dict(got.dtypes)["split_total_amount"] == "string"
+    assert "_texts" in plan(got)[plan(got).index("Join"):]
