@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,12 +15,12 @@ from brookmart import schemas
 from brookmart.operators import visits
 from brookmart.operators.joins import fact_join, look_up
 from brookmart.plans import dims, facts, metrics
-from brookmart.session import prepare
+from brookmart.session import prepare, shared_root
 from brookmart.sources.files import read_lines, stream_by_day, stream_lines, write_by_day
 from brookmart.sources.tables import DimensionStore, MetricTable, UpsertTable
 from brookmart.sources.topics import as_records, as_records_routed, json_table, topic_options
 from brookmart.streaming import jobs, keyed, pipelines, retraction, state
-from brookmart.streaming.runner import StreamJob, drain, to_batches, to_files
+from brookmart.streaming.runner import StreamJob, drain, replay, to_batches, to_files
 
 FAR = "2030-01-01 00:00:00"
 
@@ -529,3 +530,46 @@ def test_state_has_a_few_stores_per_core(spark, feed, tmp_path):
     partitions = [p for p in (tmp_path / "checkpoint/state/0").iterdir() if p.name.isdigit()]
     assert len(partitions) == 2 * spark.sparkContext.defaultParallelism
     assert not any(p.name.startswith(("left-", "right-")) for part in partitions for p in part.iterdir())
+
+
+def test_a_large_delivery_arrives_in_slices(spark):
+    """A state that joins forgets between the slices of a delivery; the rows are those of one micro-batch per delivery."""
+    feed = spark.range(2000).select(F.concat(F.lit("k"), F.col("id") % 500).alias("k"), (F.lit(T0) + F.col("id") * 60_000).alias("ts"), (F.col("id") % 3).alias("kind"))
+    seen = []
+
+    def build(stream):
+        side = lambda n, name: stream.where(F.col("kind") == n).select(F.col("k").alias(f"{name}k"), F.col("ts").alias(f"{name}ts"), F.timestamp_millis("ts").alias(
+            f"{name}et")).withWatermark(f"{name}et", "3 seconds")
+        seen.append(stream)
+        return fact_join(side(0, "a"), side(1, "b"), {"ak": "bk"}, "left", "aet", "bet", "10 hours").select("ak", "ats", "bts")
+
+    closing = {"k": F.lit(None).cast("string"), "ts": F.lit(T0 + 10**10)}
+    key = lambda r: (r[0] or "", r[1], r[2] or 0)
+    whole = sorted(map(tuple, replay(feed, build, "ts", "whole_test", closing=closing).collect()), key=key)
+    assert len(seen) == 3  # two deliveries and the closing row
+    sliced = sorted(map(tuple, replay(feed, build, "ts", "sliced_test", closing=closing, slice_rows=300).collect()), key=key)
+    assert len(seen) == 6  # slices are no restarts
+    assert sliced == whole and any(r[2] for r in whole) and any(r[2] is None for r in whole)
+    root = Path(shared_root(spark))
+    assert len(list(root.glob("sliced_test-feed*/part=*"))) == 9 and len(list(root.glob("whole_test-feed*/part=*"))) == 3
+    batches = lambda name: max(int(p.name) for p in root.glob(f"{name}-*/checkpoint/commits/*") if p.name.isdigit())
+    assert batches("sliced_test") > batches("whole_test") + 4
+
+
+def test_streams_clean_up_after_their_batches(spark, feed, tmp_path):
+    """What a micro-batch shuffled goes with it; the session that started the stream keeps its settings."""
+    key, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    lines = feed("value string").add(("x",)).stream()
+    to_batches(lines, lambda batch, n: seen.append(batch.sparkSession.conf.get(key)), str(tmp_path / "c"), once=True).awaitTermination()
+    assert seen == ["true"] and spark.conf.get(key, None) is None
+
+
+def test_details_in_a_state_are_numbers(spark, feed, rows):
+    f = feed(DETAIL.replace("id string", "id string, user_id string, sku_name string, activity_id string, activity_rule_id string, coupon_id string, sku_num string", 1))
+    f.add(*[(i, "7", "a name", None, "x", None, "3", "o1", sku, "2", "1.50", "1.50", "0.5", "1.50", T0) for i, sku in (("1", "12"), ("2", "012"), ("3", None))])
+    change = b.envelope("order_info", "u", F.lit(T0), b.row(id=F.lit("o1"), order_status=F.lit("1001")), b.row(id=F.lit("o1"), order_status=F.lit("1003"), operate_time=F.lit(T0)))
+    changes = spark.range(1).select(change.alias("e")).select("e.*")
+    got = facts.order_cancel(changes, f.batch())
+    assert "_texts" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in got.select("id", "sku_id", "activity_id", "activity_rule_id", "sku_num", "split_coupon_amount").orderBy("id").collect()] == [
+        ("1", "12", None, "x", "3", "0.5"), ("2", "012", None, "x", "3", "0.5"), ("3", None, None, "x", "3", "0.5")]
