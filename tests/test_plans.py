@@ -162,3 +162,14 @@ def test_order_details_travel_as_numbers(spark):
                               "sku_num", "split_original_amount", "split_total_amount").collect()) == want and sum(want.values()) == 8
     assert dict(got.dtypes)["split_total_amount"] == "string"
     assert "_texts" in plan(got)[plan(got).index("Join"):]
+
+
+def test_exchanges_begin_with_partitions_for_every_core(spark, sf_dir):
+    """A session that asks for a few partitions gets more to begin with, which a task sorts in its memory."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(QUERIES["order_detail_fact"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in text.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 5 and all(f", {16 * spark.sparkContext.defaultParallelism})" in line for line in exchanges)
